@@ -6,28 +6,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def to_number(col: Column) -> Column:
-    """Text to double; text that is no decimal number becomes NULL.
+def to_number(text: Column) -> Column:
+    """Text to double; text that is no finite decimal number becomes NULL.
 
-    The JVM parser would also take "5d", "5f" and hexadecimal forms. NaN becomes NULL too, because Spark
-    sorts NaN above every number and ``NaN >= 0`` would hold.
+    The JVM parser would also take "5d", "5f", hexadecimal forms, "inf" and "nan": a number has to end in a
+    digit or point and hold no x. NaN must not get in, because Spark sorts it above every number.
     """
-    text = col.cast("string")
-    jvm_only = (
-        F.substring(F.rtrim(text), -1, 1).isin("d", "D", "f", "F") | text.contains("x") | text.contains("X")
-    )
-    value = F.when(~jvm_only, text.try_cast("double"))
-    return F.when(~F.isnan(value), value)
+    last = F.substring(F.rtrim(text), -1, 1)
+    plain = (last.between("0", "9") | (last == ".")) & ~text.contains("x") & ~text.contains("X")
+    return F.when(plain, text.try_cast("double"))
 
 
-def no_nan(col: Column) -> Column:
-    return F.when(~F.isnan(col), col)
+def no_nan(value: Column) -> Column:
+    return F.when(~F.isnan(value), value)
 
 
-def to_whole(col: Column) -> Column:
+def to_whole(text: Column) -> Column:
     """Text to bigint; fractions and non-numbers become NULL."""
-    value = to_number(col)
-    return F.when(value == F.rint(value), F.coalesce(col.cast("string").try_cast("bigint"), value.try_cast("bigint")))
+    value = to_number(text)
+    return F.coalesce(text.try_cast("bigint"), F.when(value == F.rint(value), value.try_cast("bigint")))
 
 
 def is_finite(col: Column) -> Column:

@@ -37,32 +37,31 @@ def with_rounded(
     names = list(columns)
     raw = df.withColumns({f"_raw_{n}": columns[n].cast("double") for n in names})
     cut = raw.withColumns(
-        {f"_scaled_{n}": F.abs(F.col(f"_raw_{n}")) * scale for n in names}
-        | {f"_high_{n}": _high_half(F.abs(F.col(f"_raw_{n}"))) for n in names}
+        {f"_scaled_{n}": F.abs(f"_raw_{n}") * scale for n in names}
+        | {f"_high_{n}": _high_half(F.abs(f"_raw_{n}")) for n in names}
     )
-    parts = cut.withColumns(
-        {f"_frac_{n}": F.col(f"_scaled_{n}") % 1.0 for n in names}
-        | {
-            f"_error_{n}": (F.col(f"_high_{n}") * scale - F.col(f"_scaled_{n}"))
-            + (F.abs(F.col(f"_raw_{n}")) - F.col(f"_high_{n}")) * scale
-            for n in names
-        }
-    )
-    done = parts.withColumns({n: _rounded(n, scale, coarse, ties) for n in names})
-    kinds = ("raw", "scaled", "high", "frac", "error")
-    return done.drop(*[f"_{kind}_{n}" for kind in kinds for n in names])
+    parts = cut.withColumns({f"_whole_{n}": F.floor(f"_scaled_{n}").cast("double") for n in names})
+    parts = parts.withColumns({f"_beyond_{n}": _beyond_half(n, scale) for n in names})
+    # As generator output, a later filter on the result stays above it. On a plain projection it would be pushed
+    # down and carry some fifteen copies of each input with it.
+    done = F.inline(F.array(F.struct(*[_rounded(n, scale, coarse, ties).alias(n) for n in names])))
+    return parts.select(*[name for name in df.columns if name not in names], done)
 
 
 def _high_half(a: Column) -> Column:
     return a * _SPLIT - (a * _SPLIT - a)
 
 
+def _beyond_half(n: str, scale: float) -> Column:
+    """How far the exact product lies above the middle between two steps; the sign is exact."""
+    raw, scaled, high = F.abs(f"_raw_{n}"), F.col(f"_scaled_{n}"), F.col(f"_high_{n}")
+    error = (high * scale - scaled) + (raw - high) * scale
+    return (scaled - F.col(f"_whole_{n}") - 0.5) + error
+
+
 def _rounded(n: str, scale: float, coarse: float, ties: str) -> Column:
-    raw, scaled, frac = F.col(f"_raw_{n}"), F.col(f"_scaled_{n}"), F.col(f"_frac_{n}")
-    beyond_half = (frac - 0.5) + F.col(f"_error_{n}")
-    whole = scaled - frac
-    tie_goes_up = (whole % 2.0 == 1.0) if ties == "even" else F.lit(True)
-    up = (beyond_half > 0) | ((beyond_half == 0) & tie_goes_up)
-    near = F.signum(raw) * (whole + F.when(up, 1.0).otherwise(0.0)) / scale
+    raw, whole, beyond = F.col(f"_raw_{n}"), F.col(f"_whole_{n}"), F.col(f"_beyond_{n}")
+    up = beyond >= 0 if ties == "up" else (beyond > 0) | ((beyond == 0) & (whole % 2.0 == 1.0))
+    near = F.signum(raw) * F.when(up, whole + 1.0).otherwise(whole) / scale
     # NaN compares above every number in Spark, so NaN and infinity pass through unchanged here.
     return F.when(F.abs(raw) >= coarse, raw).otherwise(near + 0.0)

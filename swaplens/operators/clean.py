@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from swaplens.functions.numbers import to_number, to_whole
+from swaplens.functions.numbers import no_nan, to_number, to_whole
 
 # Pool-side column names and the trade-side names that stand for them.
 ALIASES = [
@@ -30,16 +31,27 @@ def normalize_swaps(df: DataFrame) -> DataFrame:
     have = set(df.columns)
     df = df.withColumns({new: F.col(old) for old, new in ALIASES if old in have and new not in have})
     have = set(df.columns)
-    changes = {name: to_number(F.col(name)) for name in NUMERIC if name in have}
-    if "blockNumber" in have:
-        changes["blockNumber"] = to_whole(F.col("blockNumber"))
+    changes = {name: _double(df, name) for name in NUMERIC if name in have}
+    if "blockNumber" in have and not _is_whole(df, "blockNumber"):
+        changes["blockNumber"] = to_whole(F.col("blockNumber").cast("string"))
     if "timestamp" in have:
-        seconds = to_number(F.col("timestamp"))
-        changes["timestamp"] = F.timestamp_micros(F.rint(seconds * 1e6).try_cast("bigint"))
+        seconds = F.col("timestamp") if _is_whole(df, "timestamp") else _double(df, "timestamp")
+        changes["timestamp"] = F.timestamp_micros((seconds * 1000000).try_cast("bigint"))
     df = df.withColumns(changes)
     return df.withColumn("date", F.to_date("timestamp")) if "timestamp" in have else df
 
 
+def _is_whole(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.IntegralType)
+
+
+def _double(df: DataFrame, name: str) -> Column:
+    col = F.col(name)
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return to_number(col)
+    return no_nan(col.cast("double"))
+
+
 def validate(df: DataFrame, allow_negative: Sequence[str] = ()) -> DataFrame:
     """Rows with every required field and no negative amount; a NULL amount fails too.
 

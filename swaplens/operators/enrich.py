@@ -20,9 +20,9 @@ def price_dim(prices: DataFrame) -> DataFrame:
 def token_dim(
     prices: DataFrame, decimals: DataFrame | None = None, stables: DataFrame | None = None
 ) -> DataFrame:
-    """One lookup row per token: price, decimals, stable flag.
+    """One lookup row per token: price, price at six places, raw units per token, stable flag.
 
-    Joining these small tables first leaves two joins on the swaps instead of six.
+    Joining these small tables first leaves two joins on the swaps instead of six, and rounds per token, not per swap.
     """
     spark = prices.sparkSession
     decimals = dims.decimals(spark) if decimals is None else decimals
@@ -34,11 +34,13 @@ def token_dim(
             stables.select(F.lower("token").alias("token"), F.lit(True).alias("stable")), allowMissingColumns=True
         )
     )
-    return facts.groupBy("token").agg(
-        F.max("price_usd").alias("price_usd"),
-        F.coalesce(F.max("decimals"), F.lit(dims.DEFAULT_DECIMALS)).cast("int").alias("decimals"),
+    places = F.coalesce(F.max("decimals"), F.lit(dims.DEFAULT_DECIMALS))
+    tokens = facts.groupBy("token").agg(
+        F.max("price_usd").alias("price"),
+        F.pow(F.lit(10.0), places).alias("units"),
         F.coalesce(F.bool_or("stable"), F.lit(False)).alias("stable"),
     )
+    return with_rounded(tokens, {"rounded": F.col("price")}, 6)
 
 
 def _with_side(df: DataFrame, dim: DataFrame, token: str, suffix: str, columns: list[str], how: str) -> DataFrame:
@@ -62,18 +64,16 @@ def price_join(df: DataFrame, prices: DataFrame, missing: str = "skip") -> DataF
     return df.withColumns({p: F.coalesce(F.col(p), F.lit(0.0)) for p in ("price0", "price1")})
 
 
-def normalize_amount(amount: Column, decimals: Column, amounts_are_raw: bool = True) -> Column:
+def normalize_amount(amount: Column, decimals: Column) -> Column:
     """Raw integer text to whole tokens; text that is no number gives NULL."""
-    value = to_number(amount)
-    if not amounts_are_raw:
-        return value
-    return value / F.pow(F.lit(10.0), F.coalesce(decimals, F.lit(dims.DEFAULT_DECIMALS)))
+    return to_number(amount) / F.pow(F.lit(10.0), F.coalesce(decimals, F.lit(dims.DEFAULT_DECIMALS)))
 
 
 def with_amounts(df: DataFrame, decimals: DataFrame | None = None) -> DataFrame:
     """Add quantity0 and quantity1, the amounts in whole tokens."""
     decimals = dims.decimals(df.sparkSession) if decimals is None else decimals
-    dim = small_side(decimals.groupBy(F.lower("token").alias("token")).agg(F.max("decimals").alias("decimals")), derived=True)
+    places = decimals.groupBy(F.lower("token").alias("token")).agg(F.max("decimals").alias("decimals"))
+    dim = small_side(places, derived=True)
     for suffix in "01":
         df = (
             _with_side(df, dim, f"token{suffix}", suffix, ["decimals"], "left")
@@ -83,24 +83,39 @@ def with_amounts(df: DataFrame, decimals: DataFrame | None = None) -> DataFrame:
     return df
 
 
+LOOKUPS = ["price", "rounded", "units", "stable"]
+
+
 def _looked_up(
-    swaps: DataFrame, prices: DataFrame, decimals: DataFrame | None, stables: DataFrame | None, amounts_are_raw: bool
+    swaps: DataFrame,
+    prices: DataFrame,
+    decimals: DataFrame | None,
+    stables: DataFrame | None,
+    how: str = "left",
+    amounts_are_raw: bool = True,
 ) -> DataFrame:
-    dim = small_side(token_dim(prices, decimals, stables), derived=True)
+    """The swaps with both tokens' lookups and quantities, in columns that begin with an underscore.
+
+    An inner join keeps the swaps whose tokens both have a price.
+    """
+    tokens = token_dim(prices, decimals, stables)
+    dim = small_side(tokens.where(F.col("price").isNotNull()) if how == "inner" else tokens, derived=True)
     df = swaps
     for suffix in "01":
-        df = _with_side(df, dim, f"token{suffix}", suffix, ["price_usd", "decimals", "stable"], "left")
-    return df.withColumns(
-        {
-            f"_quantity{s}": normalize_amount(F.col(f"amount{s}"), F.col(f"_decimals{s}"), amounts_are_raw)
-            for s in "01"
-        }
-    )
+        df = _with_side(df, dim, f"token{suffix}", suffix, LOOKUPS, how)
+    for s in "01":
+        units = F.coalesce(f"_units{s}", F.lit(10.0**dims.DEFAULT_DECIMALS)) if amounts_are_raw else F.lit(1.0)
+        df = df.withColumn(f"_quantity{s}", to_number(F.col(f"amount{s}")) / units)
+    return df
+
+
+def _without_lookups(df: DataFrame) -> DataFrame:
+    return df.drop(*[f"_{name}{s}" for name in [*LOOKUPS, "quantity"] for s in "01"])
 
 
 def _reason(missing: str) -> Column:
     """Why a looked-up swap is left out; NULL for a swap that is kept."""
-    no_price = F.col("_price_usd0").isNull() | F.col("_price_usd1").isNull()
+    no_price = F.col("_price0").isNull() | F.col("_price1").isNull()
     bad_amount = F.col("_quantity0").isNull() | F.col("_quantity1").isNull()
     reason = F.when(bad_amount, "invalid_amount")
     return F.when(no_price, "missing_price").otherwise(reason) if missing == "skip" else reason
@@ -121,15 +136,18 @@ def enrich_swaps(
     without a shuffle of the swaps.
     """
     _check_missing(missing)
-    df = _looked_up(swaps, prices, decimals, stables, amounts_are_raw).where(_reason(missing).isNull())
-    price0, price1 = (F.coalesce(F.col(f"_price_usd{s}"), F.lit(0.0)) for s in "01")
-    stable0, stable1 = (F.coalesce(F.col(f"_stable{s}"), F.lit(False)) for s in "01")
+    how = "inner" if missing == "skip" else "left"
+    df = _looked_up(swaps, prices, decimals, stables, how, amounts_are_raw)
+    df = df.where(F.col("_quantity0").isNotNull() & F.col("_quantity1").isNotNull())
+    zero = F.lit(0.0)
+    price0, price1, rounded0, rounded1 = (
+        F.coalesce(f"_{name}{s}", zero) for name in ("price", "rounded") for s in "01"
+    )
+    stable0, stable1 = (F.coalesce(f"_stable{s}", F.lit(False)) for s in "01")
     volume = usd_volume(F.col("_quantity0"), price0, stable0, F.col("_quantity1"), price1, stable1)
-    df = with_rounded(df, {"priceUSD0": price0, "priceUSD1": price1, "usdVolume": volume}, 6)
+    df = with_rounded(df, {"usdVolume": volume}, 6)
     pair = F.concat_ws("-", F.lower("token0"), F.lower("token1"))
-    return df.withColumn("pair", pair).drop(
-        *[f"_{name}{s}" for name in ("price_usd", "decimals", "stable", "quantity") for s in "01"]
-    )
+    return _without_lookups(df.withColumns({"priceUSD0": rounded0, "priceUSD1": rounded1, "pair": pair}))
 
 
 def skipped(
@@ -140,12 +158,8 @@ def skipped(
 ) -> DataFrame:
     """The swaps ``enrich_swaps`` leaves out, each with its reason."""
     _check_missing(missing)
-    df = _looked_up(swaps, prices, decimals, None, True)
-    return (
-        df.withColumn("reason", _reason(missing))
-        .where(F.col("reason").isNotNull())
-        .drop(*[f"_{name}{s}" for name in ("price_usd", "decimals", "stable", "quantity") for s in "01"])
-    )
+    df = _looked_up(swaps, prices, decimals, None)
+    return _without_lookups(df.withColumn("reason", _reason(missing)).where(F.col("reason").isNotNull()))
 
 
 def enrich_with_prices(df: DataFrame, prices: DataFrame) -> DataFrame:
@@ -170,14 +184,14 @@ def run_stats(
     decimals: DataFrame | None = None,
 ) -> DataFrame:
     """One row of counts for a run: fetched, old, new, enriched, skipped, pairs, tokens, prices; and the latest block."""
-    df = _looked_up(swaps, prices, decimals, None, True)
+    df = _looked_up(swaps, prices, decimals, None)
     new = F.coalesce(F.col("blockNumber") > last_block, F.lit(False))
     # One pass over the swaps: everything else is counted from one row per pair of token spellings.
     groups = df.groupBy(
         "token0",
         "token1",
-        F.col("_price_usd0").isNotNull().alias("priced0"),
-        F.col("_price_usd1").isNotNull().alias("priced1"),
+        F.col("_price0").isNotNull().alias("priced0"),
+        F.col("_price1").isNotNull().alias("priced1"),
     ).agg(
         F.count("*").alias("fetched"),
         F.count_if(new).alias("new"),

@@ -44,13 +44,13 @@ def _with_tokens(rows: DataFrame, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    places = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
     brand = F.when(F.col("line") % 2 == 0, F.upper("p_brand")).otherwise(F.col("p_brand"))
     return (
         rows.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .withColumns({"token0": brand, "token1": F.col("n_name")})
-        .drop("l_partkey", "l_suppkey", "p_partkey", "p_brand", "s_suppkey", "n_name")
+        .drop("l_partkey", "l_suppkey", "p_partkey", "p_brand", "s_suppkey", "s_nationkey", "n_nationkey", "n_name")
     )
 
 
