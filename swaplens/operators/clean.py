@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from swaplens.functions.numbers import no_nan, to_number, to_whole
+from swaplens.plans.ordered import orderable
 
 # Pool-side column names and the trade-side names that stand for them.
 ALIASES = [
@@ -73,6 +74,6 @@ def dedupe(df: DataFrame, key: str = "id", order: Sequence[str] = ()) -> DataFra
     """
     if key not in df.columns:
         return df
-    by = list(order) or [name for name in df.columns if name != key]
+    by = list(order) or [name for name in orderable(df) if name != key]
     first = Window.partitionBy(key).orderBy(*by)
     return df.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") == 1).drop("_rank")

@@ -9,7 +9,7 @@ from swaplens.functions import dims
 from swaplens.functions.money import usd_volume
 from swaplens.functions.numbers import to_number
 from swaplens.functions.rounding import with_rounded
-from swaplens.plans.scale import small_side
+from swaplens.plans.scale import settle, small_side
 
 
 def price_dim(prices: DataFrame) -> DataFrame:
@@ -187,16 +187,18 @@ def run_stats(
     df = _looked_up(swaps, prices, decimals, None)
     new = F.coalesce(F.col("blockNumber") > last_block, F.lit(False))
     # One pass over the swaps: everything else is counted from one row per pair of token spellings.
-    groups = df.groupBy(
-        "token0",
-        "token1",
-        F.col("_price0").isNotNull().alias("priced0"),
-        F.col("_price1").isNotNull().alias("priced1"),
-    ).agg(
-        F.count("*").alias("fetched"),
-        F.count_if(new).alias("new"),
-        F.count_if(new & _reason("skip").isNull()).alias("enriched"),
-        F.max("blockNumber").alias("block"),
+    groups = settle(
+        df.groupBy(
+            "token0",
+            "token1",
+            F.col("_price0").isNotNull().alias("priced0"),
+            F.col("_price1").isNotNull().alias("priced1"),
+        ).agg(
+            F.count("*").alias("fetched"),
+            F.count_if(new).alias("new"),
+            F.count_if(new & _reason("skip").isNull()).alias("enriched"),
+            F.max("blockNumber").alias("block"),
+        )
     )
     pairs = groups.where(F.col("enriched") > 0).select(F.lower("token0"), F.lower("token1")).distinct()
     tokens = (

@@ -10,7 +10,7 @@ from swaplens.operators.aggregate import summarize
 from swaplens.operators.enrich import enrich_swaps, run_stats
 from swaplens.sources.files import read, write
 from swaplens.sources.state import load_state, save_state
-from swaplens.sources.swaps import after_block, recent
+from swaplens.sources.swaps import after_block, within
 
 
 def run_batch(
@@ -37,7 +37,7 @@ def run_batch(
     if window_minutes is not None:
         if now is None:
             raise ValueError("window_minutes needs now (epoch seconds)")
-        swaps = recent(swaps, window_minutes, now)
+        swaps = within(swaps, window_minutes, now)
     stats = run_stats(swaps, prices, last, decimals).first().asDict()
     if stats["swaps_new"] == 0:
         return stats

@@ -13,6 +13,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def orderable(df: DataFrame) -> list[str]:
+    """The columns rows can be sorted by: all but maps and variants."""
+    kinds = (T.MapType, T.VariantType)
+    return [f.name for f in df.schema if not isinstance(f.dataType, kinds)]
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:

@@ -15,13 +15,18 @@ from swaplens.schemas import MIDS_DDL, TRADES_DDL
 SUBSCRIBED = ("BTC", "ETH", "SOL")
 
 
+def _parsed(raw: DataFrame, rest: list[str], column: str, ddl: str) -> DataFrame:
+    # As generator output the message is parsed once, not again for the filter on its channel.
+    return raw.select(*rest, F.explode(F.array(F.from_json(column, ddl))).alias("_m"))
+
+
 def parse_mids(raw: DataFrame, column: str = "value", symbols: Sequence[str] = SUBSCRIBED) -> DataFrame:
     """One tick per subscribed coin and allMids message; unreadable prices are left out.
 
     Columns of ``raw`` other than the message are kept.
     """
     rest = [name for name in raw.columns if name != column]
-    message = raw.select(*rest, F.from_json(column, MIDS_DDL).alias("_m")).where(F.col("_m.channel") == "allMids")
+    message = _parsed(raw, rest, column, MIDS_DDL).where(F.col("_m.channel") == "allMids")
     mids = message.select(*rest, F.explode("_m.data").alias("_coin", "_text")).where(F.col("_coin").isin(*symbols))
     return mids.select(
         *rest, normalize_symbol(F.col("_coin")).alias("symbol"), to_number(F.col("_text")).alias("price")
@@ -34,7 +39,7 @@ def parse_trades(raw: DataFrame, column: str = "value") -> DataFrame:
     Columns of ``raw`` other than the message are kept.
     """
     rest = [name for name in raw.columns if name != column]
-    message = raw.select(*rest, F.from_json(column, TRADES_DDL).alias("_m")).where(F.col("_m.channel") == "trades")
+    message = _parsed(raw, rest, column, TRADES_DDL).where(F.col("_m.channel") == "trades")
     last = message.select(*rest, F.try_element_at("_m.data", F.lit(-1)).alias("_t"))
     return last.select(
         *rest, normalize_symbol(F.col("_t.coin")).alias("symbol"), to_number(F.col("_t.px")).alias("price")

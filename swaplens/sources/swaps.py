@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from swaplens.functions.numbers import to_integer
+from swaplens.plans.ordered import orderable
 from swaplens.schemas import PAGE_DDL
 
 
@@ -14,10 +16,6 @@ def _text(col: Column) -> Column:
     return F.nullif(col, F.lit(""))
 
 
-def _integer(col: Column) -> Column:
-    return F.trim(col).try_cast("bigint")
-
-
 def parse_swap_pages(raw: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """(swaps, rejects) from one JSON response page per row.
 
@@ -25,23 +23,18 @@ def parse_swap_pages(raw: DataFrame, column: str = "value") -> tuple[DataFrame,
     unreadable block number or without both tokens is a reject of its own; the rest of its page goes on.
     A missing block number is 0, as pages need not carry it.
     """
-    page = raw.select(F.col(column).alias("raw"), F.from_json(column, PAGE_DDL).alias("page"))
-    swaps_in = F.col("page.data.swaps")
-    page_reason = F.when(
-        F.col("page.errors").isNotNull(),
-        F.concat(
-            F.lit("errors: "),
-            F.coalesce(F.concat_ws("; ", F.transform("page.errors", lambda e: e["message"])), F.lit("")),
-        ),
-    ).when(swaps_in.isNull(), "no swap list")
-    judged = page.withColumn("reason", page_reason)
-    rows = judged.where(F.col("reason").isNull()).select(F.explode("page.data.swaps").alias("s"))
+    # As generator output the page is parsed once, however many of its fields are tested below.
+    page = raw.select(F.col(column).alias("raw"), F.inline(F.array(F.from_json(column, PAGE_DDL))))
+    has_errors, no_list = F.col("errors").isNotNull(), F.col("data.swaps").isNull()
+    rows = page.where(~has_errors & ~no_list).select(F.explode("data.swaps").alias("s"))
+    messages = F.array_join(F.transform("errors", lambda e: e["message"]), "; ")
+    page_reason = F.when(has_errors, F.concat(F.lit("errors: "), messages)).otherwise("no swap list")
     block = _text(F.col("s.blockNumber"))
     checked = rows.select(
         "s",
         F.coalesce(_text(F.col("s.transaction.id")), F.col("s.id"), F.lit("")).alias("txHash"),
-        F.when(block.isNull(), F.lit(0)).otherwise(_integer(block)).alias("blockNumber"),
-        _integer(F.col("s.timestamp")).alias("timestamp"),
+        F.when(block.isNull(), F.lit(0)).otherwise(to_integer(block)).alias("blockNumber"),
+        to_integer(F.col("s.timestamp")).alias("timestamp"),
         F.coalesce("s.token0.id", F.lit("")).alias("token0"),
         F.coalesce("s.token1.id", F.lit("")).alias("token1"),
         F.col("s.amount0").alias("amount0"),
@@ -55,16 +48,25 @@ def parse_swap_pages(raw: DataFrame, column: str = "value") -> tuple[DataFrame,
     )
     swaps = checked.where(F.col("reason").isNull()).drop("s", "reason")
     rejects = (
-        judged.where(F.col("reason").isNotNull())
-        .select("reason", "raw")
+        page.where(has_errors | no_list)
+        .select(page_reason.alias("reason"), "raw")
         .unionByName(checked.where(F.col("reason").isNotNull()).select("reason", F.to_json("s").alias("raw")))
     )
     return swaps, rejects
 
 
+def within(df: DataFrame, minutes: int, now: int) -> DataFrame:
+    """Rows of the last ``minutes`` before ``now`` (epoch seconds)."""
+    return df.where(F.col("timestamp") >= now - minutes * 60)
+
+
 def recent(df: DataFrame, minutes: int, now: int) -> DataFrame:
-    """Rows of the last ``minutes`` before ``now`` (epoch seconds), the oldest first."""
-    return df.where(F.col("timestamp") >= now - minutes * 60).orderBy("timestamp")
+    """Rows of the last ``minutes`` before ``now`` (epoch seconds), the oldest first.
+
+    Equal timestamps are ordered by the other columns, so that a crowded second can be cut between tasks.
+    """
+    rest = [name for name in orderable(df) if name != "timestamp"]
+    return within(df, minutes, now).orderBy("timestamp", *rest)
 
 
 def page(df: DataFrame, order: Sequence[str], first: int, skip: int = 0) -> DataFrame:
