@@ -74,6 +74,6 @@ def dedupe(df: DataFrame, key: str = "id", order: Sequence[str] = ()) -> DataFra
     """
     if key not in df.columns:
         return df
-    by = list(order) or [name for name in orderable(df) if name != key]
+    by = list(order) or orderable(df)
     first = Window.partitionBy(key).orderBy(*by)
     return df.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") == 1).drop("_rank")

