@@ -5,11 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A lookup side of at most this many rows (some 20 MB) is sent to every executor.
-BROADCAST_ROWS = 200_000
+# A lookup side of at most this size is sent to every executor.
+BROADCAST_BYTES = 64 * 2**20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,13 +34,25 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_side(df: DataFrame, derived: bool = False, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a lookup table for broadcast if counting shows that it is small.
+def _row_bytes(df: DataFrame) -> Column:
+    """About what a row takes in memory: a word or two per column, and the text and nested values themselves."""
+    size = F.lit(16 * len(df.columns))
+    for field in df.schema:
+        col = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(col), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
+    return size.cast("bigint")
+
+
+def small_side(df: DataFrame, derived: bool = False, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a lookup table for broadcast if measuring it shows that it is small.
 
     Otherwise it is returned as it is: the join shuffles both sides and adaptive execution splits hot keys.
-    A ``derived`` table (joined or aggregated) is settled first, so that counting and joining compute it once.
+    A ``derived`` table (joined or aggregated) is settled first, so that measuring and joining compute it once.
     """
     if derived:
         df = settle(df)
-    fits = df.limit(rows + 1).count() <= rows
-    return F.broadcast(df) if fits else df
+    size = df.agg(F.sum(_row_bytes(df))).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df

@@ -1,0 +1,70 @@
+import json
+
+import pytest
+from conftest import USDC, WBTC, WETH
+from pyspark.sql import functions as F
+
+from swaplens.__main__ import main
+from swaplens.plans.batch import run_batch
+from swaplens.sources.files import read
+from swaplens.sources.state import load_state
+
+
+def test_three_runs(spark, swaps, prices, tmp_path):
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    first = run_batch(spark, swaps.where("blockNumber <= 1001"), prices, out, state)
+    assert (first["swaps_new"], first["swaps_enriched"]) == (2, 2)
+    assert load_state(spark, state)["last_processed_block"] == 1001
+
+    again = run_batch(spark, swaps.where("blockNumber <= 1001"), prices, out, state)
+    assert again["swaps_new"] == 0 and "output_swaps" not in again
+
+    third = run_batch(spark, swaps, prices, out, state)
+    assert (third["swaps_filtered"], third["swaps_new"]) == (2, 1)
+    assert load_state(spark, state)["last_processed_block"] == 1002
+
+    summary = read(spark, f"{out}/summary", "csv", "pair STRING, count BIGINT, totalUSD DOUBLE, avgUSD DOUBLE, run BIGINT")
+    got = {(r.run, r.pair, r["count"], r.totalUSD) for r in summary.collect()}
+    assert got == {(1001, f"{WETH}-{USDC}", 2, 6000.0), (1002, f"{WBTC}-{USDC}", 1, 20000.0)}
+    rows = read(spark, f"{out}/swaps", "json", "txHash STRING, usdVolume DOUBLE, run BIGINT")
+    assert sorted(r.usdVolume for r in rows.collect()) == [2000.0, 4000.0, 20000.0]
+
+
+def test_window_and_repeat(spark, swaps, prices, tmp_path):
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    with pytest.raises(ValueError):
+        run_batch(spark, swaps, prices, out, state, window_minutes=1)
+    stats = run_batch(spark, swaps, prices, out, state, window_minutes=1, now=1640000160, swaps_format="parquet", top_n=1)
+    assert stats["swaps_fetched"] == 2
+    # The same increment from the same state overwrites its own folder.
+    run_batch(spark, swaps, prices, out, f"{state}2", window_minutes=1, now=1640000160, swaps_format="parquet")
+    assert spark.read.parquet(f"{out}/swaps").count() == 2
+
+
+def test_nothing_fetched(spark, swaps, prices, tmp_path):
+    stats = run_batch(spark, swaps.limit(0), prices, str(tmp_path / "o"), str(tmp_path / "s"))
+    assert stats["swaps_fetched"] == 0 and not (tmp_path / "o").exists()
+
+
+def test_command_line(spark, swaps, tmp_path, capsys):
+    record = lambda r: {
+        "id": r.txHash,
+        "timestamp": str(r.timestamp),
+        "blockNumber": str(r.blockNumber),
+        "token0": {"id": r.token0},
+        "token1": {"id": r.token1},
+        "amount0": r.amount0,
+        "amount1": r.amount1,
+    }
+    (tmp_path / "pages").mkdir()
+    (tmp_path / "prices").mkdir()
+    page = {"data": {"swaps": [record(r) for r in swaps.collect()]}}
+    (tmp_path / "pages" / "1.json").write_text(json.dumps(page, indent=1))
+    quotes = {"weth": {"usd": 2000.0}, "usd-coin": {"usd": 1.0}, "wrapped-bitcoin": {"usd": 40000.0}}
+    (tmp_path / "prices" / "1.json").write_text(json.dumps(quotes))
+    places = [f"--{name}={tmp_path / name}" for name in ("pages", "prices", "out", "state")]
+    assert main([*places, "--now=1640000300"]) == 0
+    stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (stats["swaps_enriched"], stats["pairs_summarized"], stats["latest_block"]) == (3, 2, 1002)
+    total = spark.read.option("header", True).csv(f"{tmp_path}/out/summary").agg(F.sum("totalUSD")).first()[0]
+    assert total == 26000.0

@@ -149,7 +149,7 @@ def test_lookup_beyond_the_limit_still_joins(monkeypatch, swaps, prices):
     from swaplens.operators import enrich
     from swaplens.plans.scale import small_side
 
-    monkeypatch.setattr(enrich, "small_side", lambda df, derived=False: small_side(df, derived, rows=1))
+    monkeypatch.setattr(enrich, "small_side", lambda df, derived=False: small_side(df, derived, limit=1))
     got = enrich_swaps(swaps, prices)
     assert "ResolvedHint" not in got._jdf.queryExecution().analyzed().toString()
     assert got.count() == 3
