@@ -8,6 +8,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from swaplens.plans.once import with_once
+
 # 2**27 + 1 cuts a double into two halves whose products with 10**6 are exact.
 _SPLIT = 134217729.0
 
@@ -36,32 +38,34 @@ def with_rounded(
     coarse = 2.0 ** math.floor(53 - math.log2(scale))
     names = list(columns)
     raw = df.withColumns({f"_raw_{n}": columns[n].cast("double") for n in names})
-    cut = raw.withColumns(
-        {f"_scaled_{n}": F.abs(f"_raw_{n}") * scale for n in names}
-        | {f"_high_{n}": _high_half(F.abs(f"_raw_{n}")) for n in names}
-    )
-    parts = cut.withColumns({f"_whole_{n}": F.floor(f"_scaled_{n}").cast("double") for n in names})
-    parts = parts.withColumns({f"_beyond_{n}": _beyond_half(n, scale) for n in names})
-    # As generator output, a later filter on the result stays above it. On a plain projection it would be pushed
-    # down and carry some fifteen copies of each input with it.
-    done = F.inline(F.array(F.struct(*[_rounded(n, scale, coarse, ties).alias(n) for n in names])))
-    return parts.select(*[name for name in df.columns if name not in names], done)
+    cut = raw.selectExpr("*", *[e for n in names for e in (_scaled(n, scale), _high_half(n))])
+    parts = cut.selectExpr("*", *[f"cast(floor(`_scaled_{n}`) AS DOUBLE) AS `_whole_{n}`" for n in names])
+    parts = parts.selectExpr("*", *[_beyond_half(n, scale) for n in names])
+    # A filter on a result would otherwise carry some fifteen copies of each input below the projections.
+    done = with_once(parts, {n: F.expr(_rounded(n, scale, coarse, ties)) for n in names})
+    kinds = ("raw", "scaled", "high", "whole", "beyond")
+    return done.drop(*[f"_{kind}_{n}" for kind in kinds for n in names])
+
+
+def _scaled(n: str, scale: float) -> str:
+    return f"abs(`_raw_{n}`) * {scale}D AS `_scaled_{n}`"
 
 
-def _high_half(a: Column) -> Column:
-    return a * _SPLIT - (a * _SPLIT - a)
+def _high_half(n: str) -> str:
+    a = f"abs(`_raw_{n}`)"
+    return f"{a} * {_SPLIT}D - ({a} * {_SPLIT}D - {a}) AS `_high_{n}`"
 
 
-def _beyond_half(n: str, scale: float) -> Column:
+def _beyond_half(n: str, scale: float) -> str:
     """How far the exact product lies above the middle between two steps; the sign is exact."""
-    raw, scaled, high = F.abs(f"_raw_{n}"), F.col(f"_scaled_{n}"), F.col(f"_high_{n}")
-    error = (high * scale - scaled) + (raw - high) * scale
-    return (scaled - F.col(f"_whole_{n}") - 0.5) + error
+    raw, scaled, high = f"abs(`_raw_{n}`)", f"`_scaled_{n}`", f"`_high_{n}`"
+    error = f"({high} * {scale}D - {scaled}) + ({raw} - {high}) * {scale}D"
+    return f"({scaled} - `_whole_{n}` - 0.5D) + ({error}) AS `_beyond_{n}`"
 
 
-def _rounded(n: str, scale: float, coarse: float, ties: str) -> Column:
-    raw, whole, beyond = F.col(f"_raw_{n}"), F.col(f"_whole_{n}"), F.col(f"_beyond_{n}")
-    up = beyond >= 0 if ties == "up" else (beyond > 0) | ((beyond == 0) & (whole % 2.0 == 1.0))
-    near = F.signum(raw) * F.when(up, whole + 1.0).otherwise(whole) / scale
+def _rounded(n: str, scale: float, coarse: float, ties: str) -> str:
+    raw, whole, beyond = f"`_raw_{n}`", f"`_whole_{n}`", f"`_beyond_{n}`"
+    up = f"{beyond} >= 0" if ties == "up" else f"{beyond} > 0 OR ({beyond} = 0 AND {whole} % 2 = 1)"
+    near = f"signum({raw}) * CASE WHEN {up} THEN {whole} + 1 ELSE {whole} END / {scale}D"
     # NaN compares above every number in Spark, so NaN and infinity pass through unchanged here.
-    return F.when(F.abs(raw) >= coarse, raw).otherwise(near + 0.0)
+    return f"CASE WHEN abs({raw}) >= {coarse}D THEN {raw} ELSE {near} + 0.0D END"

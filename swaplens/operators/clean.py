@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from swaplens.functions.numbers import no_nan, to_number, to_whole
+from swaplens.plans.once import with_once
 from swaplens.plans.ordered import orderable
 
 # Pool-side column names and the trade-side names that stand for them.
@@ -29,28 +30,20 @@ def normalize_swaps(df: DataFrame) -> DataFrame:
 
     Text that is no number becomes NULL. ``timestamp`` holds epoch seconds.
     """
+    text = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    numeric = [name for name in NUMERIC if name in df.columns]
+    parsed = {name: to_number(F.col(name)) for name in [*numeric, "timestamp"] if name in text}
+    if "blockNumber" in text:
+        parsed["blockNumber"] = to_whole(F.col("blockNumber"))
+    if parsed:
+        df = with_once(df, parsed)
+    df = df.withColumns({name: no_nan(F.col(name).cast("double")) for name in numeric if name not in text})
     have = set(df.columns)
     df = df.withColumns({new: F.col(old) for old, new in ALIASES if old in have and new not in have})
-    have = set(df.columns)
-    changes = {name: _double(df, name) for name in NUMERIC if name in have}
-    if "blockNumber" in have and not _is_whole(df, "blockNumber"):
-        changes["blockNumber"] = to_whole(F.col("blockNumber").cast("string"))
-    if "timestamp" in have:
-        seconds = F.col("timestamp") if _is_whole(df, "timestamp") else _double(df, "timestamp")
-        changes["timestamp"] = F.timestamp_micros((seconds * 1000000).try_cast("bigint"))
-    df = df.withColumns(changes)
-    return df.withColumn("date", F.to_date("timestamp")) if "timestamp" in have else df
-
-
-def _is_whole(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.IntegralType)
-
-
-def _double(df: DataFrame, name: str) -> Column:
-    col = F.col(name)
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return to_number(col)
-    return no_nan(col.cast("double"))
+    if "timestamp" not in have:
+        return df
+    micros = (F.col("timestamp") * 1000000).try_cast("bigint")
+    return df.withColumn("timestamp", F.timestamp_micros(micros)).withColumn("date", F.to_date("timestamp"))
 
 
 def validate(df: DataFrame, allow_negative: Sequence[str] = ()) -> DataFrame:

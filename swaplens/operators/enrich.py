@@ -9,6 +9,7 @@ from swaplens.functions import dims
 from swaplens.functions.money import usd_volume
 from swaplens.functions.numbers import to_number
 from swaplens.functions.rounding import with_rounded
+from swaplens.plans.once import with_once
 from swaplens.plans.scale import settle, small_side
 
 
@@ -100,12 +101,12 @@ def _looked_up(
     """
     tokens = token_dim(prices, decimals, stables)
     dim = small_side(tokens.where(F.col("price").isNotNull()) if how == "inner" else tokens, derived=True)
-    df = swaps
+    df = with_once(swaps, {f"_number{s}": to_number(F.col(f"amount{s}")) for s in "01"})
     for suffix in "01":
         df = _with_side(df, dim, f"token{suffix}", suffix, LOOKUPS, how)
     for s in "01":
         units = F.coalesce(f"_units{s}", F.lit(10.0**dims.DEFAULT_DECIMALS)) if amounts_are_raw else F.lit(1.0)
-        df = df.withColumn(f"_quantity{s}", to_number(F.col(f"amount{s}")) / units)
+        df = df.withColumn(f"_quantity{s}", F.col(f"_number{s}") / units).drop(f"_number{s}")
     return df
 
 
