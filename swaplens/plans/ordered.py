@@ -112,12 +112,7 @@ def _span(
     if len(cells) > 1:
         between = _span(totals, keys, names, width, cells[1:], False, False)
     else:
-        # Each cell adds its total to the width/cell - 1 cells after it.
-        later = F.sequence(F.col("_at") + cell, F.col("_at") + (width - cell), F.lit(cell))
-        reach = totals if width == cell else totals.withColumn("_at", F.explode(later))
-        if width == cell:
-            return near.drop("_cell")
-        between = reach.groupBy(*keys, "_at").agg(*[F.sum(n).alias(n) for n in names])
+        between = _whole_cells(totals, keys, names, width, cell)
     n_, b_ = near.alias("n"), between.alias("b")
     match = F.col("n._cell") == F.col("b._at")
     for key in keys:
@@ -127,6 +122,22 @@ def _span(
     )
 
 
+def _whole_cells(totals: DataFrame, keys: list[str], names: list[str], width: int, cell: int) -> DataFrame:
+    """For each cell the sum of the width/cell - 1 cells before it.
+
+    Cells are grouped in blocks of one width, each block also getting a copy of the one before: a window holds
+    at most 2 * width/cell rows and a frame half of that.
+    """
+    block = F.col("_at") - F.pmod(F.col("_at"), F.lit(width))
+    both = totals.withColumn("_copy", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn(
+        "_block", block + F.when(F.col("_copy"), width).otherwise(0)
+    )
+    before = Window.partitionBy(*keys, "_block").orderBy("_at").rangeBetween(cell - width, -cell)
+    return (
+        both.withColumns({n: F.sum(n).over(before) for n in names}).where(~F.col("_copy")).select(*keys, "_at", *names)
+    )
+
+
 def _add(a: str, b: str) -> Column:
     """Sum that skips NULL, and is NULL only if both are."""
     x, y = F.col(a), F.col(b)
