@@ -1,4 +1,4 @@
-"""spark-submit entry: process response pages and prices that a fetcher left as JSON files."""
+"""Command line: process response pages and prices that a fetcher left as JSON files."""
 
 from __future__ import annotations
 
