@@ -14,9 +14,11 @@ BROADCAST_BYTES = 64 * 2**20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, from spark.checkpoint.dir; a temporary one only where unset (tests)."""
+    """The folder all executors see, from spark.checkpoint.dir; a temporary one only in local mode."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors see")
         path = tempfile.mkdtemp(prefix="swaplens-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
