@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swaplens.llm import mixing, sharding, token_output
-from swaplens.llm.common import table
+from swaplens.llm import mixing, ngram_join, sharding, token_output, toxicity
+from swaplens.llm.common import held_out, table
 
 
 def tokenizer_path() -> str:
@@ -19,6 +19,24 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    tagged = toxicity.tag_documents(docs, model)
+    return tagged.select(
+        "doc_id",
+        held_out(5).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        F.size("spans").alias("n_spans"),
+    )
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_rows(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -32,8 +50,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_output": op2_token_output,
+    "op3_ngram_join": op3_ngram_join,
+    "op7_toxicity": op7_toxicity,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
 }
 
-ORACLES = {"op10_mixing": mixing.ORACLE}
+ORACLES = {"op3_ngram_join": ngram_join.ORACLE, "op10_mixing": mixing.ORACLE}
