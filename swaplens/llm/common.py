@@ -16,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the public tokenizer's file lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
@@ -59,3 +66,18 @@ def slices(texts: list, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
             begin, held = i + 1, 0
     if begin < len(texts):
         yield begin, len(texts)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that no column has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def as_they_are(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]

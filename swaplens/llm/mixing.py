@@ -16,8 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from swaplens.llm.common import n_words, text_or_empty
-from swaplens.plans.scale import settle
+from swaplens.llm.common import as_they_are, fresh, n_words, text_or_empty
+from swaplens.plans.scale import settle, small_side
 
 HASH_BITS, STEP_BITS = 60, 12
 
@@ -114,6 +114,23 @@ def mix(
     )
 
 
+def apply_mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The documents of the mix, as often as it takes them, all columns as they are."""
+    hashed, number = fresh(docs, "hash", "copies")
+    sized = settle(docs.select("doc_id", "source", n_words(text_or_empty()).alias("size"), mix_hash().alias("hash")))
+    limits = thresholds(sized, targets(sized, weights, share, most))
+    limits = small_side(limits.select(*[F.col(c).alias(f"{c} of the mix") for c in ("b_source", "rounds", "budget", "threshold", "whole")]))
+    limit = {c: F.col(f"`{c} of the mix`") for c in ("b_source", "rounds", "budget", "threshold", "whole")}
+    more = (F.col(hashed) < limit["threshold"]) | ((F.col(hashed) == limit["threshold"]) & limit["whole"])
+    copies = limit["rounds"] + F.when(more & (limit["budget"] > 0), 1).otherwise(0)
+    return (
+        docs.withColumn(hashed, mix_hash())
+        .join(limits, F.col("source").eqNullSafe(limit["b_source"]))
+        .withColumn(number, F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
+        .select(*as_they_are(docs))
+    )
+
+
 ORACLE = """
 WITH sized AS (
   SELECT doc_id, source,

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from swaplens.llm.common import chunks_for, text_bytes, words
+from swaplens.llm.common import as_they_are, chunks_for, fresh, text_bytes, words
 from swaplens.llm.components import components
 from swaplens.plans.scale import run_dir, settle
 
@@ -226,7 +226,7 @@ def links(members: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, q: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, rowkey, n_shingles, key and component_id (the least doc_id that links reach) of every document.
+    """doc_id, rowkey, n_shingles, group (null for an empty set) and component_id (the least doc_id that links reach) of every document.
 
     Documents link when 100 * intersection >= ``percent`` * union of their sets of ``q``-word shingles.
     """
@@ -250,16 +250,33 @@ def near_duplicates(docs: DataFrame, q: int = 4, percent: int = 85) -> DataFrame
         .groupBy("component")
         .agg(F.min("id").alias("component_id"))
     )
-    by_key = found.join(least, "component").select(F.col("node").alias("n_key"), "component_id")
+    by_key = found.join(least, "component").select(F.col("node").alias("n_key"), "component", "component_id")
     alone = signed.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("class_id"))
     of_class = alone.join(by_key, F.col("key") == F.col("n_key"), "left").select(
-        F.col("key").alias("c_key"), F.coalesce("component_id", "class_id").alias("component_id")
+        F.col("key").alias("c_key"), F.coalesce("component", "key").alias("group"), F.coalesce("component_id", "class_id").alias("component_id")
     )
     return signed.join(of_class, F.col("key") == F.col("c_key"), "left").select(
-        "doc_id", "rowkey", "n_shingles", "key", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+        "doc_id", "rowkey", "n_shingles", "group", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
+def keep_one(docs: DataFrame, q: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each group of linked ones, that of the least id, all columns as they are; documents without words all stay."""
+    (rowkey,) = fresh(docs, "rowkey")
+    found = settle(near_duplicates(docs, q, percent))
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "rowkey")
+    grouped = found.where("group IS NOT NULL")
+    stay = grouped.groupBy("group").agg(F.min(order).alias("row")).select(F.col("row.doc_id").alias("s_id"), F.col("row.rowkey").alias("s_key"))
+    stay = stay.union(found.where("group IS NULL").select("doc_id", "rowkey").distinct())
+    repeated = settle(grouped.groupBy(F.col("doc_id").alias("r_id"), F.col("rowkey").alias("r_key")).count().where("count > 1").drop("count"))
+    keyed = docs.withColumn(rowkey, F.xxhash64("doc_id", "text"))
+    kept = keyed.join(stay, (F.col(rowkey) == F.col("s_key")) & F.col("doc_id").eqNullSafe(F.col("s_id")), "left_semi")
+    if not repeated.isEmpty():
+        again = (F.col(rowkey) == F.col("r_key")) & F.col("doc_id").eqNullSafe(F.col("r_id"))
+        kept = kept.join(repeated, again, "left_anti").union(kept.join(repeated, again, "left_semi").dropDuplicates(["doc_id", rowkey]))
+    return kept.select(*as_they_are(docs))
+
+
 ORACLE = """
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

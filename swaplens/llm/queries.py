@@ -5,14 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swaplens.llm import mixing, ngram_join, sharding, token_output, toxicity
-from swaplens.llm.common import held_out, table
-
-
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
+import corpus_pipeline
+from swaplens.llm import decontamination, mixing, ngram_join, sharding, token_output, toxicity
+from swaplens.llm.common import held_out, table, tokenizer_path
 
 
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +19,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.drop("score")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
@@ -51,9 +51,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_output": op2_token_output,
     "op3_ngram_join": op3_ngram_join,
+    "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLES = {"op3_ngram_join": ngram_join.ORACLE, "op10_mixing": mixing.ORACLE}
+ORACLES = {
+    "op3_ngram_join": ngram_join.ORACLE,
+    "op6_decontamination": decontamination.ORACLE,
+    "op10_mixing": mixing.ORACLE,
+}
