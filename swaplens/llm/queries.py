@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from swaplens.llm import decontamination, mixing, ngram_join, sharding, token_output, toxicity
+from swaplens.llm import decontamination, embedding_dedup, mixing, ngram_join, sharding, token_output, toxicity
 from swaplens.llm.common import held_out, table, tokenizer_path
 
 
@@ -19,6 +19,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.deduplicate(table(spark, sf_dir, "embeddings"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return leaks.drop("score")
@@ -51,6 +55,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_output": op2_token_output,
     "op3_ngram_join": op3_ngram_join,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
     "op9_sharding": op9_sharding,
@@ -60,6 +65,7 @@ QUERIES = {
 
 ORACLES = {
     "op3_ngram_join": ngram_join.ORACLE,
+    "op5_embedding_dedup": embedding_dedup.ORACLE,
     "op6_decontamination": decontamination.ORACLE,
     "op10_mixing": mixing.ORACLE,
 }
