@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from swaplens.llm import decontamination, embedding_dedup, mixing, ngram_join, sharding, token_output, toxicity
+from swaplens.llm import decontamination, embedding_dedup, hmm_scoring, html_text, mixing, ngram_join, sharding, token_output, toxicity
 from swaplens.llm.common import held_out, table, tokenizer_path
 
 
+def op1_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -19,6 +23,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.deduplicate(table(spark, sf_dir, "embeddings"))
 
@@ -53,8 +62,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_hmm_scoring": op1_hmm_scoring,
     "op2_token_output": op2_token_output,
     "op3_ngram_join": op3_ngram_join,
+    "op4_html_text": op4_html_text,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
