@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from swaplens.llm import decontamination, embedding_dedup, hmm_scoring, html_text, mixing, ngram_join, sharding, token_output, toxicity
+from swaplens.llm import decontamination, embedding_dedup, hmm_scoring, html_text, mixing, ngram_join, sharding, suffix_dedup, token_output, toxicity
 from swaplens.llm.common import held_out, table, tokenizer_path
 
 
@@ -50,6 +50,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_rows(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -69,6 +73,7 @@ QUERIES = {
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
     "pipeline": corpus_pipeline.run,
