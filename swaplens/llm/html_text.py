@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from math import e, log
 
@@ -69,8 +70,8 @@ class Tree:
         return len(self.tag) - 1
 
 
-def _is_out(tag: str, attrs: str, stack_tags: list[str]) -> bool:
-    if tag in NO_TEXT or (tag == "header" and not KEPT.intersection(stack_tags[1:]).difference(["html", "body"])):
+def _is_out(tag: str, attrs: str, in_article: bool) -> bool:
+    if tag in NO_TEXT or (tag == "header" and not in_article):
         return True
     if tag in KEPT or not attrs.strip("/ "):
         return False
@@ -86,15 +87,19 @@ def _is_out(tag: str, attrs: str, stack_tags: list[str]) -> bool:
 def parse(page: str) -> Tree:
     tree, stack, at = Tree(), [0], 0
     tags = ["html"]
+    opened: Counter = Counter()  # how many of each tag are open
     lower = None
 
     def close(depth: int) -> None:
         while len(stack) > depth:
-            node = stack.pop()
-            if tags.pop() in BLOCK:
+            node, name = stack.pop(), tags.pop()
+            opened[name] -= 1
+            if name in BLOCK:
                 tree.pieces.append((tree.parent[node], None))
 
     def find(wanted, walls=()) -> int:
+        if not any(opened[w] for w in wanted):
+            return 0
         for k in range(len(tags) - 1, 0, -1):
             if tags[k] in wanted:
                 return k
@@ -128,7 +133,7 @@ def parse(page: str) -> Tree:
         if tag in ENDS and (depth := find(*ENDS[tag])):
             close(depth)
         attrs = m["attrs"] if m["tag"] else m["attrs2"]
-        node = tree.add(stack[-1], tag, _is_out(tag, attrs, tags))
+        node = tree.add(stack[-1], tag, _is_out(tag, attrs, opened["article"] + opened["main"] > 0))
         if tag in BLOCK:
             tree.pieces.append((node, None))
         if tag in VOID or attrs.endswith("/") and tag in ("path", "use", "rect", "circle"):
@@ -144,6 +149,7 @@ def parse(page: str) -> Tree:
             continue
         stack.append(node)
         tags.append(tag)
+        opened[tag] += 1
     return tree
 
 
@@ -154,17 +160,14 @@ def main_text(page: str | None) -> str:
     tree = parse(page)
     n, parent, tag, out = len(tree.tag), tree.parent, tree.tag, tree.out
     # A form around the article is no form of the article.
-    for k in range(n):
-        if tag[k] in ("article", "main", "h1"):
-            up = parent[k]
-            while up > 0:
-                if tag[up] == "form":
-                    tag[up] = "div"
-                up = parent[up]
-    link = [False] * n
+    holds = [t in ("article", "main", "h1") for t in tag]
+    for k in range(n - 1, 0, -1):  # children come after their parents
+        holds[parent[k]] = holds[parent[k]] or holds[k]
+    link, article = [False] * n, [0] * n
     for k in range(1, n):
-        out[k] = out[k] or out[parent[k]] or tag[k] == "form"
+        out[k] = out[k] or out[parent[k]] or (tag[k] == "form" and not holds[k])
         link[k] = link[parent[k]] or tag[k] == "a"
+        article[k] = article[parent[k]] or (k if tag[k] == "article" else 0)
     chars, link_chars, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     pieces = [(k, None if t is None else html.unescape(t)) for k, t in tree.pieces if not out[k] or t is None]
     for k, text in pieces:
@@ -172,7 +175,7 @@ def main_text(page: str | None) -> str:
             size = len("".join(text.split()))
             chars[k] += size
             link_chars[k] += size * link[k]
-    for k in range(n - 1, 0, -1):  # children come after their parents
+    for k in range(n - 1, 0, -1):
         if not out[k]:
             p = parent[k]
             chars[p] += chars[k]
@@ -201,12 +204,7 @@ def main_text(page: str | None) -> str:
     for k in range(n):
         if not out[k] and density[k] >= least and tag[k] not in ("html", "body"):
             chosen.add(best_in[k])
-    for k in list(chosen):
-        up = k
-        while up > 0:
-            if tag[up] == "article":
-                chosen.add(up)
-            up = parent[up]
+    chosen |= {article[k] for k in chosen if article[k]}
     inside = [False] * n
     for k in range(n):
         inside[k] = k in chosen or (k > 0 and inside[parent[k]])
