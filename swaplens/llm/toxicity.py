@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swaplens.llm.common import held_out, slices
+from swaplens.plans.scale import settle
 
 FEATURE_BITS = 18
 SEGMENT, BLOCK = 512, 256
@@ -57,8 +58,8 @@ def _cues(word: bytes) -> list[bytes]:
     return [stem] + [stem[:n] + b"*" for n in (4, 5) if len(stem) > n] + [shape] * (len(shape) > 1)
 
 
-def copy_groups(documents: list[list[bytes]], hashes: int = 8) -> list[int]:
-    """A number per document that its copies share: documents with an equal least hash of three-word shingles are joined."""
+def copy_groups(documents: list[list[bytes]], bands: int = 5, rows: int = 3) -> list[int]:
+    """A number per document that its copies share: documents are joined whose least hashes of three-word shingles agree in a band of ``rows``."""
     group = list(range(len(documents)))
 
     def top(i: int) -> int:
@@ -67,14 +68,16 @@ def copy_groups(documents: list[list[bytes]], hashes: int = 8) -> list[int]:
             i = group[i]
         return i
 
-    seen: dict[tuple[int, int], int] = {}
-    multipliers = np.random.default_rng(3).integers(1, 1 << 62, hashes, dtype="u8") * 2 + 1
+    seen: dict[tuple, int] = {}
+    multipliers = np.random.default_rng(3).integers(1, 1 << 62, bands * rows, dtype="u8") * 2 + 1
     for i, tokens in enumerate(documents):
         h = np.array([zlib.crc32(w) for w in tokens], "u8")
         h = h[:-2] * np.uint64(961748941) + h[1:-1] * np.uint64(982451653) + h[2:] if len(h) > 2 else h
-        for k, m in enumerate(multipliers):
-            if len(h):
-                j = seen.setdefault((k, int(((h ^ (h >> np.uint64(29))) * m >> np.uint64(16)).min())), i)
+        if len(h):
+            h ^= h >> np.uint64(29)
+            least = [int((h * m >> np.uint64(16)).min()) for m in multipliers]
+            for k in range(bands):
+                j = seen.setdefault((k, *least[k * rows : (k + 1) * rows]), i)
                 group[top(i)] = top(j)
     return [top(i) for i in range(len(documents))]
 
@@ -266,15 +269,18 @@ class Tagger:
 
 
 def sample(docs: DataFrame, labels: DataFrame, modulus: int, per_label: tuple[int, int], sample_bytes: int) -> tuple[list[str], np.ndarray]:
-    """The labelled rows to learn from: up to ``per_label`` clean and toxic ones by a hash of the id, none held out."""
-    rows = docs.where(F.col("doc_id").isNotNull() & ~held_out(modulus) & (F.octet_length("text") <= sample_bytes))
+    """The labelled rows to learn from: up to ``per_label`` clean and toxic ones by a hash of the id, none held out.
+
+    Rows are chosen without their texts; the chosen ones, a bounded number, are then looked up.
+    """
+    keyed = docs.where(F.col("doc_id").isNotNull() & ~held_out(modulus) & (F.octet_length("text") <= sample_bytes)).select(
+        "doc_id", F.xxhash64("doc_id", "text").alias("rowkey"), "text"
+    )
     tags = labels.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    both = rows.select("doc_id", "text").join(tags, "doc_id")
-    picks = [
-        both.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(most)
-        for label, most in enumerate(per_label)
-    ]
-    got = picks[0].union(picks[1]).select("text", "toxic").collect()
+    both = keyed.select("doc_id", "rowkey").distinct().join(tags, "doc_id")
+    picks = [both.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "rowkey").limit(most) for label, most in enumerate(per_label)]
+    chosen = settle(picks[0].union(picks[1]).select("rowkey", "toxic"))
+    got = keyed.join(F.broadcast(chosen), "rowkey").groupBy("rowkey").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic")).orderBy("rowkey").collect()
     return [r["text"] for r in got], np.array([r["toxic"] for r in got], int)
 
 
