@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swaplens.plans.scale import settle
 
 
+def _rank(node: str, salt: int) -> Column:
+    return F.struct(F.xxhash64(F.lit(salt), node).alias("rank"), F.col(node).alias("node"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and component (the least node that can be reached) of every node of ``edges`` (a, b), loops included.
 
-    Every round maps each node to the least of itself and its neighbours and contracts the edges along; half of the nodes at
-    least go. Then the maps are composed, last to first. A component's least node maps to itself in every round, so it remains. Edges and
-    maps are written to the shared folder, never collected.
+    Every round ranks the nodes by a new hash, maps each to the first of itself and its neighbours, and contracts the edges along. A
+    constant share of the nodes is expected to go each time, on chains as on stars, so rounds grow with the logarithm. Then the maps are
+    composed, last to first. Edges and maps are written to the shared folder, never collected.
     """
     left = settle(edges.select("a", "b").distinct())
     maps = []
     while True:
+        salt = len(maps)
         both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = settle(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("to")))
+        first = both.groupBy("a").agg(F.min(_rank("b", salt)).alias("best"))
+        step = settle(first.select(F.col("a").alias("node"), F.least("best", _rank("a", salt))["node"].alias("to")))
         maps.append(step)
         left = settle(
             left.join(step.withColumnRenamed("to", "x"), F.col("a") == F.col("node"))
@@ -31,10 +37,10 @@ def components(edges: DataFrame) -> DataFrame:
         )
         if left.isEmpty():
             break
-    found = maps[-1].withColumnRenamed("to", "component")
+    found = maps[-1]
     for step in reversed(maps[:-1]):
-        after = found.withColumnRenamed("node", "n")
-        found = step.join(after, F.col("to") == F.col("n"), "left").select(
-            "node", F.coalesce("component", "to").alias("component")
-        )
-    return settle(found)
+        after = found.select(F.col("node").alias("n"), F.col("to").alias("end"))
+        found = step.join(after, F.col("to") == F.col("n"), "left").select("node", F.coalesce("end", "to").alias("to"))
+    found = settle(found)
+    least = found.groupBy(F.col("to").alias("end")).agg(F.min("node").alias("component"))
+    return settle(found.join(least, F.col("to") == F.col("end")).select("node", "component"))
