@@ -33,6 +33,7 @@ from swaplens.plans.scale import run_dir
 LENGTH, GRAM = 100, 32
 REACH = LENGTH - GRAM  # how far an anchor can stand from its window's start
 CHUNK_BYTES, SLICE_BYTES = 8 * 2**20, 2**20
+WIDE = 16  # members from which an interval is cut by arrays
 UNKNOWN = np.iinfo("i8").max
 
 
@@ -269,6 +270,46 @@ def maximal_repeats(lefts: list[bytes], rights: list[bytes], least: int = LENGTH
             yield left, right, members[x:y]
 
 
+def losses(lefts: list[bytes], rights: list[bytes], order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(member, left, right): what occurrences lose to a repeat that an earlier one (by ``order``) has as well.
+
+    All windows around an anchor overlap, so a member loses one span: from its longest left extension in any group to its longest right one. A
+    wide interval at the root of the tree, with copies that part at every byte, has nearly as many nested groups as members
+    times bytes; it is cut level by level instead, for each place of the anchor in the window, which visits the same groups as arrays.
+    """
+    suffixes = sorted(range(len(rights)), key=rights.__getitem__)
+    prefixes = common_prefixes([rights[k] for k in suffixes])
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], prefixes >= GRAM, [False]]).astype("i1")))
+    left_of, right_of = np.zeros(len(rights), "i8"), np.zeros(len(rights), "i8")
+    for i, j in (edges.reshape(-1, 2) - [1, 0]).tolist():
+        members = suffixes[i:j]
+        if j - i < WIDE:
+            for left, right, group in maximal_repeats([lefts[k] for k in members], [rights[k] for k in members]):
+                group = [members[k] for k in group]
+                first = min(group, key=order.__getitem__)
+                for k in group:
+                    if k != first:
+                        left_of[k], right_of[k] = max(left_of[k], left), max(right_of[k], right)
+            continue
+        ids = np.array(members)
+        by_left = np.array(sorted(range(j - i), key=lambda k: lefts[members[k]]))
+        before = common_prefixes([lefts[members[k]] for k in by_left])
+        by_order = np.argsort(order[ids], kind="stable")
+        parts, left_group = prefixes[i:j].copy(), np.empty(j - i, "i8")
+        parts[0] = 0
+        for back in range(REACH + 1):
+            left_group[by_left] = np.cumsum(before < back)
+            group = (np.cumsum(parts < LENGTH - back) * (j - i + 1) + left_group)[by_order]
+            _, first = np.unique(group, return_index=True)
+            again = np.ones(j - i, bool)
+            again[first] = False
+            k = ids[by_order[again]]
+            left_of[k] = back
+            right_of[k] = np.maximum(right_of[k], LENGTH - back)
+    member = np.flatnonzero(right_of)
+    return member, left_of[member], right_of[member]
+
+
 def border_repeats(made: DataFrame) -> DataFrame:
     """Per chunk the spans (number of the document, start, end) that border contexts lose."""
 
@@ -287,15 +328,8 @@ def border_repeats(made: DataFrame) -> DataFrame:
         place, chunk = np.concatenate(places), np.concatenate(chunks)
         rank = np.empty(len(place), "i8")
         rank[np.lexsort((place[:, 2], place[:, 1], chunk, place[:, 0]))] = np.arange(len(place))
-        order = rank.tolist()
-        who, left_of, right_of = [], [], []
-        for left, right, members in maximal_repeats(lefts, rights):
-            first = min(members, key=order.__getitem__)
-            who += [m for m in members if m != first]
-            left_of += [left] * (len(members) - 1)
-            right_of += [right] * (len(members) - 1)
-        who = np.array(who, "i8")
-        spans = np.stack([place[who, 1], place[who, 2] - np.array(left_of, "i8"), place[who, 2] + np.array(right_of, "i8")], 1)
+        who, left_of, right_of = losses(lefts, rights, rank)
+        spans = np.stack([place[who, 1], place[who, 2] - left_of, place[who, 2] + right_of], 1)
         owner = chunk[who]
         out = [(int(c), spans[owner == c].tobytes()) for c in np.unique(owner)]
         return pd.DataFrame(out, columns=["chunk", "spans"])

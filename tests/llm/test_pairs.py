@@ -214,3 +214,23 @@ def test_maximal_repeats():
         for b in range(a + 1, 40):
             best = (common(lefts[a], lefts[b]), common(rights[a], rights[b]))
             assert (best in found.get((a, b), set())) == (sum(best) >= need)
+
+
+def test_losses_alike_by_scan_and_by_levels(monkeypatch):
+    rng = random.Random(11)
+    lefts, rights = [], []
+    anchor = "".join(rng.choices("abc", k=suffix_dedup.GRAM))
+    for k in range(120):
+        base = random.Random(k % 3)
+        left, right = base.choices("xyz", k=68), base.choices("xyz", k=68)
+        for side in (left, right):
+            if rng.random() < 0.7:
+                side[rng.randrange(68)] = "!"
+        lefts.append("".join(left[: rng.choice([68, 68, 30])]).encode())
+        rights.append((anchor + "".join(right[: rng.choice([68, 68, 50])])).encode())
+    order = np.array(rng.sample(range(120), 120))
+    found = []
+    for wide in (2, 10**6):
+        monkeypatch.setattr(suffix_dedup, "WIDE", wide)
+        found.append([x.tolist() for x in suffix_dedup.losses(lefts, rights, order)])
+    assert found[0] == found[1] and len(found[0][0]) > 50
