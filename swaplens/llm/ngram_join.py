@@ -179,16 +179,17 @@ def _close(percent: int):
     return (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
 
 
-def links(members: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of class keys that connect the same classes as all links do."""
+def connect(members: DataFrame, percent: int) -> DataFrame:
+    """node (a class key) and component of every member, as all links connect them."""
     plain = members.select("key", "n", "alone", "gkey")
     groups = members.groupBy("gkey").agg(
         F.first("n").alias("n"), F.min("alone").alias("alone"), F.min("key").alias("stand"), F.first("tokens").alias("tokens")
     )
     entries = settle(groups.select("gkey", "n", "alone", "stand", F.posexplode("tokens").alias("at", "token")).withColumn("at", F.col("at") + F.col("alone")))
-    found = settle(plain.select(F.col("key").alias("a"), F.col("key").alias("b")))  # loops, so that every class has a component
+    comp = plain.select(F.col("key").alias("node"), F.col("key").alias("component"))
+    if members.isEmpty():
+        return comp
     for last in [False] * LEADER_ROUNDS + [True]:
-        comp = components(found)
         placed = settle(plain.join(comp, F.col("key") == F.col("node")).select("key", "n", "gkey", "component"))
         by_group = placed.groupBy("gkey").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         here = entries.join(by_group, "gkey")
@@ -221,8 +222,15 @@ def links(members: DataFrame, percent: int) -> DataFrame:
             across = group_pairs.join(a, "gkey").join(b, "hkey")
             inside = a.join(b, (F.col("gkey") == F.col("hkey")) & (F.col("a") < F.col("b")))
             pairs = across.where("ca <> cb").select("a", "b").union(inside.where("ca <> cb").select("a", "b"))
-        found = settle(found.union(verify(pairs, members, percent)))
-    return found
+        new = settle(verify(pairs, members, percent))
+        if new.isEmpty():
+            continue
+        of_a = comp.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+        of_b = comp.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+        edges = new.join(of_a, "a").join(of_b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        joined = components(edges).select(F.col("node").alias("old"), F.col("component").alias("joined"))
+        comp = settle(comp.join(joined, F.col("component") == F.col("old"), "left").select("node", F.coalesce("joined", "component").alias("component")))
+    return comp
 
 
 def near_duplicates(docs: DataFrame, q: int = 4, percent: int = 85) -> DataFrame:
@@ -244,7 +252,7 @@ def near_duplicates(docs: DataFrame, q: int = 4, percent: int = 85) -> DataFrame
     path = run_dir(spark, "members")
     candidates(rows, answers.union(stand_ins), q, percent, n).write.parquet(path)
     members = spark.read.schema(MEMBER).parquet(path)
-    found = components(links(members, percent))
+    found = connect(members, percent)
     least = (
         found.join(signed.groupBy("key").agg(F.min("doc_id").alias("id")), F.col("node") == F.col("key"))
         .groupBy("component")
