@@ -4,7 +4,7 @@ A word has a class by its first and last bytes and its length; the end of a text
 P(word | state) = q(class | state) * (c + 0.1) / (N of the class + 0.1 * (V of the class + 1)), with a share for unknown words in each class. The second factor does not depend on
 the state, so the chain runs on classes alone, whose parameters have a fixed size however large the vocabulary; word counts stay distributed.
 
-* Word counts: a chunk of documents sends its distinct words with counts, packed by class range, and gets each word's total and factor back.
+* Word counts: a chunk of documents sends its distinct words with counts, sorted and packed by class range, and gets their totals back in the same order.
 * Training: starting values come from at most ``INIT_DOCS`` training documents; then each pass takes the expected counts of all training documents,
   sums them by class across partitions, and makes the next model of them. Texts are cut in segments of 256 tokens for this, and the state before a segment is free.
 * Scoring: the scaled forward recursion over the whole text, exact for any length.
@@ -189,13 +189,9 @@ def baum_welch_pass(rows: DataFrame, model: Model) -> Model:
 
 
 def train(rows: DataFrame, states: int, passes: int) -> Model:
-    first = (
-        rows.where(~F.col("held_out") & (F.octet_length("text") <= INIT_BYTES))
-        .orderBy(F.xxhash64("doc_id", "text"))
-        .limit(INIT_DOCS)
-        .select("text")
-        .collect()
-    )
+    keyed = rows.where(~F.col("held_out") & (F.octet_length("text") <= INIT_BYTES)).select(F.xxhash64("doc_id", "text").alias("rowkey"), "text")
+    chosen = settle(keyed.select("rowkey").distinct().orderBy("rowkey").limit(INIT_DOCS))  # without texts; the chosen ones are looked up
+    first = keyed.join(F.broadcast(chosen), "rowkey").groupBy("rowkey").agg(F.first("text").alias("text")).orderBy("rowkey").collect()
     documents = [class_ids(r["text"]) for r in first]
     model = Model.initial(documents, states)
     for _ in range(INIT_ROUNDS):
@@ -205,11 +201,19 @@ def train(rows: DataFrame, states: int, passes: int) -> Model:
     return model
 
 
-ANSWER = "chunk int, bucket int, words binary, counts binary, factors binary, total bigint, distinct bigint"
+ANSWER = "chunk int, bucket int, counts binary, weights binary, total bigint, distinct bigint"
+
+
+def _by_bucket(known, buckets: int) -> list[tuple[int, list[bytes]]]:
+    """Words by bucket of their class, sorted in each: the order in which a chunk sends them and reads the answers."""
+    parts: dict[int, list[bytes]] = {}
+    for w in known:
+        parts.setdefault(word_class(w) % buckets, []).append(w)
+    return [(b, sorted(parts[b])) for b in sorted(parts)]
 
 
 def word_counts(rows: DataFrame, buckets: int) -> DataFrame:
-    """Per chunk and bucket of classes: the chunk's words, their counts over all training rows, and log10 of their share of the class.
+    """Per chunk and bucket of classes: the counts of the chunk's words over all training rows, and the weight of each of the bucket's classes (N + 0.1 (V + 1)).
     ``total`` and ``distinct`` are the bucket's training tokens and words, on its first row."""
 
     def count(docs: pd.DataFrame) -> pd.DataFrame:
@@ -223,10 +227,7 @@ def word_counts(rows: DataFrame, buckets: int) -> DataFrame:
                 seen.update(tokens)
         for w in known:
             seen.setdefault(w, 0)
-        parts: dict[int, list[bytes]] = {}
-        for w in seen:
-            parts.setdefault(word_class(w) % buckets, []).append(w)
-        out = [(b, b" ".join(ws), np.array([seen[w] for w in ws], "<i8").tobytes()) for b, ws in parts.items()]
+        out = [(b, b" ".join(ws), np.array([seen[w] for w in ws], "<i8").tobytes()) for b, ws in _by_bucket(seen, buckets)]
         made = pd.DataFrame(out, columns=["bucket", "words", "counts"])
         made.insert(0, "chunk", docs["chunk"].iloc[0] if len(docs) else 0)
         return made
@@ -239,14 +240,13 @@ def word_counts(rows: DataFrame, buckets: int) -> DataFrame:
             sums.append(np.frombuffer(counts, "<i8"))
         c = np.zeros(len(number), "i8")
         np.add.at(c, np.concatenate(ids), np.concatenate(sums))
-        classes, place = np.unique(np.fromiter(map(word_class, number), "i8", len(number)), return_inverse=True)
-        n, v = np.bincount(place, c), np.bincount(place, c > 0)
-        factor = np.log10((c + 0.1) / (n + 0.1 * (v + 1))[place])
-        out = part[["chunk", "bucket", "words"]].copy()
+        place, size = np.fromiter(map(word_class, number), "i8", len(number)) // buckets, -(-CLASSES // buckets)
+        weights = np.bincount(place, c, size) + 0.1 * (np.bincount(place, c > 0, size) + 1)
+        out = part[["chunk", "bucket"]].copy()
         out["counts"] = [c[i].astype("<i8").tobytes() for i in ids]
-        out["factors"] = [factor[i].astype("<f8").tobytes() for i in ids]
+        out["weights"] = weights.astype("<f8").tobytes()
         out["total"], out["distinct"] = 0, 0
-        out.iloc[0, 5], out.iloc[0, 6] = int(c.sum()), int((c > 0).sum())
+        out.iloc[0, 4], out.iloc[0, 5] = int(c.sum()), int((c > 0).sum())
         return out
 
     sent = rows.select("chunk", "text", "held_out").groupBy("chunk").applyInPandas(count, "chunk int, bucket int, words binary, counts binary")
@@ -268,15 +268,18 @@ def score_documents(docs: DataFrame, states: int = 8, passes: int = 2) -> DataFr
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def score(part: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
-        number: dict[bytes, int] = {}
-        for blob in answer["words"]:
-            for w in blob.split(b" "):
-                number[w] = len(number)
-        counts = np.concatenate([np.empty(0, "i8"), *[np.frombuffer(x, "<i8") for x in answer["counts"]]])
-        counts = np.append(counts, ends)  # the end's place is the last
-        factors = np.concatenate([np.empty(0), *[np.frombuffer(x, "<f8") for x in answer["factors"]], [0.0]])
-        base = np.log10((counts + 0.1) / (n_all + 0.1 * (v_all + 1)))
+        answer = answer.sort_values("bucket")
+        known = _by_bucket(set().union(*map(words, _texts(part))), n)
+        number = {w: k for k, w in enumerate(w for _, ws in known for w in ws)}
         classes = np.append(np.fromiter(map(word_class, number), "i4", len(number)), CLASSES)
+        counts = np.concatenate([np.empty(0, "i8"), *[np.frombuffer(x, "<i8") for x in answer["counts"]], [ends]])  # the end's place is the last
+        weights = np.ones(CLASSES + 1)
+        for b, x in zip(answer["bucket"], answer["weights"]):
+            of_bucket = np.arange(b, CLASSES, n)
+            weights[of_bucket] = np.frombuffer(x, "<f8")[: len(of_bucket)]
+        base = np.log10((counts + 0.1) / (n_all + 0.1 * (v_all + 1)))
+        factors = np.log10((counts + 0.1) / weights[classes])
+        factors[-1] = 0.0  # the end is the only word of its class
         tokens = [[number[w] for w in words(t)] + [len(number)] for t in _texts(part)]
         ids = [np.array(t, "i4") for t in tokens]
         out = part[["doc_id", "held_out"]].copy()
@@ -287,4 +290,4 @@ def score_documents(docs: DataFrame, states: int = 8, passes: int = 2) -> DataFr
         out["score"] = model.log_likelihood([classes[i] for i in ids]) + [float(factors[i].sum()) for i in ids]
         return out
 
-    return rows.groupBy("chunk").cogroup(answers.select("chunk", "words", "counts", "factors").groupBy("chunk")).applyInPandas(score, f"doc_id {kind}, {SCORED}")
+    return rows.groupBy("chunk").cogroup(answers.select("chunk", "bucket", "counts", "weights").groupBy("chunk")).applyInPandas(score, f"doc_id {kind}, {SCORED}")

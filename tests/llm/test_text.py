@@ -334,14 +334,14 @@ def test_scores(spark, monkeypatch):
 
 def test_words_of_a_state_sum_to_one(spark):
     """Shares within the classes, unknown ones included, times the classes' shares."""
-    rows = hmm_scoring.word_counts
     docs = documents(spark, [(k, t) for k, t in enumerate(sample_texts(40))], clash=False).selectExpr("text", "false AS held_out", "0 AS chunk")
     sums, known = {}, {}
-    for r in rows(docs, 3).collect():
-        factor, count = np.frombuffer(r["factors"], "<f8"), np.frombuffer(r["counts"], "<i8")
-        for w, f, c in zip(bytes(r["words"]).split(b" "), factor, count):
+    sent = dict(hmm_scoring._by_bucket({w for r in docs.collect() for w in words(r.text)}, 3))
+    for r in hmm_scoring.word_counts(docs, 3).collect():
+        weights, count = np.frombuffer(r["weights"], "<f8"), np.frombuffer(r["counts"], "<i8")
+        for w, c in zip(sent[r["bucket"]], count, strict=True):
             k = hmm_scoring.word_class(w)
-            sums[k] = sums.get(k, 0.0) + 10**f
+            sums[k] = sums.get(k, 0.0) + (c + 0.1) / weights[k // 3]
             known.setdefault(k, []).append(c)
     for k, cs in known.items():
         assert math.isclose(sums[k] + 0.1 / (sum(cs) + 0.1 * (len(cs) + 1)), 1, rel_tol=1e-9)
