@@ -122,14 +122,14 @@ def estimated_quotes_sticky(spark, d):
     return _micros(ordered.estimated_quotes(A.ticks(spark, d), mode="sticky"), "ts")
 
 
-@query(
-    "pnl_sign_flips",
-    f"""WITH {S.POSITION_TICKS}, {S.pnl('position_ticks')}, signs AS (
+FLIPS_SQL = f"""WITH {S.POSITION_TICKS}, {S.pnl('position_ticks')}, signs AS (
       SELECT id, event_id, epoch_us(ts) AS ts, absolute AS pnl, CAST(sign(absolute) AS INTEGER) AS sign,
              lag(CAST(sign(absolute) AS INTEGER)) OVER (PARTITION BY id ORDER BY ts, event_id) AS previousSign
       FROM pnl)
-    SELECT * FROM signs WHERE sign * previousSign = -1""",
-)
+    SELECT * FROM signs WHERE sign * previousSign = -1"""
+
+
+@query("pnl_sign_flips", FLIPS_SQL)
 def pnl_sign_flips(spark, d):
     valued = market.with_pnl(A.position_ticks(spark, d))
     flips = ordered.pnl_sign_flips(valued.select("id", "event_id", "ts", F.col("pnl.absolute").alias("pnl")))
@@ -377,11 +377,18 @@ def as_volumes(ticks: DataFrame) -> DataFrame:
 
 
 def write_tick_files(spark, d, slices: int = 6) -> str:
-    """events as files in time order, one per five days, for streams that take one file per batch."""
+    """events as files in time order, each an equal part of the time they span, for streams that take one file per batch.
+
+    One pass deals the events out by slice; each slice is then written in its turn, as streams take files by age.
+    """
     folder = run_dir(spark, "tick-files")
     events = A.table(spark, d, "events")
-    day = F.dayofmonth("ts")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    width = max(1, -(-((last or 0) - (first or 0) + 1) // slices))
+    dealt = f"{folder}-dealt"
+    events.withColumn("slice", F.floor((at - F.lit(first or 0)) / F.lit(width)).cast("int")).repartition("slice").write.partitionBy("slice").parquet(dealt)
+    parts = spark.read.schema(f"{events.schema.toDDL()}, slice INT").parquet(dealt)
     for n in range(slices):
-        span = (day > n * 5) & (day <= n * 5 + 5) if n < slices - 1 else day > n * 5
-        files.write(events.where(span).coalesce(1), f"{folder}/slice={n}", "parquet")
+        files.write(parts.where(F.col("slice") == n).drop("slice").repartition(1), f"{folder}/slice={n}", "parquet")
     return folder

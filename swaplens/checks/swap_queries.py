@@ -32,7 +32,7 @@ def enriched_swaps(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
-    """Every swap as a response page of its own; line 3 has a bad timestamp, line 5 is an error page."""
+    """Every swap as a response page of its own; line 2 has no block, line 3 a bad timestamp, line 5 is an error page."""
     token = lambda name: F.struct(F.lit("T").alias("symbol"), F.col(name).alias("id"))
     line = F.col("line")
     swap = F.struct(
@@ -54,9 +54,9 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "swap_pages_parsed",
     f"""WITH {S.SWAPS}
-    SELECT concat('tx-', id) AS txHash, CASE WHEN line = 2 THEN 0 ELSE blockNumber END AS blockNumber, timestamp,
+    SELECT concat('tx-', id) AS txHash, blockNumber, timestamp,
            token0, token1, amount0, amount1, sqrtPriceX96
-    FROM swaps WHERE line NOT IN (3, 5)""",
+    FROM swaps WHERE line NOT IN (2, 3, 5)""",
 )
 def swap_pages_parsed(spark, d):
     return swaps.parse_swap_pages(_pages(spark, d))[0].select(*SWAP_COLUMNS)
@@ -64,9 +64,9 @@ def swap_pages_parsed(spark, d):
 
 @query(
     "swap_pages_rejected",
-    """SELECT CASE WHEN l_linenumber = 5 THEN 'errors: indexing' ELSE 'bad timestamp' END AS reason,
+    """SELECT CASE l_linenumber WHEN 5 THEN 'errors: indexing' WHEN 3 THEN 'bad timestamp' ELSE 'bad blockNumber' END AS reason,
               count(*) AS rows
-       FROM lineitem WHERE l_linenumber IN (3, 5) GROUP BY 1""",
+       FROM lineitem WHERE l_linenumber IN (2, 3, 5) GROUP BY 1""",
 )
 def swap_pages_rejected(spark, d):
     return swaps.parse_swap_pages(_pages(spark, d))[1].groupBy("reason").agg(F.count("*").alias("rows"))
@@ -134,7 +134,8 @@ def parquet_files(spark, d):
 
 @query(
     "write_if_changed",
-    "SELECT true AS first_written, false AS same_written, true AS changed_written, count(*) AS rows FROM orders",
+    """SELECT true AS first_written, false AS same_written, false AS reordered_written, true AS changed_written, true AS renamed_written,
+              true AS retyped_written, true AS reformatted_written, count(*) AS rows FROM orders""",
 )
 def write_if_changed(spark, d):
     orders = A.table(spark, d, "orders")
@@ -142,10 +143,19 @@ def write_if_changed(spark, d):
     first = files.write_if_changed(orders, path, "parquet")
     same = files.write_if_changed(orders.repartition(4), path, "parquet")
     changed = files.write_if_changed(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1), path, "parquet")
-    return spark.read.parquet(path).agg(
+    reordered = files.write_if_changed(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1).select(*sorted(orders.columns, reverse=True)), path, "parquet")
+    renamed = files.write_if_changed(orders.withColumnRenamed("o_custkey", "customer"), path, "parquet")
+    typed = orders.withColumn("o_custkey", F.col("o_custkey").cast("string"))
+    retyped = files.write_if_changed(typed, path, "parquet")
+    reformatted = files.write_if_changed(typed, path, "json")
+    return spark.read.schema(typed.schema).json(path).agg(
         F.lit(first).alias("first_written"),
         F.lit(same).alias("same_written"),
+        F.lit(reordered).alias("reordered_written"),
         F.lit(changed).alias("changed_written"),
+        F.lit(renamed).alias("renamed_written"),
+        F.lit(retyped).alias("retyped_written"),
+        F.lit(reformatted).alias("reformatted_written"),
         F.count("*").alias("rows"),
     )
 

@@ -15,6 +15,9 @@ DAILY = [
     ("amountOutUSD", ["sum", "mean"]),
 ]
 
+# Parts in which a pair's traders are ranked first.
+SHARES = 64
+
 
 def _mean(total: Column, count: Column) -> Column:
     return F.try_divide(total.cast("double"), count)
@@ -73,12 +76,14 @@ def daily_token_agg(df: DataFrame) -> DataFrame:
 def top_traders(enriched: DataFrame, n: int, trader: str = "trader") -> DataFrame:
     """Per pair the n trader addresses with most volume, best first, as the array tradersTopN.
 
-    Volumes are summed per (pair, trader) first; the rank filter runs before and after the shuffle, so a pair with
-    very many traders sends n of them per task.
+    Volumes are summed per (pair, trader) first. Then traders are ranked in ``SHARES`` shares of their pair, and the best n of each share in the pair,
+    so no task ranks all traders of a crowded pair, whatever n is.
     """
     volume = enriched.groupBy("pair", F.col(trader).alias("trader")).agg(F.sum("usdVolume").alias("_volume"))
-    ranked = Window.partitionBy("pair").orderBy(F.col("_volume").desc(), F.col("trader").asc())
-    best = volume.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= n)
+    order = [F.col("_volume").desc(), F.col("trader").asc()]
+    best = volume.withColumn("_share", F.pmod(F.xxhash64("trader"), F.lit(SHARES)))
+    for keys in (["pair", "_share"], ["pair"]):
+        best = best.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_rank") <= n)
     listed = F.sort_array(F.collect_list(F.struct("_rank", "trader")))
     return best.groupBy("pair").agg(F.transform(listed, lambda row: row["trader"]).alias("tradersTopN"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from swaplens.operators.aggregate import mean_std
 from swaplens.plans.ordered import previous_row, trailing_sums
-from swaplens.plans.scale import small_side
+from swaplens.plans.scale import settle, small_side
 
 SECOND = 1_000_000
 MINUTE = 60 * SECOND
@@ -159,10 +159,8 @@ def _feed_cells(ticks: DataFrame, seconds: int, ts: str) -> DataFrame:
 
 def feed_gaps(ticks: DataFrame, seconds: int = 60, ts: str = "ts") -> DataFrame:
     """Spans of more than ``seconds`` without a tick: symbol, gap_start, gap_end, gap_seconds."""
-    by_time = Window.partitionBy("symbol").orderBy("_cell")
     gaps = (
-        _feed_cells(ticks, seconds, ts)
-        .withColumn("gap_start", F.lag("_to").over(by_time))
+        previous_row(_feed_cells(ticks, seconds, ts), ["symbol"], ["_cell"], F.col("_to"), "gap_start")
         .withColumn("_gap", F.unix_micros("_from") - F.unix_micros("gap_start"))
         .where(F.col("_gap") > seconds * SECOND)
     )
@@ -174,16 +172,24 @@ def feed_gaps(ticks: DataFrame, seconds: int = 60, ts: str = "ts") -> DataFrame:
 def feed_sessions(ticks: DataFrame, seconds: int = 60, ts: str = "ts") -> DataFrame:
     """Spans in which ticks follow each other within less than ``seconds``: symbol, start, end, ticks.
 
-    The session ends ``seconds`` after its last tick, as ``session_window`` has it.
+    The session ends ``seconds`` after its last tick, as ``session_window`` has it. A cell belongs to the last one before it, or itself, that
+    opens a session: within a chunk of cells by a window, before the chunk by a list of one entry per chunk.
     """
-    by_time = Window.partitionBy("symbol").orderBy("_cell")
-    opens = F.coalesce(
-        F.unix_micros("_from") - F.unix_micros(F.lag("_to").over(by_time)) >= seconds * SECOND, F.lit(True)
+    cells = previous_row(_feed_cells(ticks, seconds, ts), ["symbol"], ["_cell"], F.col("_to"), "_earlier")
+    opens = F.coalesce(F.unix_micros("_from") - F.unix_micros("_earlier") >= seconds * SECOND, F.lit(True))
+    chunked = settle(
+        cells.withColumn("_opened", F.when(opens, F.col("_cell")))
+        .repartitionByRange("symbol", "_cell")
+        .withColumn("_chunk", F.spark_partition_id())
     )
+    upto = Window.partitionBy("symbol", "_chunk").orderBy("_cell")
+    last = chunked.groupBy("symbol", "_chunk").agg(F.max("_opened").alias("_last"))
+    lists = last.groupBy(F.col("symbol").alias("_symbol")).agg(F.collect_list(F.struct("_chunk", "_last")).alias("_lasts"))
+    earlier = F.array_max(F.transform(F.filter("_lasts", lambda x: x["_chunk"] < F.col("_chunk")), lambda x: x["_last"]))
     numbered = (
-        _feed_cells(ticks, seconds, ts)
-        .withColumn("_opens", opens)
-        .withColumn("_session", F.sum(F.col("_opens").cast("int")).over(by_time))
+        chunked.withColumn("_mine", F.max("_opened").over(upto))
+        .join(small_side(lists, derived=True), F.col("symbol").eqNullSafe(F.col("_symbol")))
+        .withColumn("_session", F.coalesce("_mine", earlier))
     )
     return (
         numbered.groupBy("symbol", "_session")

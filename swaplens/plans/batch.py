@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,22 +27,30 @@ def run_batch(
     top_n: int | None = None,
     swaps_format: str = "json",
     summary_format: str = "csv",
+    missing: str = "skip",
+    rejects: DataFrame | None = None,
 ) -> dict[str, Any]:
     """Process the swaps after the last processed block; returns the run's counts.
 
     Each run writes its own folders, named by its last block: ``swaps/run=B`` and ``summary/run=B``. State moves
-    after the outputs, so a run that dies is repeated and overwrites the same folders. The source is
-    read twice, once for the counts and once for the rows; the summary reads the written rows.
+    after the outputs, so a run that dies is repeated and overwrites the same folders. ``swaps`` and ``prices`` are read for the counts
+    and again for the rows, so give tables that are written, not a parse; the summary reads the written rows. ``rejects`` (reason, raw) are
+    counted and written to ``rejects/run=B``. There is no window unless ``window_minutes`` is given.
     """
+    began = time.monotonic()
     last = load_state(spark, state_path)["last_processed_block"]
     if window_minutes is not None:
         if now is None:
             raise ValueError("window_minutes needs now (epoch seconds)")
         swaps = within(swaps, window_minutes, now)
     stats = run_stats(swaps, prices, last, decimals).first().asDict()
+    stats["swaps_rejected"] = 0 if rejects is None else rejects.count()
+    stats["seconds"] = round(time.monotonic() - began, 3)
+    if stats["swaps_rejected"]:
+        stats["output_rejects"] = write(rejects, f"{out_dir}/rejects/run={stats['latest_block']}", "json")
     if stats["swaps_new"] == 0:
         return stats
-    enriched = enrich_swaps(after_block(swaps, last), prices, decimals, stables)
+    enriched = enrich_swaps(after_block(swaps, last), prices, decimals, stables, missing)
     block = stats["latest_block"]
     written = write(enriched, f"{out_dir}/swaps/run={block}", swaps_format)
     summary = summarize(read(spark, written, swaps_format, enriched.schema), top_n)
@@ -49,4 +58,5 @@ def run_batch(
     stats["output_summary"] = write(summary, f"{out_dir}/summary/run={block}", summary_format)
     if block > 0:
         save_state(spark, state_path, block=block)
+    stats["seconds"] = round(time.monotonic() - began, 3)
     return stats

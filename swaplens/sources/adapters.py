@@ -148,10 +148,14 @@ def _tick_columns() -> list[Column]:
 
 def tick_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
     """A folder of event files as a stream of ticks."""
+    return _event_stream(spark, folder, files_per_trigger).select(*_tick_columns())
+
+
+def _event_stream(spark: SparkSession, folder: str, files_per_trigger: int | None) -> DataFrame:
     reader = spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder).select(*_tick_columns())
+    return reader.parquet(folder)
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,8 +174,17 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def position_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as observations of one position per user: half sizes, so that exact cents ties occur."""
+    return table(spark, sf_dir, "events").select(*_position_columns())
+
+
+def position_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
+    """A folder of event files as a stream of observations."""
+    return _event_stream(spark, folder, files_per_trigger).select(*_position_columns())
+
+
+def _position_columns() -> list[Column]:
     user = F.col("user_id")
-    return table(spark, sf_dir, "events").select(
+    return [
         user.alias("id"),
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
@@ -180,4 +193,4 @@ def position_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((user % 7) / 2).alias("size"),
         (user % 4).cast("double").alias("leverage"),
         F.when(user % 3 == 0, "short").otherwise("long").alias("side"),
-    )
+    ]

@@ -16,43 +16,59 @@ def _text(col: Column) -> Column:
     return F.nullif(col, F.lit(""))
 
 
-def parse_swap_pages(raw: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(swaps, rejects) from one JSON response page per row.
+def checked_pages(raw: DataFrame, column: str = "value") -> DataFrame:
+    """All swaps and rejects of JSON response pages, one page per row, in one pass: the swaps' columns, reason and raw.
 
-    A page with errors or without a swap list is one reject. A swap without a whole-number timestamp, with an
-    unreadable block number or without both tokens is a reject of its own; the rest of its page goes on.
-    A missing block number is 0, as pages need not carry it.
+    A page with errors or without a swap list is one reject, with its own text. A swap without a whole-number timestamp, without a
+    whole-number block or without both tokens is a reject of its own; the rest of its page goes on. Good swaps have neither reason nor raw.
     """
     # As generator output the page is parsed once, however many of its fields are tested below.
-    page = raw.select(F.col(column).alias("raw"), F.inline(F.array(F.from_json(column, PAGE_DDL))))
-    has_errors, no_list = F.col("errors").isNotNull(), F.col("data.swaps").isNull()
-    rows = page.where(~has_errors & ~no_list).select(F.explode("data.swaps").alias("s"))
+    page = raw.select(F.col(column).alias("page"), F.inline(F.array(F.from_json(column, PAGE_DDL))))
     messages = F.array_join(F.transform("errors", lambda e: e["message"]), "; ")
-    page_reason = F.when(has_errors, F.concat(F.lit("errors: "), messages)).otherwise("no swap list")
-    block = _text(F.col("s.blockNumber"))
-    checked = rows.select(
-        "s",
-        F.coalesce(_text(F.col("s.transaction.id")), F.col("s.id"), F.lit("")).alias("txHash"),
-        F.when(block.isNull(), F.lit(0)).otherwise(to_integer(block)).alias("blockNumber"),
-        to_integer(F.col("s.timestamp")).alias("timestamp"),
-        F.coalesce("s.token0.id", F.lit("")).alias("token0"),
-        F.coalesce("s.token1.id", F.lit("")).alias("token1"),
-        F.col("s.amount0").alias("amount0"),
-        F.col("s.amount1").alias("amount1"),
-        F.coalesce("s.sqrtPriceX96", F.lit("0")).alias("sqrtPriceX96"),
-    ).withColumn(
-        "reason",
-        F.when(F.col("timestamp").isNull(), "bad timestamp")
-        .when(F.col("blockNumber").isNull(), "bad blockNumber")
-        .when(F.col("s.token0").isNull() | F.col("s.token1").isNull(), "bad token"),
+    page_reason = F.when(F.col("errors").isNotNull(), F.concat(F.lit("errors: "), F.coalesce(messages, F.lit("")))).when(
+        F.col("data.swaps").isNull(), "no swap list"
+    )
+    bad_page = F.col("page_reason").isNotNull()
+    rows = page.select("page", "data", page_reason.alias("page_reason")).select(
+        F.when(bad_page, F.col("page")).alias("page"),
+        "page_reason",
+        F.explode(F.when(bad_page, F.array(F.lit(None))).otherwise(F.col("data.swaps"))).alias("s"),
     )
-    swaps = checked.where(F.col("reason").isNull()).drop("s", "reason")
-    rejects = (
-        page.where(has_errors | no_list)
-        .select(page_reason.alias("reason"), "raw")
-        .unionByName(checked.where(F.col("reason").isNotNull()).select("reason", F.to_json("s").alias("raw")))
+    return (
+        rows.select(
+            "s",
+            "page",
+            "page_reason",
+            F.coalesce(_text(F.col("s.transaction.id")), F.col("s.id"), F.lit("")).alias("txHash"),
+            to_integer(_text(F.col("s.blockNumber"))).alias("blockNumber"),
+            to_integer(F.col("s.timestamp")).alias("timestamp"),
+            F.coalesce("s.token0.id", F.lit("")).alias("token0"),
+            F.coalesce("s.token1.id", F.lit("")).alias("token1"),
+            F.col("s.amount0").alias("amount0"),
+            F.col("s.amount1").alias("amount1"),
+            F.coalesce("s.sqrtPriceX96", F.lit("0")).alias("sqrtPriceX96"),
+        )
+        .withColumn(
+            "reason",
+            F.when(F.col("page_reason").isNotNull(), F.col("page_reason"))
+            .when(F.col("timestamp").isNull(), "bad timestamp")
+            .when(F.col("blockNumber").isNull(), "bad blockNumber")
+            .when(F.col("s.token0").isNull() | F.col("s.token1").isNull(), "bad token"),
+        )
+        .withColumn("raw", F.when(F.col("reason").isNotNull(), F.coalesce("page", F.to_json("s"))))
+        .drop("s", "page", "page_reason")
     )
-    return swaps, rejects
+
+
+def split_rejects(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(swaps, rejects) of checked pages; a reject is reason and raw."""
+    swaps = checked.where(F.col("reason").isNull()).drop("reason", "raw")
+    return swaps, checked.where(F.col("reason").isNotNull()).select("reason", "raw")
+
+
+def parse_swap_pages(raw: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(swaps, rejects) from one JSON response page per row; see ``checked_pages``. To use both, write the checked pages once and split what was written."""
+    return split_rejects(checked_pages(raw, column))
 
 
 def within(df: DataFrame, minutes: int, now: int) -> DataFrame:

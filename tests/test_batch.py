@@ -66,5 +66,31 @@ def test_command_line(spark, swaps, tmp_path, capsys):
     assert main([*places, "--now=1640000300"]) == 0
     stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert (stats["swaps_enriched"], stats["pairs_summarized"], stats["latest_block"]) == (3, 2, 1002)
+    assert stats["swaps_rejected"] == 0 and stats["seconds"] > 0
     total = spark.read.option("header", True).csv(f"{tmp_path}/out/summary").agg(F.sum("totalUSD")).first()[0]
     assert total == 26000.0
+
+
+def test_no_row_is_lost(spark, swaps, tmp_path, capsys):
+    """Pages with a bad timestamp, no block and an error page; the swaps are years old."""
+    good = {"id": "a", "timestamp": "1640000000", "blockNumber": "1000", "token0": {"id": WETH}, "token1": {"id": USDC}, "amount0": "1000000000000000000", "amount1": "-2000000000"}
+    records = [good, good | {"id": "b", "timestamp": "soon"}, good | {"id": "c", "blockNumber": None}, good | {"id": "d", "token0": {"id": "0xno"}, "token1": {"id": "0xnone"}, "blockNumber": "1001"}]
+    for name in ("pages", "prices"):
+        (tmp_path / name).mkdir()
+    lines = [{"data": {"swaps": records}}, {"errors": [{"message": "indexing"}]}, {"data": {"swaps": []}}]
+    (tmp_path / "pages" / "1.json").write_text("\n".join(map(json.dumps, lines)))
+    (tmp_path / "prices" / "1.json").write_text(json.dumps({"weth": {"usd": 2000.0}, "usd-coin": {"usd": 1.0}}))
+    places = [f"--{name}={tmp_path / name}" for name in ("pages", "prices", "out", "state")]
+    assert main([*places, "--json-lines", "--swaps-format=parquet"]) == 0
+    stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert stats["swaps_rejected"] == 3 and stats["swaps_enriched"] + stats["swaps_skipped"] + stats["swaps_filtered"] == 2
+    reasons = sorted(r.reason for r in spark.read.json(f"{tmp_path}/out/rejects").collect())
+    assert reasons == ["bad blockNumber", "bad timestamp", "errors: indexing"]
+
+
+def test_pages_are_scanned_once(spark, tmp_path):
+    from swaplens.sources.swaps import checked_pages
+
+    (tmp_path / "p.json").write_text(json.dumps({"data": {"swaps": []}}))
+    plan = checked_pages(spark.read.text(str(tmp_path), wholetext=True))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("from_json") == 1

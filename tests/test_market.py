@@ -155,3 +155,39 @@ def test_upsert_and_update(spark):
     new = spark.createDataFrame([(2, 20.0), (3, 30.0)], "id INT, pnl DOUBLE")
     assert {tuple(r) for r in market.upsert(base, new, "id").collect()} == {(1, 1.0), (2, 20.0), (3, 30.0)}
     assert {tuple(r) for r in market.update_pnl(base, new).collect()} == {(1, 1.0), (2, 20.0)}
+
+
+def test_newest_instant_by_hash_and_positions_unshuffled(spark):
+    from pyspark.sql import functions as F
+
+    from swaplens.operators.aggregate import top_traders
+    from swaplens.operators.market import latest_tick, value_positions
+
+    ticks = spark.range(2000).select(F.col("id").alias("event_id"), (F.col("id") % 3).cast("string").alias("symbol"), F.col("id").cast("double").alias("price"), F.timestamp_seconds(F.col("id") - F.col("id") % 10).alias("ts"))
+    newest = latest_tick(ticks)
+    assert sorted((r.symbol, r.event_id) for r in newest.collect()) == [("0", 1998), ("1", 1999), ("2", 1997)]
+    positions = spark.range(50).selectExpr("id", "cast(id % 3 AS string) AS symbol", "1D AS size", "5D AS entryPrice", "1D AS leverage", "'long' AS side")
+    plan = value_positions(positions, newest)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(symbol" not in plan
+    rows = spark.range(3000).selectExpr("'p' AS pair", "cast(id % 1500 AS string) AS trader", "cast(id % 1500 AS double) AS usdVolume")
+    for n in (5, 1001):
+        best = top_traders(rows, n)
+        assert "_share" in best._jdf.queryExecution().executedPlan().toString()
+        assert best.first().tradersTopN == [str(1499 - k) for k in range(n)]
+
+
+def test_feed_operators_without_symbol_windows(spark):
+    import re
+
+    from swaplens.operators.ordered import feed_gaps, feed_sessions
+    from pyspark.sql import functions as F
+
+    rows = [(k, s, 1.0, t) for k, (s, t) in enumerate([("A", t) for t in (0, 1, 70, 71, 300, 1000, 1001, 1059)] + [("B", t) for t in range(0, 600, 50)])]
+    ticks = spark.createDataFrame(rows, "event_id BIGINT, symbol STRING, price DOUBLE, s BIGINT").withColumn("ts", F.timestamp_seconds("s")).drop("s")
+    gaps, sessions = feed_gaps(ticks, 60), feed_sessions(ticks, 60)
+    for df in (gaps, sessions):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"windowspecdefinition\(symbol#\d+, _cell", plan)
+    got = sorted((r.symbol, r.session_start.timestamp() % 10_000, r.ticks) for r in sessions.collect())
+    assert [(s, n) for s, _, n in got] == [("A", 2), ("A", 2), ("A", 1), ("A", 3), ("B", 12)]
+    assert sorted((r.symbol, r.gap_seconds) for r in gaps.collect()) == [("A", 69.0), ("A", 229.0), ("A", 700.0)]

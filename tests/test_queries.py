@@ -25,5 +25,6 @@ def test_equals_oracle(spark, con, name):
 
 
 def test_contract(spark):
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= contract.queries().keys() and contract.oracle_sql().keys() <= contract.queries().keys()
     assert contract.entry(spark).count() > 0

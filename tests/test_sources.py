@@ -35,9 +35,11 @@ def test_pages_to_swaps(spark):
     page = {
         "data": {
             "swaps": [
-                _swap(1),
+                _swap(1, blockNumber="3"),
                 _swap(2, transaction="absent", blockNumber="77"),
-                _swap(3, blockNumber="", sqrtPriceX96="absent", token0={"symbol": "X"}),
+                _swap(3, blockNumber="5", sqrtPriceX96="absent", token0={"symbol": "X"}),
+                _swap(4, blockNumber=""),
+                _swap(5),
             ]
         }
     }
@@ -45,20 +47,20 @@ def test_pages_to_swaps(spark):
     assert good.schema.names == SWAP_SCHEMA.names
     got = {r.txHash: r for r in good.collect()}
     assert set(got) == {"0x1", "0x2#1", "0x3"}
-    assert (got["0x1"].blockNumber, got["0x2#1"].blockNumber, got["0x3"].blockNumber) == (0, 77, 0)
+    assert (got["0x1"].blockNumber, got["0x2#1"].blockNumber, got["0x3"].blockNumber) == (3, 77, 5)
     assert (got["0x3"].token0, got["0x3"].sqrtPriceX96, got["0x1"].timestamp) == ("", "0", 1640000000)
-    assert bad.count() == 0
+    assert [r.reason for r in bad.collect()] == ["bad blockNumber"] * 2
 
 
 def test_bad_records_leave_the_rest(spark):
     page = {
         "data": {
             "swaps": [
-                _swap(1),
+                _swap(1, blockNumber="3"),
                 _swap(2, timestamp="soon"),
                 _swap(3, timestamp=None),
                 _swap(4, blockNumber="12.5"),
-                _swap(5, token1=None),
+                _swap(5, token1=None, blockNumber="3"),
             ]
         }
     }
@@ -152,6 +154,12 @@ def test_write_if_changed(spark, tmp_path, fmt):
     assert not files.write_if_changed(df.orderBy(F.desc("a")), path, fmt)
     assert files.write_if_changed(df.withColumn("b", F.col("b") + 1), path, fmt)
     assert {tuple(r) for r in files.read(spark, path, fmt, df.schema).collect()} == {(1, 5), (2, 6)}
+    changed = df.withColumn("b", F.col("b") + 1)
+    assert not files.write_if_changed(changed.select("b", "a"), path, fmt)
+    assert files.write_if_changed(changed.withColumnRenamed("b", "c"), path, fmt)
+    assert files.write_if_changed(changed.withColumn("b", F.col("b").cast("string")), path, fmt)
+    other = "json" if fmt != "json" else "parquet"
+    assert files.write_if_changed(changed.withColumn("b", F.col("b").cast("string")), path, other)
 
 
 def test_state(spark, tmp_path):

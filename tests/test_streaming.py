@@ -1,10 +1,12 @@
 from datetime import datetime, timedelta, timezone
+from functools import reduce
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from swaplens.operators.aggregate import summarize
-from swaplens.operators.ordered import tick_direction
+from swaplens.operators.ordered import pnl_sign_flips, tick_direction
 from swaplens.schemas import SWAP_SCHEMA, TICK_SCHEMA
 from swaplens.streaming.market import live_sign_flips, live_ticks, newest_state, stream_feed_sessions
 from swaplens.streaming.swaps import dedupe_stream, ingest_swaps, windowed_summary, write_available
@@ -67,7 +69,7 @@ def test_live_ticks_equal_batch(spark, places):
     }
 
 
-def test_late_ticks_are_ignored_and_a_restart_goes_on(spark, places):
+def test_late_ticks_are_set_aside_and_a_restart_goes_on(spark, places):
     def run():
         live_ticks(_tick_stream(spark, places), places["out"], places["state"], places["checkpoint"]).awaitTermination()
 
@@ -77,21 +79,53 @@ def test_late_ticks_are_ignored_and_a_restart_goes_on(spark, places):
     run()
     got = {r.event_id: r.priceDirection for r in spark.read.parquet(places["out"]).collect()}
     assert got == {1: "neutral", 3: "down"}
-
-
-def test_live_flips(spark, places):
-    positions = spark.createDataFrame(
-        [(1, "A", 1.0, 5.0, 1.0, "long"), (2, "A", 1.0, 5.0, 1.0, "short"), (3, "Z", 1.0, 1.0, 1.0, "long")],
-        "id BIGINT, symbol STRING, size DOUBLE, entryPrice DOUBLE, leverage DOUBLE, side STRING",
-    )
-    for n, price in enumerate([6.0, 7.0, 4.0, 5.0, 6.0, 3.0]):
-        _add(_ticks(spark, [(2 * n, "A", 5.0, 10 * n), (2 * n + 1, "A", price, 10 * n + 1)]), places["in"])
-    live_sign_flips(
-        _tick_stream(spark, places), positions, places["out"], places["state"], places["checkpoint"]
-    ).awaitTermination()
-    got = {(r.batch, r.id, r.previousSign, r.sign) for r in spark.read.parquet(places["out"]).collect()}
-    # 5.0 in the fourth batch is break-even and resets.
-    assert got == {(2, 1, 1, -1), (2, 2, -1, 1), (5, 1, 1, -1), (5, 2, -1, 1)}
+    assert [r.event_id for r in spark.read.parquet(places["out"] + "-late").collect()] == [2]
+
+
+OBSERVED = "id BIGINT, event_id BIGINT, ts TIMESTAMP, pnl DOUBLE"
+PNLS = [[1.0, 0.0], [-1.0, 2.0, None, -3.0], [3.0, 5.0], [0.0], [-2.0, 4.0], [4.0, -4.0, 4.0], [-1.0], [6.0]]
+
+
+def _observations(spark):
+    files, n = [], 0
+    for values in PNLS:
+        rows = []
+        for value in values:
+            for key in (1, 2, 1000 + n):
+                rows.append((key, n, START + timedelta(seconds=n // 2), value if key != 2 or value is None else -value))
+                n += 1
+        files.append(spark.createDataFrame(rows, OBSERVED))
+    return files
+
+
+@pytest.mark.parametrize("files", [1, 2, 100])
+def test_live_flips_equal_batch_however_cut(spark, places, files):
+    observed = _observations(spark)
+    for part in observed:
+        _add(part, places["in"])
+    stream = spark.readStream.schema(OBSERVED).option("maxFilesPerTrigger", files).parquet(places["in"])
+    live_sign_flips(stream, places["out"], places["state"], places["checkpoint"]).awaitTermination()
+    got = sorted((r.id, r.event_id, r.previousSign, r.sign) for r in spark.read.parquet(places["out"]).collect())
+    everything = reduce(lambda a, b: a.union(b), observed)
+    assert got == sorted((r.id, r.event_id, r.previousSign, r.sign) for r in pnl_sign_flips(everything).collect())
+    assert len(got) > 8
+    assert newest_state(spark, places["state"], "id").count() == everything.select("id").distinct().count()
+
+
+def test_untouched_state_is_not_rewritten(spark, places):
+    def run(rows):
+        _add(spark.createDataFrame(rows, OBSERVED), places["in"])
+        stream = spark.readStream.schema(OBSERVED).parquet(places["in"])
+        live_sign_flips(stream, places["out"], places["state"], places["checkpoint"]).awaitTermination()
+
+    run([(k, k, START, 1.0) for k in range(200)])
+    for n in range(1, 5):
+        run([(7, 1000 + n, START + timedelta(seconds=n), (-1.0) ** n), (7, -n, START - timedelta(seconds=n), 9.0)])
+    folders = {p.name: [b.name for b in p.iterdir() if b.is_dir()] for p in Path(places["state"], "rows").iterdir()}
+    assert [len(folders[f"batch={n}"]) for n in range(1, 5)] == [0, 0, 1, 1] and len(folders["batch=0"]) > 1
+    assert newest_state(spark, places["state"], "id").count() == 200
+    assert sorted(r.event_id for r in spark.read.parquet(places["out"]).collect()) == [1001, 1002, 1003, 1004]
+    assert sorted(r.event_id for r in spark.read.parquet(places["out"] + "-late").collect()) == [-4, -3, -2, -1]
 
 
 def test_window_summary_emits_closed_windows(spark, places):
@@ -118,3 +152,15 @@ def test_sessions(spark, places):
     ).awaitTermination()
     got = sorted((r.session_end - r.session_start).total_seconds() for r in spark.read.parquet(places["out"]).collect())
     assert got == [60.0, 119.0]
+
+
+def test_tick_files_span_months(spark, tmp_path):
+    from swaplens.checks.market_queries import write_tick_files
+
+    days = [START + timedelta(days=9 * k) for k in range(9)]
+    ddl = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    rows = [(k, d.replace(tzinfo=None), 1, "A", float(k), "{}") for k, d in enumerate(days)]
+    spark.createDataFrame(rows, ddl).write.parquet(str(tmp_path / "events.parquet"))
+    folder = write_tick_files(spark, str(tmp_path))
+    slices = [sorted(r.event_id for r in spark.read.parquet(f"{folder}/slice={n}").collect()) for n in range(6)]
+    assert [i for part in slices for i in part] == list(range(9))
