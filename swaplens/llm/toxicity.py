@@ -58,9 +58,9 @@ def _cues(word: bytes) -> list[bytes]:
     return [stem] + [stem[:n] + b"*" for n in (4, 5) if len(stem) > n] + [shape] * (len(shape) > 1)
 
 
-def copy_groups(documents: list[list[bytes]], bands: int = 5, rows: int = 3) -> list[int]:
+def copy_groups(texts: list[str], bands: int = 5, rows: int = 3) -> list[int]:
     """A number per document that its copies share: documents are joined whose least hashes of three-word shingles agree in a band of ``rows``."""
-    group = list(range(len(documents)))
+    group = list(range(len(texts)))
 
     def top(i: int) -> int:
         while group[i] != i:
@@ -70,8 +70,8 @@ def copy_groups(documents: list[list[bytes]], bands: int = 5, rows: int = 3) ->
 
     seen: dict[tuple, int] = {}
     multipliers = np.random.default_rng(3).integers(1, 1 << 62, bands * rows, dtype="u8") * 2 + 1
-    for i, tokens in enumerate(documents):
-        h = np.array([zlib.crc32(w) for w in tokens], "u8")
+    for i, text in enumerate(texts):
+        h = np.array([zlib.crc32(w) for w in _tokens(text)], "u8")
         h = h[:-2] * np.uint64(961748941) + h[1:-1] * np.uint64(982451653) + h[2:] if len(h) > 2 else h
         if len(h):
             h ^= h >> np.uint64(29)
@@ -79,24 +79,30 @@ def copy_groups(documents: list[list[bytes]], bands: int = 5, rows: int = 3) ->
             for k in range(bands):
                 j = seen.setdefault((k, *least[k * rows : (k + 1) * rows]), i)
                 group[top(i)] = top(j)
-    return [top(i) for i in range(len(documents))]
+    return [top(i) for i in range(len(texts))]
 
 
-def toxic_cues(documents: list[list[bytes]], labels: np.ndarray) -> set[bytes]:
-    """Cues whose toxic documents are too many for chance (one false cue in a hundred samples), clean ones at most 2 %. Copies count once."""
-    groups = copy_groups(documents)
+def toxic_cues(texts: list[str], labels: np.ndarray) -> set[bytes]:
+    """Cues whose toxic documents are too many for chance (one false cue in a hundred samples), clean ones at most 2 %. Copies count once.
+
+    Texts are split one group after the other, and clean ones are only searched for the cues that passed, which keeps the driver small.
+    """
     members: tuple[dict, dict] = ({}, {})
-    for tokens, label, group in zip(documents, labels, groups):
-        members[label].setdefault(group, set()).update(tokens)
-    by, size = (Counter(), Counter()), [1, 1]
-    for label in (0, 1):
-        for distinct in members[label].values():
-            size[label] += len(distinct)
-            by[label].update({c for w in distinct for c in _cues(w)})
+    for text, label, group in zip(texts, labels, copy_groups(texts)):
+        members[label].setdefault(group, []).append(text)
+    distinct = lambda some: set().union(*map(_tokens, some))
+    toxic, size = Counter(), [1, 1]
+    for some in members[1].values():
+        found = distinct(some)
+        size[1] += len(found)
+        toxic.update({c for w in found for c in _cues(w)})
+    size[0] += sum(len(distinct(some)) for some in members[0].values())
     chance = size[1] / (size[0] + size[1])
-    shapes = sum(c[:1] == b"#" for c in by[1])
-    least = [max(3, np.log(max(10, tried) * 100) / -np.log(chance)) for tried in (len(by[1]), shapes)]
-    return {c for c, n in by[1].items() if n >= least[c[:1] == b"#"] and by[0].get(c, 0) <= 0.02 * n}
+    shapes = sum(c[:1] == b"#" for c in toxic)
+    least = [max(3, np.log(max(10, tried) * 100) / -np.log(chance)) for tried in (len(toxic), shapes)]
+    passed = {c: n for c, n in toxic.items() if n >= least[c[:1] == b"#"]}
+    clean = Counter(c for some in members[0].values() for c in {c for w in distinct(some) for c in _cues(w) if c in passed})
+    return {c for c, n in passed.items() if clean[c] <= 0.02 * n}
 
 
 def forward_backward(emission: np.ndarray, lengths: np.ndarray, step: np.ndarray, with_pairs: bool = False):
@@ -184,14 +190,14 @@ def forward_backward(emission: np.ndarray, lengths: np.ndarray, step: np.ndarray
 
 def fit(texts: list[str], labels: np.ndarray, rounds: int = 40, l2: float = 1e-3, clean: int = 1000) -> dict:
     """The field's weights from labelled texts: cues from all, weights from the toxic ones and the first ``clean`` clean ones."""
-    documents = [_tokens(t) for t in texts]
-    cues = toxic_cues(documents, labels) if 0 < labels.sum() < len(labels) else set()
+    cues = toxic_cues(texts, labels) if 0 < labels.sum() < len(labels) else set()
     if not cues:
         return {"weights": None}
     vocabulary: dict[bytes, int] = {}
     pieces, marks = [], []
     trained = (labels == 1) | (np.cumsum(labels == 0) <= clean)
-    for tokens, label in [(d, y) for d, y, use in zip(documents, labels, trained) if use]:
+    for text, label in [(t, y) for t, y, use in zip(texts, labels, trained) if use]:
+        tokens = _tokens(text)
         for k in range(0, len(tokens), SEGMENT):
             pieces.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in tokens[k : k + SEGMENT]], "i4"))
             marks.append(np.full(len(pieces[-1]), label, "i1"))
