@@ -173,7 +173,8 @@ def enrich_with_prices(df: DataFrame, prices: DataFrame) -> DataFrame:
             F.col("token_id").alias("_token_id"),
             F.col("usd").alias("current_price_usd"),
             F.col("usd_24h_change").alias("price_change_24h"),
-        )
+        ),
+        derived=True,
     )
     return df.join(dim, F.col("tokenIn") == F.col("_token_id"), "left").drop("_token_id")
 

@@ -93,26 +93,14 @@ def _span(
     later ("leaving"), into the cell whose rows need it.
     """
     cell = cells[0]
+    near = _near(rows, keys, names, width, cell, with_own, closed_left)
     start = F.col("_at") - F.pmod(F.col("_at"), F.lit(cell))
-    both = rows.withColumn("_leaving", F.explode(F.array(F.lit(False), F.lit(True)))).withColumns(
-        {"_pos": F.pmod(F.col("_at"), F.lit(cell)), "_cell": start + F.when(F.col("_leaving"), width).otherwise(0)}
-    )
-    place = Window.partitionBy(*keys, "_cell")
-    upto = place.orderBy("_pos").rangeBetween(Window.unboundedPreceding, 0 if with_own else -1)
-    after = place.orderBy(F.col("_pos").desc()).rangeBetween(Window.unboundedPreceding, 0 if closed_left else -1)
-    own = {name: F.when(~F.col("_leaving"), F.col(name)) for name in names}
-    leaving = {name: F.when(F.col("_leaving"), F.col(name)) for name in names}
-    near = (
-        both.withColumns({f"_upto_{n}": F.sum(own[n]).over(upto) for n in names})
-        .withColumns({f"_after_{n}": F.sum(leaving[n]).over(after) for n in names})
-        .where(~F.col("_leaving"))
-        .select(*keys, "_at", "_cell", *[_add(f"_upto_{n}", f"_after_{n}").alias(n) for n in names])
-    )
     totals = rows.groupBy(*keys, start.alias("_at")).agg(*[F.sum(n).alias(n) for n in names])
     if len(cells) > 1:
         between = _span(totals, keys, names, width, cells[1:], False, False)
     else:
-        between = _whole_cells(totals, keys, names, width, cell)
+        # The whole cells between, by the same two running sums, in blocks of one width.
+        between = _near(totals, keys, names, width, width, False, False).drop("_cell")
     n_, b_ = near.alias("n"), between.alias("b")
     match = F.col("n._cell") == F.col("b._at")
     for key in keys:
@@ -122,19 +110,27 @@ def _span(
     )
 
 
-def _whole_cells(totals: DataFrame, keys: list[str], names: list[str], width: int, cell: int) -> DataFrame:
-    """For each cell the sum of the width/cell - 1 cells before it.
+def _near(
+    rows: DataFrame, keys: list[str], names: list[str], width: int, cell: int, with_own: bool, closed_left: bool
+) -> DataFrame:
+    """(keys, _at, _cell) and the sums of the own cell up to the row and of the cell one width before from it on.
 
-    Cells are grouped in blocks of one width, each block also getting a copy of the one before: a window holds
-    at most 2 * width/cell rows and a frame half of that.
+    Both are running sums, so the work is linear in the rows however many a cell has.
     """
-    block = F.col("_at") - F.pmod(F.col("_at"), F.lit(width))
-    both = totals.withColumn("_copy", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn(
-        "_block", block + F.when(F.col("_copy"), width).otherwise(0)
+    start = F.col("_at") - F.pmod(F.col("_at"), F.lit(cell))
+    both = rows.withColumn("_leaving", F.explode(F.array(F.lit(False), F.lit(True)))).withColumns(
+        {"_pos": F.pmod(F.col("_at"), F.lit(cell)), "_cell": start + F.when(F.col("_leaving"), width).otherwise(0)}
     )
-    before = Window.partitionBy(*keys, "_block").orderBy("_at").rangeBetween(cell - width, -cell)
+    place = Window.partitionBy(*keys, "_cell")
+    upto = place.orderBy("_pos").rangeBetween(Window.unboundedPreceding, 0 if with_own else -1)
+    after = place.orderBy(F.col("_pos").desc()).rangeBetween(Window.unboundedPreceding, 0 if closed_left else -1)
+    own = {name: F.when(~F.col("_leaving"), F.col(name)) for name in names}
+    leaving = {name: F.when(F.col("_leaving"), F.col(name)) for name in names}
     return (
-        both.withColumns({n: F.sum(n).over(before) for n in names}).where(~F.col("_copy")).select(*keys, "_at", *names)
+        both.withColumns({f"_upto_{n}": F.sum(own[n]).over(upto) for n in names})
+        .withColumns({f"_after_{n}": F.sum(leaving[n]).over(after) for n in names})
+        .where(~F.col("_leaving"))
+        .select(*keys, "_at", "_cell", *[_add(f"_upto_{n}", f"_after_{n}").alias(n) for n in names])
     )
 
 

@@ -60,7 +60,7 @@ def prices_by_token(
 
 def fill_missing_prices(tokens: DataFrame, prices: DataFrame, default: float = 0.0, key: str = "token") -> DataFrame:
     """Every token with its price, ``default`` where there is none."""
-    side = small_side(prices.select(F.col(key).alias("_key"), F.col("price_usd").alias("_price")))
+    side = small_side(prices.select(F.col(key).alias("_key"), F.col("price_usd").alias("_price")), derived=True)
     joined = tokens.join(side, F.col(key) == F.col("_key"), "left")
     return joined.withColumn("price_usd", F.coalesce("_price", F.lit(default))).drop("_key", "_price")
 
@@ -70,7 +70,8 @@ def price_on_date(df: DataFrame, daily_prices: DataFrame, vs: str = "usd") -> Da
     side = small_side(
         daily_prices.select(
             F.col("token_id").alias("_id"), F.col("date").alias("_date"), F.col(vs).alias("price_on_date")
-        )
+        ),
+        derived=True,
     )
     match = (F.col("token_id") == F.col("_id")) & (F.col("date") == F.col("_date"))
     return df.join(side, match, "left").drop("_id", "_date")
