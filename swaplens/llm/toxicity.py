@@ -13,6 +13,7 @@ used; without both labels in the sample, all scores are 0. An empty table gives
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -274,8 +275,8 @@ class Tagger:
         return [{"start": places[r[0]][0], "end": places[r[-1]][1], "marginal": float(gamma[r].max())} for r in runs]
 
 
-def sample(docs: DataFrame, labels: DataFrame, modulus: int, per_label: tuple[int, int], sample_bytes: int) -> tuple[list[str], np.ndarray]:
-    """The labelled rows to learn from: up to ``per_label`` clean and toxic ones by a hash of the id, none held out.
+def sample(docs: DataFrame, labels: DataFrame, modulus: int, per_label: tuple[int, int], sample_bytes: int) -> DataFrame:
+    """The labelled rows to learn from (rowkey, text, toxic): up to ``per_label`` clean and toxic ones by a hash of the id, none held out.
 
     Rows are chosen without their texts; the chosen ones, a bounded number, are then looked up.
     """
@@ -286,13 +287,18 @@ def sample(docs: DataFrame, labels: DataFrame, modulus: int, per_label: tuple[in
     both = keyed.select("doc_id", "rowkey").distinct().join(tags, "doc_id")
     picks = [both.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "rowkey").limit(most) for label, most in enumerate(per_label)]
     chosen = settle(picks[0].union(picks[1]).select("rowkey", "toxic"))
-    got = keyed.join(F.broadcast(chosen), "rowkey").groupBy("rowkey").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic")).orderBy("rowkey").collect()
-    return [r["text"] for r in got], np.array([r["toxic"] for r in got], int)
+    return keyed.join(F.broadcast(chosen), "rowkey").groupBy("rowkey").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, modulus: int = 5, per_label: tuple[int, int] = (4000, 1000), sample_bytes: int = 16384) -> dict:
-    """Fit on at most ``per_label`` clean and toxic documents of at most ``sample_bytes``."""
-    return fit(*sample(docs, labels, modulus, per_label, sample_bytes))
+    """Fit on at most ``per_label`` clean and toxic documents of at most ``sample_bytes``, in one task; the driver gets the weights alone."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat([pd.DataFrame({"rowkey": [], "text": [], "toxic": []}), *batches]).sort_values("rowkey")
+        yield pd.DataFrame({"model": [pickle.dumps(fit(rows["text"].tolist(), rows["toxic"].to_numpy(int)))]})
+
+    fitted = sample(docs, labels, modulus, per_label, sample_bytes).repartition(1).mapInPandas(run, "model binary").first()
+    return pickle.loads(fitted["model"]) if fitted else {"weights": None}
 
 
 SPANS = "array<struct<start: int, end: int, marginal: double>>"
