@@ -35,7 +35,7 @@ CHECKSUM_FLAG = 0x80
 
 FRAME_BYTES = 256 * 1024
 FILE_TEXT_BYTES = 32 * 2**20
-CACHED_WORDS = 350_000  # in each of two generations
+CACHED_WORDS = 800_000  # in each of two generations; about 160 bytes a word
 
 
 class WordEncoder:
