@@ -5,10 +5,13 @@ still have room for. Rows are ranked in their block by a random key (the local p
 to their shards, and are ranked there by a second key. Every assignment of rows to slots is equally likely, as far as the keys are
 random, and sizes are exact. Ranks are taken within blocks and within cells of a shard, so no task holds a whole shard.
 
+Documents are numbered and written once, and cross the network once: blocks are ranked on the keys alone, and the keys at the
+cuts tell every document its shard where it lies. It goes there with all its columns, is ranked, and is written to its shard's folder.
+
 Main path: DataFrame functions only. The matrix is drawn on the driver; it has a row per ``block_rows`` documents.
 
-Null texts count as empty. Null ids and repeated rows are rows like others: the row's number within the read is part of its keys. An
-empty table gives no rows. Other columns are not read.
+Null texts stay null and have the keys, size and checksum of empty ones. Null ids and repeated rows are rows like others: the row's number within the
+read is part of its keys. An empty table gives no rows. Other columns go along as they are.
 """
 
 from __future__ import annotations
@@ -18,9 +21,10 @@ import json
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from swaplens.llm.common import chunks_for, text_or_empty
-from swaplens.plans.scale import settle
+from swaplens.llm.common import as_they_are, chunks_for, fresh, text_or_empty
+from swaplens.plans.scale import run_dir, settle
 
 BLOCK_ROWS = 8192
 
@@ -40,40 +44,66 @@ def _cell(key: Column, n: int) -> Column:
     return F.shiftright(F.shiftrightunsigned(key, 33) * n, 31).cast("int")
 
 
-def shard_rows(docs: DataFrame, shards: int = 24, seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """doc_id, size, text_crc32, shard and slot (gapless from 0 in each shard); shards differ by one row at most."""
+def _stored(df: DataFrame, folder: str, *by: str) -> DataFrame:
+    """What is read from the folder after writing to it, under the same schema whether or not there are rows."""
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(folder)
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+    return df.sparkSession.read.schema(nullable).parquet(folder).select(*as_they_are(df))
+
+
+def _digests() -> list[Column]:
     text = text_or_empty()
-    raw = docs.select(
-        "doc_id",
-        (F.octet_length(text) + 8).cast("bigint").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    keys = [F.xxhash64(F.lit(f"{name}-{seed}"), "doc_id", "text_crc32", "row").alias(name) for name in ("k0", "k1", "k2")]
-    base = settle(raw.select("doc_id", "size", "text_crc32", "row", *keys))
+    return [(F.octet_length(text) + 8).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")]
+
+
+def write_shards(docs: DataFrame, folder: str, shards: int = 24, seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Write the documents to a folder per shard and read them again: all columns as they are, then shard and slot.
+
+    Slots are gapless from 0 in each shard; shards differ by one row at most. Where the documents have a column shard or slot, the new one
+    gets underscores before its name.
+    """
+    shard, slot, row, k0, k1, k2, block, cell, rank, cut, edges = fresh(docs, "shard", "slot", "row", "k0", "k1", "k2", "block", "cell", "rank", "cut", "edges")
+    columns, (_, crc) = as_they_are(docs), _digests()
+    held = _stored(docs.withColumn(row, F.monotonically_increasing_id()), run_dir(docs.sparkSession, "rows"))
+    keyed = held.withColumns({k: F.xxhash64(F.lit(f"{name}-{seed}"), "doc_id", crc, row) for name, k in (("k0", k0), ("k1", k1), ("k2", k2))})
+    base = settle(keyed.select(k0, k1, k2, row))
     n = base.count()
     blocks, cells = chunks_for(n, block_rows), chunks_for(n, block_rows * shards)
-    base = base.withColumn("block", _cell(F.col("k0"), blocks))
-    counts = dict(base.groupBy("block").count().collect())
+    placed = {block: _cell(F.col(k0), blocks), cell: _cell(F.col(k2), cells)}
+    base = base.withColumns(placed)
+    counts = dict(base.groupBy(block).count().collect())
     sizes = [n // shards + (s < n % shards) for s in range(shards)]
     matrix = communication_matrix([counts.get(b, 0) for b in range(blocks)], sizes, seed)
     cuts = docs.sparkSession.sql(
-        "SELECT posexplode(from_json(:m, 'array<array<bigint>>')) AS (c_block, cuts)",
+        "SELECT c_block, explode(cuts) AS c_rank FROM (SELECT posexplode(from_json(:m, 'array<array<bigint>>')) AS (c_block, cuts))",
         args={"m": json.dumps(np.cumsum(matrix, axis=1).tolist())},
     )
-    local = base.withColumn("rank", F.row_number().over(Window.partitionBy("block").orderBy("k1", "row")))
-    sent = settle(
-        local.join(F.broadcast(cuts), F.col("block") == F.col("c_block"))
-        .withColumn("shard", F.size(F.filter("cuts", lambda c: c < F.col("rank"))))
-        .select("doc_id", "size", "text_crc32", "row", "k2", "shard", _cell(F.col("k2"), cells).alias("cell"))
-    )
-    in_cell = sent.groupBy("shard", "cell").count()
-    offsets = in_cell.select(
-        F.col("shard").alias("o_shard"),
-        F.col("cell").alias("o_cell"),
-        (F.sum("count").over(Window.partitionBy("shard").orderBy("cell")) - F.col("count")).alias("offset"),
-    )
-    ranked = sent.withColumn("rank", F.row_number().over(Window.partitionBy("shard", "cell").orderBy("k2", "row")))
-    return ranked.join(offsets, (F.col("shard") == F.col("o_shard")) & (F.col("cell") == F.col("o_cell"))).select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("offset") + F.col("rank") - 1).cast("int").alias("slot")
+    # The last keys that go to each shard, per block; shards before the first row have none.
+    local = base.withColumn(rank, F.row_number().over(Window.partitionBy(block).orderBy(k1, row)))
+    last = cuts.join(local, (F.col("c_block") == F.col(block)) & (F.col("c_rank") == F.col(rank)), "left")
+    at = settle(last.groupBy("c_block").agg(F.collect_list(F.when(F.col(row).isNotNull(), F.struct(k1, row))).alias(edges), F.count(F.when(F.col("c_rank") == 0, 1)).alias(cut)))
+
+    def dealt(df: DataFrame) -> DataFrame:
+        before = F.filter(edges, lambda e: e < F.struct(k1, row))
+        return df.join(F.broadcast(at), F.col(block) == F.col("c_block")).withColumn(shard, (F.col(cut) + F.size(before)).cast("int"))
+
+    in_cell = dealt(base).groupBy(shard, cell).count()
+    offsets = settle(
+        in_cell.select(
+            F.col(shard).alias("o_shard"),
+            F.col(cell).alias("o_cell"),
+            (F.sum("count").over(Window.partitionBy(shard).orderBy(cell)) - F.col("count")).alias("o_before"),
+        )
     )
+    sent = dealt(keyed.withColumns(placed)).select(*columns, row, k2, shard, cell)
+    ranked = sent.withColumn(rank, F.row_number().over(Window.partitionBy(shard, cell).orderBy(k2, row)))
+    slotted = ranked.join(F.broadcast(offsets), (F.col(shard) == F.col("o_shard")) & (F.col(cell) == F.col("o_cell")))
+    out = slotted.select(*columns, F.col(shard), (F.col("o_before") + F.col(rank) - 1).cast("int").alias(slot))
+    return _stored(out, folder, shard)
+
+
+def shard_rows(docs: DataFrame, shards: int = 24, seed: int = 7, block_rows: int = BLOCK_ROWS, folder: str | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, shard and slot of the documents that arrived in the shards."""
+    arrived = write_shards(docs, folder or run_dir(docs.sparkSession, "shards"), shards, seed, block_rows)
+    shard, slot = arrived.columns[-2:]
+    return arrived.select("doc_id", *_digests(), F.col(shard).alias("shard"), F.col(slot).alias("slot"))

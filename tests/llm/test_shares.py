@@ -92,6 +92,21 @@ def test_shards(spark, n):
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, again), key=repr)
 
 
+def test_shards_hold_the_documents(spark, tmp_path):
+    rows = [(k % 50 if k % 7 else None, None if k % 11 == 0 else f"téxt {k % 90}", "de" if k % 2 else None, k, f"old {k}") for k in range(700)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, n_chars bigint, Shard string")
+    got = sharding.write_shards(df, str(tmp_path / "out"), shards=5, block_rows=64)
+    assert got.columns == [*df.columns, "_shard", "slot"]
+    assert sorted((tuple(r)[:5] for r in got.collect()), key=repr) == sorted(rows, key=repr)
+    for s in range(5):  # each folder holds its own documents, in full
+        own = spark.read.parquet(str(tmp_path / "out" / f"_shard={s}"))
+        assert sorted(r.slot for r in own.collect()) == list(range(140)) and own.columns == [*df.columns, "slot"]
+    assert sharding.write_shards(df.limit(0), str(tmp_path / "none")).count() == 0
+    digests = sharding.shard_rows(df, shards=5, block_rows=64).collect()
+    expected = [(r.doc_id, len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode()), r["_shard"], r.slot) for r in got.collect()]
+    assert sorted(map(tuple, digests), key=repr) == sorted(expected, key=repr)
+
+
 def test_shards_are_uniform(spark):
     got = sharding.shard_rows(documents(spark, [(k, str(k)) for k in range(4800)]), shards=4, block_rows=256).collect()
     for part in range(4):  # a quarter of the ids is spread over all shards and slots
