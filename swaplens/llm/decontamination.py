@@ -1,15 +1,15 @@
-"""Benchmark decontamination: every training passage is a query against a BM25 index of the test items.
+"""Benchmark decontamination: every document is a query against a BM25 index of the test items' questions and answers.
 
-Documents are read in windows of 128 words, one every 64. An item's score for a window is its BM25 score, divided by the score it has for its own
-text, so one threshold serves all items. Block-max WAND retrieves every item at or above it: a cursor per word walks its postings by item;
-the words' maxima give the pivot, the maxima of the blocks that hold the pivot decide whether it is scored. Before that, windows
-are passed over whose rarer words cannot lift any item to the threshold: the common words' part of each item's score is bounded when the index is built,
-and the rarer words' impacts are bounded by groups of items.
+Question and answer may stand anywhere in a document, so a query is the whole document: those of its words that stand in a shingle of some item.
+A part's score is its BM25 score, divided by the score it has for its own text. A part with 80 % of its shingles reaches the threshold wherever they
+stand: it is 0.6, or what is left of the own score without the shingles that may be missing, if that is less; impacts are scaled to have
+one threshold for all. Block-max WAND retrieves every part at or above it: a cursor per word walks its postings by part;
+the words' maxima give the pivot, the maxima of the blocks that hold the pivot decide whether it is scored. Queries of many words add up their postings instead.
 
-A retrieved item is verified against the document: of the five-word shingles of its question and of its answer, 80 % each must
+An item whose parts are all retrieved is verified against the document: of the five-word shingles of its question and of its answer, 80 % each must
 occur. Items that come as one text have their first half as question and the other as answer; a part of fewer words is one shingle.
 
-Items of over 64 words are indexed in pieces of 64. The index goes to the executors in blocks of ``block_bytes`` of items, each with
+The index goes to the executors in blocks of ``block_bytes`` of items, each with
 statistics of its own and one pass over the documents, so its size is bounded whatever the benchmark's. Null, empty and blank items and
 texts match nothing. Items and documents that repeat give a row for each. Other columns are not read. Empty tables give no rows.
 """
@@ -20,6 +20,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -29,9 +30,9 @@ from pyspark.sql import functions as F
 
 from swaplens.llm.common import chunks_for, text_bytes, words
 
-STRIDE, PIECE = 64, 64
-WINDOW = 2 * STRIDE
+STRIDE = 64
 BLOCK_BYTES = 4 * 2**20
+WIDE = 512  # words of a query from which postings are added up
 
 
 def _shingles(tokens: list[bytes], q: int) -> set[tuple]:
@@ -40,24 +41,37 @@ def _shingles(tokens: list[bytes], q: int) -> set[tuple]:
     return set(zip(*[tokens[k:] for k in range(q)]))
 
 
+def _hashes(terms: np.ndarray, width: int) -> np.ndarray:
+    """A hash of the words at each place and the next ones; equal for equal words."""
+    n = max(0, len(terms) - width + 1)
+    out = np.zeros(n, "u8")
+    for k in range(width):
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + terms[k : k + n].astype("u8") + np.uint64(1)
+    return out
+
+
 class Index:
-    """Inverted index of items with block maxima."""
+    """Inverted index of the items' parts with block maxima."""
 
     def __init__(self, items: list[tuple[int, str]], threshold: float = 0.6, q: int = 5, overlap: float = 0.8, block: int = 16, k1: float = 1.2, b: float = 0.75, common: float = 0.25):
         self.threshold, self.q, self.overlap = threshold, q, overlap
-        self.item_ids, self.parts, pieces, self.owner = [], [], [], []
+        self.item_ids, self.parts, pieces, of_piece, self.owner = [], [], [], [], []
         for item_id, text in items:
             tokens = words(text)
             if not tokens:
                 continue
             half = (len(tokens) + 1) // 2
-            for k in range(0, len(tokens), PIECE):
-                pieces.append(Counter(tokens[k : k + PIECE]))
-                self.owner.append(len(self.item_ids))
-            self.item_ids.append(item_id)
             self.parts.append((_shingles(tokens[:half], q), _shingles(tokens[half:], q)))
+            for part, shingles in zip((tokens[:half], tokens[half:]), self.parts[-1]):
+                if part:
+                    pieces.append(Counter(part))
+                    of_piece.append(shingles)
+                    self.owner.append(len(self.item_ids))
+            self.item_ids.append(item_id)
         df = Counter(w for p in pieces for w in p)
         mean = sum(map(len, pieces)) / max(1, len(pieces))
+        self.own: list[float] = []
+        self.least: list[float] = []
         impact: dict[bytes, list[tuple[int, float]]] = {}
         for i, piece in enumerate(pieces):
             size = sum(piece.values())
@@ -66,12 +80,22 @@ class Index:
                 for w, n in piece.items()
             }
             own = sum(score.values())
+            # What the shingles that may be missing can take: each word's score is dealt over the shingles that hold it.
+            holds = Counter(w for g in of_piece[i] for w in set(g))
+            dealt = sorted((sum(score[w] / holds[w] for w in set(g)) for g in of_piece[i]), reverse=True)
+            left = sum(dealt[len(dealt) - ceil(overlap * len(dealt)) :])
+            self.least.append(max(1e-12, min(threshold, left / own)))
+            self.own.append(own)
             for w, x in score.items():
-                impact.setdefault(w, []).append((i, x / own))
+                impact.setdefault(w, []).append((i, x / own * threshold / self.least[-1]))
         self.term: dict[bytes, int] = {w: t for t, w in enumerate(impact)}
         self.items = [[i for i, _ in p] for p in impact.values()]
         self.impacts = [[x for _, x in p] for p in impact.values()]
         self.most = [max(x) for x in self.impacts]
+        self.known: dict[int, np.ndarray] = {}
+        for width in {len(g) for shingles in of_piece for g in shingles}:
+            grams = np.array([[self.term[w] for w in g] for shingles in of_piece for g in shingles if len(g) == width], "i4")
+            self.known[width] = np.unique(_hashes(grams.reshape(-1), width)[::width])
         self.block = block
         self.block_most = [[max(x[k : k + block]) for k in range(0, len(x), block)] for x in self.impacts]
         # Common words: those whose impacts together stay below ``common`` in every item, the most frequent first.
@@ -86,14 +110,30 @@ class Index:
         self.rare, self.rare_least = rare, threshold - spent.max(initial=0.0) - 1e-4
 
     def windows(self, terms: np.ndarray) -> list[int]:
-        """Starts of the windows whose rare words might lift an item of some group of items to the threshold."""
+        """Starts of the windows of 128 words whose rare words alone might lift a part of some group to the threshold; for callers that
+        look for passages, since a document's leaks need not stand in one window."""
         half = np.add.reduceat(self.rare[terms], np.arange(0, len(terms), STRIDE), axis=0)
         both = half[:-1] + half[1:] if len(half) > 1 else half
         return (np.flatnonzero(both.max(axis=1) >= self.rare_least) * STRIDE).tolist()
 
+    def query(self, terms: np.ndarray) -> list[int]:
+        """The distinct words that stand in a shingle of some item."""
+        own: set[int] = set()
+        for width, known in self.known.items():
+            have = _hashes(terms, width)
+            at = np.flatnonzero(known[np.minimum(np.searchsorted(known, have), len(known) - 1)] == have)
+            own.update(terms[at[:, None] + np.arange(width)].reshape(-1).tolist())
+        own.discard(len(self.items))
+        return list(own)
+
     def retrieve(self, terms: list[int]) -> list[tuple[int, float]]:
         """All (piece, score) with a score at or above the threshold for these distinct words."""
         least, found, n = self.threshold - 1e-9, [], self.block
+        if len(terms) > WIDE:
+            scores = np.zeros(len(self.owner))
+            for t in terms:
+                scores[self.items[t]] += self.impacts[t]
+            return [(i, scores[i]) for i in np.flatnonzero(scores >= least).tolist()]
         cursors = [[self.items[t][0], 0, t] for t in terms]
         while cursors:
             cursors.sort()
@@ -133,15 +173,15 @@ class Index:
             return []
         none, get = len(self.items), self.term.get
         terms = np.fromiter((get(w, none) for w in tokens), "i4", len(tokens))
-        scores: dict[int, float] = {}
-        for start in self.windows(terms):
-            own = set(terms[start : start + WINDOW].tolist())
-            own.discard(none)
-            for piece, score in self.retrieve(list(own)):
-                item = self.owner[piece]
-                scores[item] = max(score, scores.get(item, 0.0))
+        retrieved: dict[int, list[tuple[float, float]]] = {}
+        for piece, score in self.retrieve(self.query(terms)):
+            own = self.own[piece]
+            retrieved.setdefault(self.owner[piece], []).append((score / self.threshold * self.least[piece] * own, own))
         out, sets = [], {}
-        for item in sorted(scores):
+        for item in sorted(retrieved):
+            if len(retrieved[item]) < sum(map(bool, self.parts[item])):
+                continue
+            score, own = map(sum, zip(*retrieved[item]))
             counts = []
             for part in self.parts[item]:
                 width = len(next(iter(part), ()))
@@ -149,7 +189,7 @@ class Index:
                     sets[width] = set(zip(*[tokens[k:] for k in range(width)]))
                 counts += [len(part & sets[width]) if width else 0, len(part)]
             if counts[0] >= self.overlap * counts[1] and counts[2] >= self.overlap * counts[3]:
-                out.append((self.item_ids[item], scores[item], *counts))
+                out.append((self.item_ids[item], float(score / own), *counts))
         return out
 
 
@@ -166,7 +206,7 @@ LEAKS = "item_id bigint, score double, question_hits bigint, question_shingles b
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, **options) -> DataFrame:
-    """One row per document and verified item: doc_id, item_id, score of the best window, hits and shingles of question and answer."""
+    """One row per document and verified item: doc_id, item_id, the share of the item's own score, hits and shingles of question and answer."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def search(index: Index) -> DataFrame:

@@ -261,6 +261,38 @@ def test_leaks(spark, block_bytes):
     assert sorted(r.doc_id for r in clean.collect()) == [i for i, _ in rows if not expected[i]]
 
 
+def test_leaks_whose_parts_stand_apart(spark):
+    rng = random.Random(16)
+    vocabulary = [f"v{int(rng.paretovariate(0.7))}" for _ in range(4000)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=n))) for k, n in enumerate([2, 7, 12, 15, 20, 33, 40, 59, 64, 150, 400] * 4)]
+    rows = []
+    for k, t in items:
+        own = words(t)
+        half = (len(own) + 1) // 2
+        parts = [[x.decode() for x in own[:half]], [x.decode() for x in own[half:]]]
+        for kind in range(4):
+            rng.shuffle(parts)  # the answer may come first
+            pieces = parts
+            if kind == 1:  # four of five shingles at most
+                pieces = [p[: max(min(5, len(p)), len(p) - (len(p) - 4) // 5)] for p in parts]
+            if kind == 2:  # every shingle in a place of its own
+                pieces = [p[i : i + 5] for p in parts for i in range(max(1, len(p) - 4))]
+            if kind == 3:  # the question alone, or the answer
+                pieces = parts[:1]
+            text = rng.choices(vocabulary, k=rng.randrange(50))
+            for p in pieces:
+                text += [*p, *(f"other{rng.randrange(10**6)}" for _ in range(200 if kind != 2 else 20))]
+            rows.append((4 * k + kind, " ".join(text)))
+    rows.append((10_000, " filler ".join(t for _, t in items)))
+    got = {}
+    for r in decontamination.find_leaks(documents(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")).collect():
+        got.setdefault(r.doc_id, []).append(r.item_id)
+        assert 0 < r.score < 1 + 1e-9
+    expected = {i: brute_leaks(items, t) for i, t in rows}
+    assert all(k in expected[4 * k] and k in expected[4 * k + 2] for k, _ in items)
+    assert {i: sorted(x) for i, x in got.items()} == {i: x for i, x in expected.items() if x}
+
+
 def test_leaks_of_nothing(spark):
     items, rows = leak_fixture()
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
