@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -38,12 +39,18 @@ FILE_TEXT_BYTES = 32 * 2**20
 CACHED_WORDS = 800_000  # in each of two generations; about 160 bytes a word
 
 
+def _stays_letters(stem: str) -> bool:
+    """Whether a stem is all letters before and after the tokenizer's normalisation."""
+    return stem.isalpha() and unicodedata.normalize("NFC", stem).lower().isalpha()
+
+
 class WordEncoder:
     """Ids of texts from the ids of their words.
 
     The tokenizer drops white space and splits at it, so a text's ids are those of its words in order, and the library sees each
     distinct word once while it is remembered. A word of letters followed by full stops and commas is two pre-tokens; ASCII letters
-    are lower-cased by the tokenizer anyway. Both make fewer distinct words; all others go to the library as they are. Stems of letters are encoded
+    are lower-cased by the tokenizer anyway. Both make fewer distinct words; all others go to the library as they are, also words whose letters become
+    a letter and a mark when normalised or lower-cased, since marks join the punctuation behind them. Stems of letters are encoded
     many at a time, and cut after the tokens that end a word; where the cuts are not as many as the stems, one at a time.
     """
 
@@ -87,7 +94,7 @@ class WordEncoder:
             stem = word.rstrip(b".,")
             if stem.isalpha():
                 parts[word] = (stem.lower(), word[len(stem) :])
-            elif not stem.isascii() and stem.decode("utf-8", "replace").isalpha():
+            elif not stem.isascii() and _stays_letters(stem.decode("utf-8", "replace")):
                 parts[word] = (stem, word[len(stem) :])
             else:
                 parts[word] = (b"", word)

@@ -33,6 +33,14 @@ def test_word_encoder_equals_library():
         encoder.words, encoder.older = {}, encoder.words
 
 
+def test_letters_that_become_marks_before_punctuation():
+    encoder = token_output.WordEncoder(tokenizer_path())
+    letters = ["EVİ", "İ", "Aİ", "éİ", *map(chr, range(0x958, 0x960)), "क\u0958", "\u09dc", "\ufb1d", "ΣΑΣ", "é"]
+    for text in [x + tail for x in letters for tail in (".", ",", ".,", "..", "")]:
+        for _ in range(2):
+            assert list(encoder.encode([text], 2)[0]) == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [2], text
+
+
 def test_token_files_round_trip(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_output, "FILE_TEXT_BYTES", 100_000)
     texts = sample_texts(60) + ODD
