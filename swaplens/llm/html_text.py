@@ -1,7 +1,7 @@
 """Main text of web pages by composite text density.
 
 A page's tags make a tree. What is never article is taken out first: elements for menus, headers, footers, sidebars, forms, scripts and the like,
-and elements whose role, class or id says notice, advert or comments. Every node then has a composite density: its characters per tag,
+and elements whose role, class or id says notice, advert or comments, unless they are wrappers of the article (see ``_wraps``). Every node then has a composite density: its characters per tag,
 weighed by how much of them stands outside links. The node whose children's densities have the largest sum is the article's. The least density on its
 path to the body is the threshold: wherever a node reaches it, the subtree with the largest sum below that node is text as well.
 A text inside an ``article`` element is widened to that element, so headings beside the densest part stay.
@@ -57,31 +57,36 @@ KEPT = frozenset(["html", "body", "article", "main"])
 
 
 class Tree:
-    """Nodes in page order: parent, tag, whether taken out, and the text pieces with the node they stand in."""
+    """Nodes in page order: parent, tag, whether taken out and whether by role or name, and the text pieces with the node they stand in."""
 
     def __init__(self) -> None:
-        self.parent, self.tag, self.out = [-1], ["html"], [False]
+        self.parent, self.tag, self.out, self.named = [-1], ["html"], [False], [False]
         self.pieces: list[tuple[int, str | None]] = []  # a null piece is the edge of a block
 
-    def add(self, parent: int, tag: str, out: bool) -> int:
+    def add(self, parent: int, tag: str, out: bool, named: bool) -> int:
         self.parent.append(parent)
         self.tag.append(tag)
         self.out.append(out)
+        self.named.append(named)
         return len(self.tag) - 1
 
 
-def _is_out(tag: str, attrs: str, in_article: bool) -> bool:
+def _is_out(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is never article, and whether its role or name says so."""
     if tag in NO_TEXT or (tag == "header" and not in_article):
-        return True
+        return True, False
     if tag in KEPT or not attrs.strip("/ "):
-        return False
+        return False, False
+    named = False
     for m in ATTRIBUTE.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in NO_ROLE):
-            return True
-        if name in ("class", "id") and not NO_NAME.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
-    return False
+        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+            return True, False
+        if name == "role":
+            named |= value in NO_ROLE
+        elif name in ("class", "id"):
+            named |= not NO_NAME.isdisjoint(re.split(r"[^a-z0-9]+", value))
+    return False, named
 
 
 def parse(page: str) -> Tree:
@@ -133,7 +138,7 @@ def parse(page: str) -> Tree:
         if tag in ENDS and (depth := find(*ENDS[tag])):
             close(depth)
         attrs = m["attrs"] if m["tag"] else m["attrs2"]
-        node = tree.add(stack[-1], tag, _is_out(tag, attrs, opened["article"] + opened["main"] > 0))
+        node = tree.add(stack[-1], tag, *_is_out(tag, attrs, opened["article"] + opened["main"] > 0))
         if tag in BLOCK:
             tree.pieces.append((node, None))
         if tag in VOID or attrs.endswith("/") and tag in ("path", "use", "rect", "circle"):
@@ -153,12 +158,47 @@ def parse(page: str) -> Tree:
     return tree
 
 
+def _wraps(tree: Tree, out: list[bool], sizes: list[int]) -> list[bool]:
+    """Which elements that are named like menus, notices or comments stand around the article instead.
+
+    One does if no ``article`` or ``main`` can be seen outside it, and it holds one, or the only ``h1``, or most of the page's text. Within an ``article`` or
+    ``main`` it has to hold most of that element's text. ``sizes`` are characters of each node itself.
+    """
+    n, parent, tag, named = len(tree.tag), tree.parent, tree.tag, tree.named
+    strong = [t in ("article", "main") and not o for t, o in zip(tag, out)]
+    title = [t == "h1" and not o for t, o in zip(tag, out)]
+    size, strongs, titles = sizes[:], [*map(int, strong)], [*map(int, title)]
+    for k in range(n - 1, 0, -1):
+        for x in (size, strongs, titles):
+            x[parent[k]] += x[k]
+    around, within = [0] * n, [0] * n  # nearest named element and nearest article or main above
+    own_strong, own_title, above = [0] * n, [0] * n, [0] * n  # below a named element but no further one; strong ones above
+    for k in range(1, n):
+        p = parent[k]
+        around[k] = p if named[p] else around[p]
+        within[k] = p if strong[p] else within[p]
+        above[k] = above[p] + strong[p]
+        own_strong[around[k]] += strong[k]
+        own_title[around[k]] += title[k]
+    wraps, seen_strong, seen_title = [False] * n, own_strong[:], own_title[:]
+    for k in range(1, n):
+        if not named[k] or out[k]:
+            continue
+        strong_out, title_out = seen_strong[around[k]], seen_title[around[k]]
+        seen_strong[k], seen_title[k] = strong_out + own_strong[k], title_out + own_title[k]
+        if strong_out > above[k]:
+            continue
+        most = 2 * size[k] > size[within[k]]
+        wraps[k] = most or (not within[k] and (strongs[k] > 0 or (titles[k] > 0 and not title_out)))
+    return wraps
+
+
 def main_text(page: str | None) -> str:
     """The article of a page."""
     if not page:
         return ""
     tree = parse(page)
-    n, parent, tag, out = len(tree.tag), tree.parent, tree.tag, tree.out
+    n, parent, tag, out, named = len(tree.tag), tree.parent, tree.tag, tree.out, tree.named
     # A form around the article is no form of the article.
     holds = [t in ("article", "main", "h1") for t in tag]
     for k in range(n - 1, 0, -1):  # children come after their parents
@@ -172,9 +212,15 @@ def main_text(page: str | None) -> str:
     pieces = [(k, None if t is None else html.unescape(t)) for k, t in tree.pieces if not out[k] or t is None]
     for k, text in pieces:
         if text is not None:
-            size = len("".join(text.split()))
-            chars[k] += size
-            link_chars[k] += size * link[k]
+            chars[k] += len("".join(text.split()))
+    if any(named):
+        wraps = _wraps(tree, out, chars)
+        for k in range(1, n):
+            out[k] = out[k] or out[parent[k]] or (named[k] and not wraps[k])
+        pieces = [(k, t) for k, t in pieces if not out[k] or t is None]
+    for k in range(n):
+        chars[k] *= not out[k]
+        link_chars[k] = chars[k] * link[k]
     for k in range(n - 1, 0, -1):
         if not out[k]:
             p = parent[k]

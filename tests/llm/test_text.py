@@ -103,6 +103,33 @@ def test_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+STORY = "<p>The story begins here, with some words.</p><p>It goes on for a while, and ends.</p>"
+TOLD = "The story begins here, with some words. It goes on for a while, and ends."
+THREAD = "<div id='comments'><article class='comment'><p>I like it.</p></article></div>"
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<div class='layout with-sidebar'><article>{STORY}</article></div>", TOLD),
+        (f"<div id='no-comments'><main>{STORY}</main></div>", TOLD),
+        (f"<section class='content widget'><article>{STORY}</article></section><aside>More</aside>", TOLD),
+        (f"<main><section class='content widget'><article>{STORY}</article></section></main>", TOLD),
+        (f"<div role='form'><article>{STORY}</article></div>", TOLD),
+        (f"<div class='with-sidebar'><h1>Title</h1>{STORY}</div><div class='cookie-notice'><p>We use cookies.</p></div>", f"Title {TOLD}"),
+        (f"<div class='page social'><div>{STORY}</div></div><div class='newsletter'><p>Write to us.</p></div>", TOLD),
+        # what stays out
+        (f"<div class='with-sidebar'><article>{STORY}</article>{THREAD}</div>", TOLD),
+        (f"<article>{STORY}</article>{THREAD}", TOLD),
+        (f"<main>{STORY}{THREAD}</main>", TOLD),
+        (f"<article>{STORY}</article><div id='comments'>{STORY * 5}</div>", TOLD),
+        (f"<div class='with-sidebar' hidden><article>{STORY}</article></div><p>Other text.</p>", "Other text."),
+    ],
+)
+def test_wrappers_named_like_notices(page, text):
+    assert html_text.main_text(f"<body>{page}</body>") == text
+
+
 def test_density_prefers_text_to_links():
     links = "".join(f"<li><a href={k}>link number {k}</a></li>" for k in range(30))
     paragraphs = [f"Paragraph {k} of the story, with some words in it and a few more." for k in range(6)]
