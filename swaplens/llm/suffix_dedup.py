@@ -10,6 +10,9 @@ A byte goes if a string of ``LENGTH`` bytes that covers it starts earlier as wel
   a right extension with all its occurrences. In each, occurrences are sorted by what stands to their left, and the same scan tells the groups whose
   left extensions part there: the maximal repeats. All but a group's first occurrence lose the repeat.
 
+An anchor with over ``HOT`` contexts would bring them all to one task. Its windows are told apart by their hash instead: for each of the places an anchor can
+have in a window, a chunk sends the first of its equal windows, dealt by the hash, and all but the first of all chunks are lost. These are the same spans.
+
 Copies send a context once per chunk, so a hot passage counts by chunks, not by documents, in all but the contexts that cross its borders.
 
 Texts are UTF-8 bytes; null is empty. Documents under ``LENGTH`` bytes stay whole. Null ids come last. Rows with one id are ordered by a hash of id and text, and
@@ -33,6 +36,7 @@ from swaplens.plans.scale import run_dir
 LENGTH, GRAM = 100, 32
 REACH = LENGTH - GRAM  # how far an anchor can stand from its window's start
 CHUNK_BYTES, SLICE_BYTES = 8 * 2**20, 2**20
+HOT = 4096  # distinct contexts from which an anchor's windows are dealt by their hash
 WIDE = 16  # members from which an interval is cut by arrays
 UNKNOWN = np.iinfo("i8").max
 
@@ -118,8 +122,8 @@ class Chunk:
 SENT = "chunk int, bucket int, contexts binary, grams binary, orders binary"
 
 
-def repeated_contexts(rows: DataFrame, buckets: int) -> DataFrame:
-    """Per chunk and bucket a byte for each distinct context: 1 if it occurs earlier elsewhere, 2 if it is the first of several contexts of its anchor, else 0."""
+def repeated_contexts(rows: DataFrame, buckets: int, hot: int = HOT) -> DataFrame:
+    """Per chunk and bucket a byte for each distinct context: 1 if it occurs earlier elsewhere, 2 if it is one of several contexts of its anchor, 3 if of over ``hot``, else 0."""
 
     def send(docs: pd.DataFrame) -> pd.DataFrame:
         chunk = Chunk(docs, buckets)
@@ -144,6 +148,7 @@ def repeated_contexts(rows: DataFrame, buckets: int) -> DataFrame:
         leaders = np.flatnonzero(flag == 0)
         _, place, count = np.unique(gram[leaders], return_inverse=True, return_counts=True)
         flag[leaders[count[place] > 1]] = 2
+        flag[leaders[count[place] > max(1, hot)]] = 3
         out = part[["chunk", "bucket"]].copy()
         out["flags"] = [x.tobytes() for x in np.split(flag, np.cumsum(sizes)[:-1])]
         return out
@@ -172,19 +177,44 @@ def _result(text: bytes, spans: np.ndarray) -> tuple[int, int, int, str]:
 
 
 DONE = "kind string, chunk int, number int, doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+WINDOW = np.dtype([("k0", "<u8"), ("k1", "<u8"), ("order", "<i8"), ("doc", "<i4"), ("start", "<i4")])
 MADE = f"{DONE}, text binary, bucket int, places binary, contexts binary"
 
 
+def _windows(chunk: Chunk, members: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, bytes]]]:
+    """Of the windows around hot anchors: (document, start) of those that have an equal one before in the chunk, and per bucket the others (``WINDOW``)."""
+    digest, seen, keys, kept, lost = xxhash.xxh3_128_digest, set(), [], [], []
+    for d, at, low, high in zip(*(x[members].tolist() for x in (chunk.doc, chunk.at, chunk.low, chunk.high))):
+        text = chunk.texts[d]
+        for back in range(max(0, at + LENGTH - high), min(REACH, at - low) + 1):
+            key = digest(text[at - back : at - back + LENGTH], back)
+            if key in seen:
+                lost.append((d, at - back))
+            else:
+                seen.add(key)
+                keys.append(key)
+                kept.append((d, at - back))
+    sent = np.empty(len(keys), WINDOW)
+    sent["k0"], sent["k1"] = np.frombuffer(b"".join(keys), "<u8").reshape(-1, 2).T
+    sent["doc"], sent["start"] = np.array(kept, "i4").reshape(-1, 2).T
+    sent["order"] = chunk.order[sent["doc"]]
+    bucket = sent["k0"] % np.uint64(buckets)
+    by = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[by], prepend=bucket[by][:1])) if len(by) else by
+    return np.array(lost, "i8").reshape(-1, 2), [(int(bucket[part[0]]), sent[part].tobytes()) for part in np.split(by, cuts) if len(part)]
+
+
 def whole_repeats(rows: DataFrame, flags: DataFrame, buckets: int) -> DataFrame:
-    """Documents that are done; those that wait for their border contexts, with what has gone; and the border contexts, packed by anchor."""
+    """Documents that are done; those that wait for their border contexts, with what has gone; the border contexts, packed by anchor; and hot anchors' windows."""
 
     def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         chunk = Chunk(docs, buckets)
         flag = np.ones(len(chunk.at), "u1")  # all but the first of a context have one before them
         told = {b: np.frombuffer(x, "u1") for b, x in zip(answers["bucket"], answers["flags"])}
-        border = []
+        border, hot = [], [np.empty(0, "i8")]
         for b, i in chunk.blocks(buckets):
             flag[i] = told[b]
+            hot.append(i[told[b] == 3])
             i = i[told[b] == 2]
             if len(i):
                 places = np.stack([chunk.order[chunk.doc[i]], chunk.doc[i], chunk.at[i], chunk.at[i] - chunk.low[i]], 1).astype("i8")
@@ -194,18 +224,24 @@ def whole_repeats(rows: DataFrame, flags: DataFrame, buckets: int) -> DataFrame:
         number = docs["chunk"].iloc[0] if len(docs) else 0
         gone = (flag == 1) & (chunk.high - chunk.low >= LENGTH)
         waits = np.zeros(len(chunk.texts), bool)
-        waits[chunk.doc[flag == 2]] = True
+        waits[chunk.doc[flag >= 2]] = True
+        lost, windows = _windows(chunk, np.concatenate(hot), buckets)
+        lost = lost[np.argsort(lost[:, 0], kind="stable")]
+        lost_cuts = np.searchsorted(lost[:, 0], np.arange(len(chunk.texts) + 1))
         cuts = np.searchsorted(chunk.doc, np.arange(len(chunk.texts) + 1))
         out = []
         for k, text in enumerate(chunk.texts):
             here = slice(cuts[k], cuts[k + 1])
-            spans = _merged(np.stack([chunk.low[here][gone[here]], chunk.high[here][gone[here]]], 1))
+            starts = lost[lost_cuts[k] : lost_cuts[k + 1], 1]
+            whole = np.stack([chunk.low[here][gone[here]], chunk.high[here][gone[here]]], 1)
+            spans = _merged(np.concatenate([whole, np.stack([starts, starts + LENGTH], 1)]))
             doc_id = None if pd.isna(chunk.doc_ids[k]) else int(chunk.doc_ids[k])
             if waits[k]:
                 out.append(("waits", number, k, doc_id, None, None, None, None, text, None, spans.tobytes(), None))
             else:
                 out.append(("done", number, k, doc_id, *_result(text, spans), None, None, None, None))
         out += [("border", number, None, None, None, None, None, None, None, *x) for x in border]
+        out += [("windows", number, None, None, None, None, None, None, None, *x, None) for x in windows]
         made = pd.DataFrame(out, columns=[c.split()[0] for c in MADE.split(", ")])
         for c in ("number", "doc_id", "n_bytes", "n_removed", "n_spans", "bucket"):
             made[c] = made[c].astype("Int64")
@@ -337,6 +373,25 @@ def border_repeats(made: DataFrame) -> DataFrame:
     return made.where("kind = 'border'").select("chunk", "bucket", "places", "contexts").groupBy("bucket").applyInPandas(run, "chunk int, spans binary")
 
 
+def hot_repeats(made: DataFrame) -> DataFrame:
+    """Per chunk the spans (number of the document, start, end) that windows around hot anchors lose: all but the first of equal ones."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        windows = [np.frombuffer(x, WINDOW) for x in part["places"]]
+        chunk = np.repeat(part["chunk"].to_numpy("i8"), [len(x) for x in windows])
+        every = np.concatenate(windows)
+        rank = np.lexsort((chunk, every["order"], every["k1"], every["k0"]))
+        same = (np.diff(every["k0"][rank]) == 0) & (np.diff(every["k1"][rank]) == 0)
+        who = rank[1:][same]
+        spans = np.stack([every["doc"][who], every["start"][who], every["start"][who] + LENGTH], 1).astype("i8")
+        owner = chunk[who]
+        by = np.argsort(owner, kind="stable")
+        out = [(int(owner[x[0]]), spans[x].tobytes()) for x in np.split(by, np.flatnonzero(np.diff(owner[by])) + 1) if len(x)]
+        return pd.DataFrame(out, columns=["chunk", "spans"])
+
+    return made.where("kind = 'windows'").select("chunk", "bucket", "places").groupBy("bucket").applyInPandas(run, "chunk int, spans binary")
+
+
 def finish(waiting: DataFrame, borders: DataFrame) -> DataFrame:
     def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         lost = np.concatenate([np.empty((0, 3), "i8"), *[np.frombuffer(x, "i8").reshape(-1, 3) for x in answers["spans"]]])
@@ -358,14 +413,14 @@ def finish(waiting: DataFrame, borders: DataFrame) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept_sha256 of every document."""
     spark = docs.sparkSession
     n = chunks_for(text_bytes(docs), CHUNK_BYTES)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("rowkey"))
     rows = rows.withColumn("chunk", F.pmod("rowkey", F.lit(n)).cast("int"))
     path = run_dir(spark, "repeats")
-    whole_repeats(rows, repeated_contexts(rows, n), n).write.partitionBy("kind").parquet(path)
+    whole_repeats(rows, repeated_contexts(rows, n, hot), n).write.partitionBy("kind").parquet(path)
     made = spark.read.schema(MADE).parquet(path)
     done = made.where("kind = 'done'").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
-    return done.union(finish(made.where("kind = 'waits'"), border_repeats(made)))
+    return done.union(finish(made.where("kind = 'waits'"), border_repeats(made).union(hot_repeats(made))))

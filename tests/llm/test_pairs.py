@@ -189,6 +189,30 @@ def test_suffix_dedup(spark, monkeypatch, chunk_bytes):
     assert got == expected
 
 
+@pytest.mark.parametrize("chunk_bytes,hot", [(3000, 0), (3000, 20), (10**6, 0), (10**6, 20)])
+def test_hot_anchors_meet_by_window(spark, monkeypatch, tmp_path, chunk_bytes, hot):
+    """A passage in most documents, each time with other text around it: the same rows, and no bucket holds more than ``hot`` contexts of an anchor."""
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", chunk_bytes)
+    rng = random.Random(5)
+    passage, other = ("".join(rng.choices("abcdé ", k=n)) for n in (260, 140))
+    noise = lambda n: "".join(rng.choices("abcdé ", k=rng.randrange(n)))
+    rows = [(k, noise(150) + passage[rng.choice([0, 0, 30]) : rng.choice([260, 260, 200])] + noise(150)) for k in range(80)]
+    rows += [(100 + k, noise(90) + passage + noise(40) + other + noise(90) + passage) for k in range(10)] + [(200, rows[7][1]), (201, "ab" * 300), (202, None)]
+    docs = documents(spark, rng.sample(rows, len(rows)))
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(docs, hot=hot).collect()}
+    assert got == dict(zip([i for i, _ in rows], removed([t for _, t in rows])))
+    cut = docs.selectExpr("doc_id", "text", "xxhash64(doc_id, text) AS rowkey", "CAST(pmod(doc_id, 3) AS INT) AS chunk")
+    suffix_dedup.whole_repeats(cut, suffix_dedup.repeated_contexts(cut, 3, hot), 3).write.parquet(str(tmp_path / "made"))
+    made, grams = spark.read.parquet(str(tmp_path / "made")), {}
+    for r in made.where("kind = 'border'").collect():
+        place = np.frombuffer(r.places, "i8").reshape(-1, 4)
+        ends = np.cumsum(np.frombuffer(r.contexts[: 2 * len(place)], "<u2").astype("i8")) + 2 * len(place)
+        for end, size, left in zip(ends, np.diff(ends, prepend=2 * len(place)), place[:, 3]):
+            gram = r.contexts[end - size + left : end - size + left + suffix_dedup.GRAM]
+            grams[gram] = grams.get(gram, 0) + 1
+    assert max(grams.values(), default=0) <= hot and made.where("kind = 'windows'").count() > 0
+
+
 def test_suffix_dedup_of_odd_rows(spark):
     assert suffix_dedup.remove_repeats(documents(spark, [])).count() == 0
     text = "".join(random.Random(1).choices("abcdefgh", k=300))
