@@ -5,8 +5,8 @@ P(word | state) = q(class | state) * (c + 0.1) / (N of the class + 0.1 * (V of t
 the state, so the chain runs on classes alone, whose parameters have a fixed size however large the vocabulary; word counts stay distributed.
 
 * Word counts: a chunk of documents sends its distinct words with counts, sorted and packed by class range, and gets their totals back in the same order.
-* Training: starting values come from at most ``INIT_DOCS`` training documents; then each pass takes the expected counts of all training documents,
-  sums them by class across partitions, and makes the next model of them. Texts are cut in segments of 256 tokens for this, and the state before a segment is free.
+* Training: the states start as the class frequencies of all training documents, each with seeded noise of its own. Then each pass takes the expected counts of
+  all training documents in full length, sums them by class across partitions, and makes the next model of them. Passes read the classes, which are written once.
 * Scoring: the scaled forward recursion over the whole text, exact for any length.
 
 Training documents are those whose crc32 of the id as text leaves no 0 modulo 10; a null id counts as the empty text. Null, empty and blank texts have the end alone. Rows
@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swaplens.llm.common import chunks_for, held_out, slices, text_bytes, words
-from swaplens.plans.scale import settle
+from swaplens.plans.scale import run_dir, settle
 
-CLASSES, SEGMENT = 16384, 256
-INIT_DOCS, INIT_BYTES, INIT_ROUNDS = 400, 16384, 12
+CLASSES = 16384
+INIT_ROUNDS, SEED = 12, 7
+LEVEL = 256  # steps after which rounding errors of the backward recursion are taken out
 CHUNK_BYTES = 8 * 2**20
+TOKENS = 2**20  # whose expected counts are taken at once, or one document's
 
 
 def word_class(word: bytes) -> int:
@@ -68,70 +70,60 @@ class Model:
         return cls(step / step.sum(1, keepdims=True), start / start.sum(), emit / emit.sum(0))
 
     @classmethod
-    def initial(cls, documents: list[np.ndarray], states: int) -> Model:
-        """From documents that differ: each next one is the farthest from those chosen, by class frequencies."""
-        background = np.ones(CLASSES + 1)
-        for d in documents:
-            np.add.at(background, d, 1.0)
-        background /= background.sum()
-        long = sorted(documents, key=lambda d: (-min(len(d), 200), zlib.crc32(d.tobytes())))[: 20 * states]
-        emit = np.repeat(background[:, None], states, 1)
-        if long:
-            profile = np.zeros((len(long), CLASSES + 1), "f4")
-            for k, d in enumerate(long):
-                np.add.at(profile[k], d, 1.0)
-            profile = np.sqrt(profile / profile.sum(1, keepdims=True))
-            chosen, near = [0], profile @ profile[0]
-            for _ in range(1, min(states, len(long))):
-                chosen.append(int(near.argmin()))
-                near = np.maximum(near, profile @ profile[chosen[-1]])
-            for s, k in enumerate(chosen):
-                emit[:, s] = 0.5 * background + 0.5 * profile[k].astype(float) ** 2
+    def of_frequencies(cls, counts: np.ndarray, states: int) -> Model:
+        """The frequencies of the classes, times seeded noise in each state, which lets the states part."""
+        background = (counts + 1.0) / (counts + 1.0).sum()
+        noise = np.random.default_rng(SEED).exponential(size=(CLASSES + 1, states)) ** 4 + 0.1
+        emit = background[:, None] * noise
         step = np.full((states, states), 0.1 / states) + np.eye(states) * 0.9
-        return cls(step / step.sum(1, keepdims=True), np.full(states, 1 / states), emit)
+        return cls(step / step.sum(1, keepdims=True), np.full(states, 1 / states), emit / emit.sum(0))
+
+    @classmethod
+    def initial(cls, documents: list[np.ndarray], states: int) -> Model:
+        return cls.of_frequencies(class_counts(documents), states)
 
     def expected(self, documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-        """Expected counts of steps, starts and emissions, and the log-likelihood of the segments."""
+        """Expected counts of steps, starts and emissions, and the log-likelihood, of whole documents."""
         k = len(self.start)
-        pieces = [d[i : i + SEGMENT] for d in documents for i in range(0, len(d), SEGMENT)]
-        first = np.array([i == 0 for d in documents for i in range(0, len(d), SEGMENT)], bool)
         steps, starts, emits = np.zeros((k, k)), np.zeros(k), np.zeros((CLASSES + 1, k))
-        if not pieces:
+        documents = sorted((d for d in documents if len(d)), key=len, reverse=True)
+        if not documents:
             return steps, starts, emits, 0.0
-        size = np.array([len(p) for p in pieces])
-        order = np.argsort(-size, kind="stable")
-        size, first = size[order], first[order]
-        longest, n = int(size[0]), len(pieces)
-        grid = np.full((longest, n), CLASSES, "i4")
-        for j, i in enumerate(order):
-            grid[: size[j], j] = pieces[i]
-        active = (np.arange(longest)[:, None] < size[None, :]).sum(1)
-        emit, step = self.emit.astype("f4"), self.step.astype("f4")
-        free = np.full(k, 1 / k, "f4")
-        alpha = np.empty((longest, n, k), "f4")
-        scale = np.ones((longest, n), "f4")
-        a = np.where(first[:, None], self.start.astype("f4"), free)
-        for t in range(longest):
-            m = active[t]
-            a = a[:m] @ step if t else a
-            a = a * emit[grid[t, :m]]
-            c = a.sum(1)
+        size = np.array([len(d) for d in documents], "i8")
+        active = np.searchsorted(-size, -np.arange(size[0]), side="left")  # documents that have a token t
+        at = np.concatenate([[0], np.cumsum(active)])  # tokens lie by t, then by document
+        t_of = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        flat = np.empty(len(t_of), "i4")
+        flat[at[t_of] + np.repeat(np.arange(len(size)), size)] = np.concatenate(documents)
+        del t_of
+        step = self.step.astype("f4")
+        emit = self.emit.astype("f4")[flat]
+        alpha, scale = np.empty((len(flat), k), "f4"), np.empty(len(flat), "f4")
+        begins, counts = at.tolist(), active.tolist()
+        a = None
+        for i, m in zip(begins, counts):
+            a = np.multiply(a[:m] @ step if i else self.start.astype("f4"), emit[i : i + m], out=alpha[i : i + m])
+            scale[i : i + m] = c = a @ np.ones(k, "f4")
             a /= c[:, None]
-            alpha[t, :m], scale[t, :m] = a, c
-        b = np.ones((n, k), "f4")
-        for t in range(longest - 1, -1, -1):
-            m = active[t]
-            if t + 1 < longest and (j := active[t + 1]):
-                w = b[:j] * emit[grid[t + 1, :j]] / scale[t + 1, :j, None]
-                steps += (alpha[t, :j].T @ w) * step
-                b[:j] = w @ step.T
-            alpha[t, :m] *= b[:m]
-        starts += alpha[0][first].sum(0)
-        inside = np.arange(longest)[:, None] < size[None, :]
-        flat = grid[inside]
+        emit /= scale[:, None]
+        b = np.ones((counts[-1], k), "f4")
+        for t in range(len(counts) - 1, -1, -1):
+            i, m = begins[t], counts[t]
+            if t + 1 < len(counts):
+                j = counts[t + 1]
+                w = b * emit[begins[t + 1] : begins[t + 1] + j]
+                steps += (alpha[i : i + j].T @ w) * step
+                b = w @ step.T
+                if j < m:
+                    b = np.concatenate([b, np.ones((m - j, k), "f4")])
+            here = alpha[i : i + m]
+            if t % LEVEL == 0:
+                b /= (here * b).sum(1, keepdims=True)
+            here *= b
+        starts += alpha[: counts[0]].sum(0)
         for s in range(k):
-            emits[:, s] = np.bincount(flat, alpha[:, :, s][inside], CLASSES + 1)
-        return steps, starts, emits, float(np.log(scale[inside], dtype="f8").sum())
+            emits[:, s] = np.bincount(flat, alpha[:, s], CLASSES + 1)
+        return steps, starts, emits, float(np.log(scale, dtype="f8").sum())
 
     def log_likelihood(self, documents: list[np.ndarray]) -> np.ndarray:
         """log10 of each whole sequence of classes."""
@@ -161,43 +153,73 @@ def _texts(batch: pd.DataFrame) -> list:
     return [t if isinstance(t, str) else None for t in batch["text"]]
 
 
-def baum_welch_pass(rows: DataFrame, model: Model) -> Model:
-    """The next model, from the expected counts of all training rows. Each partition gives a row per class, summed by class."""
-    k = len(model.start)
+def class_counts(documents: list[np.ndarray]) -> np.ndarray:
+    total = np.zeros(CLASSES + 1)
+    for d in documents:
+        total += np.bincount(d, minlength=CLASSES + 1)
+    return total
+
 
-    def expect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = [np.zeros((k, k)), np.zeros(k), np.zeros((CLASSES + 1, k))]
+def training_classes(rows: DataFrame) -> DataFrame:
+    """The classes of each training row's tokens, two bytes each."""
+
+    def classify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = _texts(batch)
             for begin, end in slices(texts, 2 << 20):
-                got = model.expected([class_ids(t) for t in texts[begin:end]])
-                for have, more in zip(total, got):
-                    have += more
-        every = np.concatenate([total[0], total[1][None, :], total[2]])
-        some = np.flatnonzero(every.any(1))
-        out = pd.DataFrame(every[some], columns=[f"s{i}" for i in range(k)])
-        out.insert(0, "row", some)
-        yield out
-
-    schema = "row int, " + ", ".join(f"s{i} double" for i in range(k))
-    counts = rows.where("NOT held_out").select("text").mapInPandas(expect, schema)
-    sums = counts.groupBy("row").agg(*[F.sum(f"s{i}") for i in range(k)]).collect()  # k + 1 + CLASSES + 1 rows at most
-    every = np.zeros((k + 1 + CLASSES + 1, k))
+                yield pd.DataFrame({"classes": [class_ids(t).astype("<u2").tobytes() for t in texts[begin:end]]})
+
+    path = run_dir(rows.sparkSession, "classes")
+    rows.where("NOT held_out").select("text").mapInPandas(classify, "classes binary").write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema("classes binary").parquet(path)
+
+
+def _summed(classes: DataFrame, width: int, count) -> np.ndarray:
+    """The sums over all rows of ``count``'s arrays, which have ``width`` columns. Each partition gives the rows that are not zero."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: np.ndarray | int = 0
+        held, size = [], 0
+        for batch in batches:
+            for blob in batch["classes"]:
+                held.append(np.frombuffer(blob, "<u2"))
+                size += len(held[-1])
+                if size >= TOKENS:
+                    total, held, size = total + count(held), [], 0
+        if held:
+            total = total + count(held)
+        if isinstance(total, np.ndarray):
+            some = np.flatnonzero(total.any(1))
+            out = pd.DataFrame(total[some], columns=[f"s{i}" for i in range(width)])
+            out.insert(0, "row", some)
+            yield out
+
+    schema = "row int, " + ", ".join(f"s{i} double" for i in range(width))
+    sums = classes.mapInPandas(run, schema).groupBy("row").agg(*[F.sum(f"s{i}") for i in range(width)]).collect()  # states + 1 + CLASSES + 1 rows at most
+    every = np.zeros((width + 1 + CLASSES + 1, width))
     for r in sums:
         every[r[0]] = r[1:]
+    return every
+
+
+def baum_welch_pass(classes: DataFrame, model: Model) -> Model:
+    """The next model, from the expected counts of all training rows."""
+    k = len(model.start)
+
+    def count(documents: list[np.ndarray]) -> np.ndarray:
+        steps, starts, emits, _ = model.expected(documents)
+        return np.concatenate([steps, starts[None, :], emits])
+
+    every = _summed(classes, k, count)
     return Model.of_counts(every[:k], every[k], every[k + 1 :])
 
 
 def train(rows: DataFrame, states: int, passes: int) -> Model:
-    keyed = rows.where(~F.col("held_out") & (F.octet_length("text") <= INIT_BYTES)).select(F.xxhash64("doc_id", "text").alias("rowkey"), "text")
-    chosen = settle(keyed.select("rowkey").distinct().orderBy("rowkey").limit(INIT_DOCS))  # without texts; the chosen ones are looked up
-    first = keyed.join(F.broadcast(chosen), "rowkey").groupBy("rowkey").agg(F.first("text").alias("text")).orderBy("rowkey").collect()
-    documents = [class_ids(r["text"]) for r in first]
-    model = Model.initial(documents, states)
-    for _ in range(INIT_ROUNDS):
-        model = Model.of_counts(*model.expected(documents)[:3])
-    for _ in range(passes):
-        model = baum_welch_pass(rows, model)
+    classes = training_classes(rows)
+    counts = _summed(classes, 1, lambda documents: class_counts(documents)[:, None])[: CLASSES + 1, 0]
+    model = Model.of_frequencies(counts, states)
+    for _ in range(INIT_ROUNDS + passes):
+        model = baum_welch_pass(classes, model)
     return model
 
 

@@ -376,6 +376,31 @@ def test_baum_welch_raises_the_likelihood():
     assert np.allclose(model.emit.sum(0), 1) and np.allclose(model.step.sum(1), 1)
 
 
+def in_runs(rng, n):
+    """Words of two kinds in runs of 30, each drawn at random."""
+    return " ".join(rng.choice(("ta", "mi", "ro", "lu") if k // 30 % 2 else ("sen", "dor", "vak", "pil")) for k in range(n))
+
+
+def test_only_long_texts(spark):
+    """All over 16 KB: the states part all the same, and the chain beats the unigram by what the runs tell."""
+    rng = random.Random(3)
+    rows = [(k, in_runs(rng, 6000)) for k in range(40)]
+    assert min(len(t) for _, t in rows) > 16384
+    got = hmm_scoring.score_documents(documents(spark, rows), states=2).collect()
+    held = [r for r in got if r.held_out]
+    assert held and all(r.score - r.base_score > 0.2 * r.n_tokens for r in held)  # log10(2) a token at best
+
+
+def test_counts_of_whole_documents():
+    """Counts of steps and the likelihood run through a long document, also beside shorter ones."""
+    model, rng = small_model(), np.random.default_rng(4)
+    docs = [rng.integers(0, hmm_scoring.CLASSES, n).astype("i4") for n in (1500, 3, 700, 1, 256, 257)]
+    steps, starts, emits, value = model.expected(docs)
+    assert math.isclose(steps.sum(), sum(len(d) - 1 for d in docs), rel_tol=1e-4) and math.isclose(starts.sum(), len(docs), rel_tol=1e-4)
+    assert math.isclose(value, model.log_likelihood(docs).sum() * math.log(10), rel_tol=1e-6)
+    assert np.allclose(emits.sum(1), np.bincount(np.concatenate(docs), minlength=hmm_scoring.CLASSES + 1), atol=1e-3)
+
+
 def test_scores(spark, monkeypatch):
     monkeypatch.setattr(hmm_scoring, "CHUNK_BYTES", 200_000)
     texts = sample_texts(300)
