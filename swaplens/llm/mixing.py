@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swaplens.llm.common import as_they_are, fresh, n_words, text_or_empty
-from swaplens.plans.scale import settle, small_side
+from swaplens.plans.scale import run_dir, settle, small_side
 
 HASH_BITS, STEP_BITS = 60, 12
 
@@ -97,30 +97,23 @@ def thresholds(sized: DataFrame, wanted: DataFrame) -> DataFrame:
     return bounds.select(*keep, F.col("prefix").alias("threshold"), whole.alias("whole"))
 
 
-def mix(
-    docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: float = 2.0
-) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies and taken of every document.
+LIMITS = ("b_source", "source_size", "target", "rounds", "budget", "threshold", "whole")
 
-    ``weights`` repeat over the sources by code point; ``share`` of all words is dealt out; no source gets over ``most`` times its own.
-    """
-    sized = settle(docs.select("doc_id", "source", n_words(text_or_empty()).alias("size"), mix_hash().alias("hash")))
+
+def _sized(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "source", n_words(text_or_empty()).alias("size"), mix_hash().alias("hash"))
+
+
+def _limits(sized: DataFrame, weights: Sequence[int], share: float, most: float) -> DataFrame:
+    """Per source what decides on its documents, under names that no table has."""
     limits = thresholds(sized, targets(sized, weights, share, most))
-    more = (F.col("hash") < F.col("threshold")) | ((F.col("hash") == F.col("threshold")) & F.col("whole"))
-    return (
-        sized.join(limits, F.col("source").eqNullSafe(F.col("b_source")))
-        .withColumn("copies", F.col("rounds") + F.when(more & (F.col("budget") > 0), 1).otherwise(0))
-        .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
-    )
+    return small_side(limits.select(*[F.col(c).alias(f"{c} of the mix") for c in LIMITS]))
 
 
-def apply_mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """The documents of the mix, as often as it takes them, all columns as they are."""
+def _taken(docs: DataFrame, limits: DataFrame) -> DataFrame:
+    """The documents as often as the limits say."""
     hashed, number = fresh(docs, "hash", "copies")
-    sized = settle(docs.select("doc_id", "source", n_words(text_or_empty()).alias("size"), mix_hash().alias("hash")))
-    limits = thresholds(sized, targets(sized, weights, share, most))
-    limits = small_side(limits.select(*[F.col(c).alias(f"{c} of the mix") for c in ("b_source", "rounds", "budget", "threshold", "whole")]))
-    limit = {c: F.col(f"`{c} of the mix`") for c in ("b_source", "rounds", "budget", "threshold", "whole")}
+    limit = {c: F.col(f"`{c} of the mix`") for c in LIMITS}
     more = (F.col(hashed) < limit["threshold"]) | ((F.col(hashed) == limit["threshold"]) & limit["whole"])
     copies = limit["rounds"] + F.when(more & (limit["budget"] > 0), 1).otherwise(0)
     return (
@@ -131,6 +124,37 @@ def apply_mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float
     )
 
 
+def mix(
+    docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: float = 2.0, folder: str | None = None
+) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies and taken of every document, copies and taken words as counted in the mix that was written.
+
+    ``weights`` repeat over the sources by code point; ``share`` of all words is dealt out; no source gets over ``most`` times its own.
+    """
+    folder = folder or run_dir(docs.sparkSession, "mix")
+    sized = settle(_sized(docs))
+    limits = _limits(sized, weights, share, most)
+    _taken(docs, limits).write.option("compression", "zstd").parquet(folder)
+    written = _sized(docs.sparkSession.read.schema(docs.schema).parquet(folder))
+    # Rows of one id, text and source share a fate, so each has its share of what was written of them.
+    key = ["doc_id", "source", "hash"]
+    rows = sized.groupBy(*key).agg(F.count("*").alias("rows"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("words"))
+    found = written.groupBy(*key).agg(F.lit(0).cast("bigint").alias("rows"), F.count("*").alias("n"), F.sum("size").alias("words"))
+    counted = rows.union(found).groupBy(*key).agg(*[F.sum(c).alias(c) for c in ("rows", "n", "words")])
+    counted = counted.select(*[F.col(c).alias(f"c_{c}") for c in key], (F.col("n") / F.col("rows")).cast("bigint").alias("copies"), (F.col("words") / F.col("rows")).cast("bigint").alias("taken"))
+    same = F.col("doc_id").eqNullSafe(F.col("c_doc_id")) & F.col("source").eqNullSafe(F.col("c_source")) & (F.col("hash") == F.col("c_hash"))
+    return (
+        sized.join(counted, same)
+        .join(limits, F.col("source").eqNullSafe(F.col("`b_source of the mix`")))
+        .select("doc_id", "source", "size", *[F.col(f"`{c} of the mix`").alias(c) for c in ("source_size", "target")], "copies", "taken")
+    )
+
+
+def apply_mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The documents of the mix, as often as it takes them, all columns as they are."""
+    return _taken(docs, _limits(settle(_sized(docs)), weights, share, most))
+
+
 ORACLE = """
 WITH sized AS (
   SELECT doc_id, source,

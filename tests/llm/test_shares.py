@@ -60,6 +60,18 @@ def test_mix(spark):
     assert out.groupBy().agg(F.sum(F.size(F.filter(F.split("text", " "), lambda w: w != "")))).first()[0] == sum(taken.values())
 
 
+def test_mix_is_counted_from_its_documents(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame(mixed_rows(), "doc_id bigint, text string, source string")
+    got = mixing.mix(df, folder=str(tmp_path / "mix")).collect()
+    written = spark.read.parquet(str(tmp_path / "mix"))
+    assert written.columns == df.columns
+    assert sorted(map(tuple, written.collect()), key=repr) == sorted(map(tuple, mixing.apply_mix(df).collect()), key=repr)
+    assert written.count() == sum(r.copies for r in got) and sum(len(words(r.text)) for r in written.collect()) == sum(r.taken for r in got)
+    whole = mixing._taken
+    monkeypatch.setattr(mixing, "_taken", lambda docs, limits: whole(docs, limits).where("doc_id % 2 = 0"))  # a mix that loses documents shows it
+    assert all(r.copies == r.taken == 0 for r in mixing.mix(df).collect() if r.doc_id is None or r.doc_id % 2)
+
+
 def test_mix_of_nothing(spark):
     empty = documents(spark, [])
     assert mixing.mix(empty).count() == 0 and mixing.apply_mix(empty).count() == 0
