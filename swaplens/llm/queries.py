@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from swaplens.llm import decontamination, embedding_dedup, hmm_scoring, html_text, mixing, ngram_join, sharding, suffix_dedup, token_output, toxicity
+from swaplens.llm import (
+    collocation, decontamination, embedding_dedup, hmm_scoring, html_text, language_id, merkle, mixing, ngram_join, sharding, suffix_dedup, token_output, toxicity,
+)
 from swaplens.llm.common import held_out, table, tokenizer_path
 
 
@@ -65,6 +67,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_hmm_scoring": op1_hmm_scoring,
     "op2_token_output": op2_token_output,
@@ -76,6 +90,9 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
+    "op11_collocation": op11_collocation,
+    "op12_language_id": op12_language_id,
+    "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -84,4 +101,6 @@ ORACLES = {
     "op5_embedding_dedup": embedding_dedup.ORACLE,
     "op6_decontamination": decontamination.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op11_collocation": collocation.ORACLE,
+    "op13_merkle": merkle.ORACLE,
 }
