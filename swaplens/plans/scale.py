@@ -36,13 +36,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+def stored(df: DataFrame, name: str = "stored", compression: str = "snappy") -> DataFrame:
     """Write an intermediate of any size as Parquet below the shared folder and read it back.
 
     Unlike a checkpointed RDD it packs into few partitions, has a known size, and reads only the columns asked for. All its columns can be null.
     """
     path = run_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])).parquet(path)
 
 
