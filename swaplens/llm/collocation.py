@@ -4,12 +4,13 @@
   level by level.
 * Pass: counts, exactly and over all texts, every phrase whose two parts without the last and without the first word are proposed: the proposals and their negative
   border. Words are all counted.
-* Closure: a counted phrase with enough occurrences that was not proposed is a border failure. Failures join the proposals, and a further pass counts the phrases that have become
+* Closure: a counted phrase with enough occurrences that was not proposed is a border failure. Failures join the proposals, and a further pass counts them, the phrases that have become
   reachable and all that grows from them, and no others, until no pass finds a failure. A phrase with enough occurrences has parts with enough, so none is missed, whatever the
   sample holds.
 
 Proposals are looked up in a Bloom filter of bounded size (``MAX_BITS``). A phrase that it takes for a proposal is treated as one: it is counted exactly all the same, and the
-test for failures asks the same filter. Counts are summed in each slice of a task, in the map side and in the shuffle; phrases and counts stay distributed.
+test for failures asks the same filter. Counts are summed in each slice of a task, travel packed by ranges of hashes, and are summed there; proposed phrases travel with
+their words, so they are counted as they are, the border by 48-bit hashes alone, and what fails there is counted as it is in the next pass. Phrases and counts stay distributed.
 
 Scores come from joins of candidates with their parts in exact decimals. Words: A-Z lower-cased, pieces end at ``.,;:!?`` and 10 to 13, words are runs of other characters than space and tab. Everything
 is per language; a null language is ``und``, and joins an ``und`` of its own. Null, empty and blank texts have no words. Rows repeat as they are and count as often; null ids start where the
@@ -31,13 +32,13 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from swaplens.llm.common import text_bytes
+from swaplens.llm.common import chunks_for, text_bytes
 from swaplens.plans.scale import stored
 
 LONGEST = 5  # words of a phrase
 SAMPLE, SAMPLE_BLOCK = 8, 128  # one block of so many, in bytes
 DEVIATIONS = 2.5  # by which the sample's support lies below the expected one
-SLICE_BYTES = 16 << 20
+SLICE_BYTES, BUCKET_BYTES = 8 << 20, 8 << 20  # of text that is counted at once, and whose phrases one task sums
 MIN_BITS, MAX_BITS, PROBES, BLOCK = 1 << 20, 1 << 28, 3, 1 << 13
 
 _MARKS = bytes.maketrans(b",;:!?\n\r\x0b\x0c", b"." * 9)
@@ -94,21 +95,21 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _probes(h: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    step = _mixed(h) | np.uint64(1)
+def _probes(keys: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    step = _mixed(keys) | np.uint64(1)
     for k in range(PROBES):
-        yield (h + np.uint64(k) * step) % np.uint64(bits)
+        yield (keys + np.uint64(k) * step) % np.uint64(bits)
 
 
 class Bloom:
-    """A set of phrase hashes, and some more."""
+    """A set of phrases by the leading 48 bits of their hashes, and some more."""
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits
 
     def has(self, h: np.ndarray) -> np.ndarray:
         found = np.ones(len(h), bool)
-        for at in _probes(h, 8 * len(self.bits)):
+        for at in _probes(h >> np.uint64(16), 8 * len(self.bits)):
             found &= (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype("u1")) & 1 == 1
         return found
 
@@ -118,17 +119,6 @@ def _longer(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _mixed(h * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
-def phrase_hashes(phrases: list[bytes], seed: int) -> np.ndarray:
-    out = np.empty(len(phrases), "u8")
-    for i, phrase in enumerate(phrases):
-        first, *rest = [np.array([xxhash.xxh64_intdigest(w)], "u8") for w in phrase.split(b" ")]
-        h = _mixed(first + np.uint64(seed))
-        for word in rest:
-            h = _longer(h, word)
-        out[i] = h[0]
-    return out
-
-
 def _seed(lang: str) -> int:
     return xxhash.xxh64_intdigest(lang.encode())
 
@@ -140,8 +130,8 @@ class Counter:
         """``new`` holds the proposals, ``old`` those of the pass before (None: there was none). With ``ahead``, whatever is counted for the first time counts as proposed."""
         self.lang, self.old, self.new, self.ahead = lang, old, new, ahead
 
-    def count(self, texts: list[bytes]) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
-        """(words, phrases, counts, whether proposed) per length."""
+    def count(self, texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, pa.Array, np.ndarray, np.ndarray]]:
+        """(words, hashes in their order, phrases, counts, whether proposed) per length."""
         vocabulary = _Vocabulary()
         parts = []
         for text in texts:
@@ -166,19 +156,21 @@ class Counter:
             if not len(at):
                 return
             keys, first, place = np.unique(h, return_index=True, return_inverse=True)
-            counts = np.bincount(place[fresh], minlength=len(keys))
             proposed = self.new.has(keys)
+            was = np.zeros(len(keys), bool) if self.old is None else self.old.has(keys)
+            if self.old is not None:  # what the pass before counted by its hash alone, and found often
+                fresh |= (proposed & ~was)[place]
+            counts = np.bincount(place[fresh], minlength=len(keys))
             if self.ahead:
                 proposed |= counts > 0
             rows = np.column_stack([ids[at + j] for j in range(size)])
             same = (rows == rows[first][place]).all(1)
             some = np.flatnonzero(counts)
             if same.all():
-                yield size, self._phrases(words, rows[first[some]]), counts[some], proposed[some]
+                yield size, keys[some], self._phrases(words, rows[first[some]]), counts[some], proposed[some]
             else:  # two phrases of one hash: each on its own, under the same answer
-                tuples, of = np.unique(np.column_stack([rows, place])[fresh], axis=0, return_counts=True)
-                yield size, self._phrases(words, tuples[:, :size]), of, proposed[tuples[:, size]]
-            was = np.zeros(len(keys), bool) if self.old is None else self.old.has(keys)
+                tuples, of = np.unique(np.column_stack([place, rows])[fresh], axis=0, return_counts=True)
+                yield size, keys[tuples[:, 0]], self._phrases(words, tuples[:, 1:].astype("i4")), of, proposed[tuples[:, 0]]
             on = proposed[place]
             # What grows from a phrase that was not both counted and proposed before has not been counted.
             at, h, fresh = at[on], h[on], (fresh | ~was[place])[on]
@@ -191,12 +183,84 @@ class Counter:
         return pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary())).cast(pa.string())
 
 
-COUNTED = "lang string, words int, phrase string, a bigint, proposed boolean"
+COUNTED = "lang string, words int, phrase string, a bigint, key bigint"
+BLOCKS = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("words", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("phrases", pa.binary())])
+KEY_BYTES = 6
+PROPOSED = np.uint32(1 << 31)  # beside a slice's count, which is far below
+
+
+def _planes(numbers: np.ndarray, width: int) -> bytes:
+    """The low bytes of all numbers, then the next ones: ascending keys and small counts pack well so."""
+    return np.ascontiguousarray(numbers.astype(f"<u{numbers.itemsize}").view("u1").reshape(-1, numbers.itemsize)[:, :width].T).tobytes()
 
 
-def counted(texts: DataFrame, old: Broadcast | None, new: Broadcast, ahead: bool = False) -> DataFrame:
-    """lang, words, phrase, a (occurrences) and proposed of the phrases that a pass over (lang, text) counts."""
-    schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("a", pa.int64()), ("proposed", pa.bool_())])
+def _numbers(planes: bytes, width: int, size: int) -> np.ndarray:
+    out = np.zeros((len(planes) // width, size), "u1")
+    out[:, :width] = np.frombuffer(planes, "u1").reshape(width, -1).T
+    return out.view(f"<u{size}")[:, 0]
+
+
+def _blocks(lang: str, counts_by_length, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A slice's phrases by range of their hash: hashes and counts as numbers, the proposed phrases as lines. ``words``: all words of the slice, in its first row."""
+    for size, keys, phrases, counts, proposed in counts_by_length:
+        lines = pc.binary_join_element_wise(phrases.filter(pa.array(proposed)).cast(pa.binary()), pa.scalar(b"", pa.binary()), pa.scalar(b"\n", pa.binary()))
+        ends = np.frombuffer(lines.buffers()[1], "i4")[: len(lines) + 1] if len(lines) else np.zeros(1, "i4")
+        before = np.concatenate([[0], np.cumsum(proposed)])
+        data = lines.buffers()[2]
+        flagged = counts.astype("u4") | np.where(proposed, PROPOSED, np.uint32(0))
+        of = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)  # ascends with the keys
+        cuts = np.searchsorted(of, np.arange(buckets + 1))
+        some = [(b, i, j) for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
+        texts = [(int(ends[before[i]]), int(ends[before[j]])) for _, i, j in some]
+        words = [int(counts.sum()) if size == 1 and k == 0 else 0 for k in range(len(some))]
+        columns = [
+            pa.array([lang] * len(some), pa.string()),
+            pa.array([b for b, _, _ in some], pa.int32()),
+            pa.array(words, pa.int64()),
+            pa.array([_planes(keys[i:j] >> np.uint64(16), KEY_BYTES) for _, i, j in some], pa.binary()),
+            pa.array([_planes(flagged[i:j], 4) for _, i, j in some], pa.binary()),
+            pa.array([data[x:y].to_pybytes() if y > x else b"" for x, y in texts], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, schema=BLOCKS)
+
+
+def _totals(lang: str, blocks: pd.DataFrame, least: int) -> pd.DataFrame:
+    """Of one range of hashes: the proposed phrases that occur ``least`` times, the hashes of the border that do, and the words that its blocks report.
+
+    Hashes choose, the proposed phrases themselves are counted; equal hashes of two phrases are both proposed or both not.
+    """
+    keys = np.concatenate([_numbers(x, KEY_BYTES, 8) for x in blocks["keys"]])
+    flagged = np.concatenate([_numbers(x, 4, 4) for x in blocks["counts"]])
+    counts, proposed = flagged & ~PROPOSED, flagged >= PROPOSED
+    order = np.argsort(keys, kind="stable")
+    first = np.flatnonzero(np.diff(keys[order], prepend=keys[order[0]] ^ np.uint64(1)))
+    sums = np.add.reduceat(counts[order].astype("i8"), first)
+    known = np.logical_or.reduceat(proposed[order], first)
+    failed = (sums >= least) & ~known
+    enough = np.empty(len(keys), bool)
+    enough[order] = np.repeat((sums >= least) & known, np.diff(np.append(first, len(keys))))
+    found: dict[bytes, int] = {}
+    at = 0
+    for blob, size in zip(blocks["phrases"], blocks["counts"].map(len) // 4):
+        mine = np.flatnonzero(proposed[at : at + size])
+        here = np.flatnonzero(enough[at + mine])
+        if len(here):
+            lines = blob.split(b"\n")
+            for i, c in zip(here.tolist(), counts[at + mine[here]].tolist()):
+                line = lines[i]
+                found[line] = found.get(line, 0) + c
+        at += size
+    rows = [(lang, p.count(b" ") + 1, p.decode(), a, None) for p, a in found.items() if a >= least]
+    rows += [(lang, None, None, a, k) for k, a in zip(keys[order[first[failed]]].tolist(), sums[failed].tolist())]
+    rows.append((lang, 0, None, int(blocks["words"].sum()), None))
+    return pd.DataFrame(rows, columns=["lang", "words", "phrase", "a", "key"]).astype({"words": "Int32", "key": "Int64"})
+
+
+def counted(texts: DataFrame, old: Broadcast | None, new: Broadcast, least: int, buckets: int, ahead: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What a pass over (lang, text) finds ``least`` times: (proposed phrases: lang, words, phrase, a; failures of the border: lang, key; words of each language: lang, n).
+
+    Slices send packed ranges of hashes; no slice sends more blocks than phrases.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         was, now = None if old is None else Bloom(np.frombuffer(old.value, "u1")), Bloom(np.frombuffer(new.value, "u1"))
@@ -205,10 +269,7 @@ def counted(texts: DataFrame, old: Broadcast | None, new: Broadcast, ahead: bool
 
         def out(lang: str) -> Iterator[pa.RecordBatch]:
             size.pop(lang)
-            for words, phrases, counts, proposed in Counter(lang, was, now, ahead).count(held.pop(lang)):
-                columns = [pa.array([lang] * len(phrases), pa.string()), pa.array([words] * len(phrases), pa.int32()), phrases, pa.array(counts, pa.int64()), pa.array(proposed)]
-                table = pa.Table.from_arrays(columns, schema=schema)
-                yield from table.to_batches(max_chunksize=100_000)
+            return _blocks(lang, Counter(lang, was, now, ahead).count(held.pop(lang)), buckets)
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary())):
@@ -220,8 +281,13 @@ def counted(texts: DataFrame, old: Broadcast | None, new: Broadcast, ahead: bool
         for lang in list(size):
             yield from out(lang)
 
-    made = texts.mapInArrow(run, COUNTED)
-    return made.groupBy("lang", "words", "phrase").agg(F.sum("a").alias("a"), F.max("proposed").alias("proposed"))
+    def total(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
+        return _totals(key[0], blocks, least)
+
+    sent = texts.mapInArrow(run, "lang string, bucket int, words bigint, keys binary, counts binary, phrases binary")
+    made = stored(sent.groupBy("lang", "bucket").applyInPandas(total, COUNTED), "counted")
+    words = made.where("words = 0").groupBy("lang").agg(F.sum("a").alias("n"))
+    return made.where("words > 0").select("lang", "words", "phrase", "a"), made.where("key IS NOT NULL").select("lang", "key"), words
 
 
 def block_sample(texts: DataFrame, of: int) -> DataFrame:
@@ -236,19 +302,15 @@ def block_sample(texts: DataFrame, of: int) -> DataFrame:
     return texts.mapInArrow(take, "lang string, text string")
 
 
-def with_phrases(before: np.ndarray, phrases: DataFrame) -> np.ndarray:
-    """The bits of a filter and of the phrases (lang, phrase). Tasks send the blocks of bits that they set, which are joined by block."""
+def with_keys(before: np.ndarray, failures: DataFrame) -> np.ndarray:
+    """The bits of a filter and of further keys. Tasks send the blocks of bits that they set, which are joined by block."""
     bits = 8 * len(before)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = np.zeros(bits // 8, "u1")
         for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            phrases = batch.column("phrase").cast(pa.binary()).to_pylist()
-            for lang in set(langs):
-                h = phrase_hashes([p for p, x in zip(phrases, langs) if x == lang], _seed(lang))
-                for at in _probes(h, bits):
-                    np.bitwise_or.at(mine, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype("u1"))
+            for at in _probes(batch.column("key").to_numpy().astype("u8"), bits):
+                np.bitwise_or.at(mine, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype("u1"))
         blocks = mine.reshape(-1, BLOCK)
         for b in np.flatnonzero(blocks.any(1)):
             yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([blocks[b].tobytes()], pa.binary())], ["block", "bits"])
@@ -259,12 +321,12 @@ def with_phrases(before: np.ndarray, phrases: DataFrame) -> np.ndarray:
 
     schema = "block int, bits binary"
     out = before.copy()
-    for row in phrases.select("lang", "phrase").mapInArrow(mark, schema).groupBy("block").applyInPandas(join, schema).collect():  # MAX_BITS at most
+    for row in failures.select("key").mapInArrow(mark, schema).groupBy("block").applyInPandas(join, schema).collect():  # MAX_BITS at most
         out[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] |= np.frombuffer(bytes(row["bits"]), "u1")
     return out
 
 
-def closed(texts: DataFrame, least: int, bits: np.ndarray, ahead: bool) -> tuple[DataFrame, DataFrame, np.ndarray, int]:
+def closed(texts: DataFrame, least: int, bits: np.ndarray, buckets: int, ahead: bool) -> tuple[DataFrame, DataFrame, np.ndarray, int]:
     """Passes until the border holds: (phrases that occur ``least`` times, words of each language, the filter with all of them, number of passes).
 
     With ``ahead``, passes after the first count all that grows from the failures, failures being few: those rarer than ``least`` as well.
@@ -274,15 +336,12 @@ def closed(texts: DataFrame, least: int, bits: np.ndarray, ahead: bool) -> tuple
     found, totals, passes = None, None, 0
     while True:
         passes += 1
-        this = stored(counted(texts, old, new, ahead and old is not None), "counted")
-        if totals is None:
-            totals = this.where("words = 1").groupBy("lang").agg(F.sum("a").alias("n"))
-        enough = this.where(F.col("a") >= least)
-        found = enough if found is None else found.unionByName(enough)
-        failures = enough.where("NOT proposed")
+        phrases, failures, words = counted(texts, old, new, least, buckets, ahead and old is not None)
+        totals = words if totals is None else totals
+        found = phrases if found is None else found.unionByName(phrases)
         if failures.isEmpty():
-            return found.select("lang", "words", "phrase", "a"), totals, bits, passes
-        bits = with_phrases(bits, failures)
+            return found, totals, bits, passes
+        bits = with_keys(bits, failures)
         old, new = new, spark.sparkContext.broadcast(bits.tobytes())
 
 
@@ -291,11 +350,12 @@ def frequent_phrases(docs: DataFrame, least: int = 100, sample: int = SAMPLE) ->
     texts = docs.select("doc_id", F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     size = text_bytes(texts)
     bits = np.zeros(int(min(MAX_BITS, max(MIN_BITS, 2 ** math.ceil(math.log2(size / 64 + 1))))) // 8, "u1")
+    buckets = chunks_for(size, BUCKET_BYTES)
     expected = least / sample
     support = max(1, math.ceil(expected - DEVIATIONS * math.sqrt(expected)))
     # The sample alone, level by level, from an empty filter; then all texts, from what the sample proposes.
-    _, _, bits, _ = closed(stored(block_sample(texts, sample), "sample"), support, bits, False)
-    phrases, totals, _, passes = closed(texts.select("lang", "text"), least, bits, True)
+    _, _, bits, _ = closed(stored(block_sample(texts, sample), "sample"), support, bits, chunks_for(size, sample * BUCKET_BYTES), False)
+    phrases, totals, _, passes = closed(texts.select("lang", "text"), least, bits, buckets, True)
     return phrases, totals, passes
 
 

@@ -91,17 +91,17 @@ def test_an_empty_sample_is_made_good_by_further_passes(spark, monkeypatch):
 
 def test_a_full_filter_counts_more_and_finds_the_same(spark, monkeypatch):
     rows = phrase_rows(4)
-    monkeypatch.setattr(collocation, "with_phrases", lambda before, phrases: np.full_like(before, 0xFF))
+    monkeypatch.setattr(collocation, "with_keys", lambda before, failures: np.full_like(before, 0xFF))
     assert tuples(collocation.collocations(documents(spark, rows), least=6, top=40)) == brute_collocations(rows, 6, 40)
 
 
 def test_a_half_full_filter_finds_the_same(spark, monkeypatch):
-    rows, real = phrase_rows(5), collocation.with_phrases
+    rows, real = phrase_rows(5), collocation.with_keys
 
-    def noisy(before, phrases):
-        return real(before, phrases) | np.random.default_rng(len(rows)).integers(0, 256, len(before), "u1")
+    def noisy(before, failures):
+        return real(before, failures) | np.random.default_rng(len(rows)).integers(0, 256, len(before), "u1")
 
-    monkeypatch.setattr(collocation, "with_phrases", noisy)
+    monkeypatch.setattr(collocation, "with_keys", noisy)
     assert tuples(collocation.collocations(documents(spark, rows), least=6, top=40)) == brute_collocations(rows, 6, 40)
 
 
@@ -109,10 +109,16 @@ def test_two_phrases_of_one_hash_are_counted_apart(spark, monkeypatch):
     texts = [b"a b c. a b. b a"]
     monkeypatch.setattr(collocation, "_longer", lambda h, word: np.zeros(len(h), "u8"))
     everything = collocation.Bloom(np.full(collocation.MIN_BITS // 8, 0xFF, "u1"))
-    found = [(p, int(a)) for _, phrases, counts, _ in collocation.Counter("en", None, everything).count(texts) for p, a in zip(phrases.to_pylist(), counts)]
+    found = [(p, int(a)) for _, _, phrases, counts, _ in collocation.Counter("en", None, everything).count(texts) for p, a in zip(phrases.to_pylist(), counts)]
     assert sorted(found) == [("a", 3), ("a b", 2), ("a b c", 1), ("b", 3), ("b a", 1), ("b c", 1), ("c", 1)]
 
 
+def test_equal_hashes_of_all_phrases_do_no_harm(spark, monkeypatch):
+    rows = phrase_rows(8)
+    monkeypatch.setattr(collocation, "_mixed", lambda h: h * np.uint64(0) + np.uint64(1 << 40))
+    assert tuples(collocation.collocations(documents(spark, rows), least=6, top=40)) == brute_collocations(rows, 6, 40)
+
+
 def test_long_texts_are_cut_where_pieces_end(spark, monkeypatch):
     text = b"red fox ran, " * 50 + b"red fox " * 40 + b"; ox"
     parts = list(collocation.in_parts(text, 64))
