@@ -4,9 +4,12 @@ A word has a class by its first and last bytes and its length; the end of a text
 P(word | state) = q(class | state) * (c + 0.1) / (N of the class + 0.1 * (V of the class + 1)), with a share for unknown words in each class. The second factor does not depend on
 the state, so the chain runs on classes alone, whose parameters have a fixed size however large the vocabulary; word counts stay distributed.
 
-* Word counts: a chunk of documents sends its distinct words with counts, sorted and packed by class range, and gets their totals back in the same order.
+* Reading: a chunk of documents is cut into words once. Its texts go on as numbers of its own vocabulary, the longest first, so that documents counted together are alike.
+* Word counts: a chunk sends its distinct words with counts, sorted and packed by class range, and gets their totals back in the same order.
 * Training: the states start as the class frequencies of all training documents, each with seeded noise of its own. Then each pass takes the expected counts of
-  all training documents in full length, sums them by class across partitions, and makes the next model of them. Passes read the classes, which are written once.
+  all training documents in full length, sums them by class across partitions, and makes the next model of them, going ``RELAXED`` times as far as Baum-Welch
+  would (as far, after a pass that lost likelihood). It ends when a pass gains less than ``GAIN`` a token, after ``passes`` at most. Passes read the classes, which are written once. A document
+  of over ``LONG`` tokens keeps the forward state at every ``LEVEL * LEVEL`` th token alone, and takes the others again on the way back.
 * Scoring: the scaled forward recursion over the whole text, exact for any length.
 
 Training documents are those whose crc32 of the id as text leaves no 0 modulo 10; a null id counts as the empty text. Null, empty and blank texts have the end alone. Rows
@@ -16,46 +19,40 @@ repeat as they are and count as often. Other columns are not read; an empty tabl
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from swaplens.llm.common import chunks_for, held_out, slices, text_bytes, words
-from swaplens.plans.scale import run_dir, settle
+from swaplens.llm.common import chunks_for, held_out, text_bytes, words
+from swaplens.plans.scale import stored
 
 CLASSES = 16384
-INIT_ROUNDS, SEED = 12, 7
+SEED = 7
+RELAXED, GAIN = 1.5, 0.003  # GAIN in log10 a token
 LEVEL = 256  # steps after which rounding errors of the backward recursion are taken out
-CHUNK_BYTES = 8 * 2**20
+CHUNK_BYTES, BUCKET_BYTES = 16 * 2**20, 64 * 2**20  # of text that a task reads, and whose words a task counts
 TOKENS = 2**20  # whose expected counts are taken at once, or one document's
+LONG = 2**20
 
 
 def word_class(word: bytes) -> int:
     return zlib.crc32(word[:3] + b"|" + word[-3:] + bytes([min(len(word), 8)])) % CLASSES
 
 
-class _Classes(dict):
+class _Numbers(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        value = self[word] = word_class(word)
+        value = self[word] = len(self)
         return value
 
 
-_CLASSES = _Classes()
-
-
 def class_ids(text: str | None) -> np.ndarray:
     """The classes of a text's tokens, the end last."""
-    tokens = words(text)
-    out = np.empty(len(tokens) + 1, "i4")
-    out[:-1] = np.fromiter(map(_CLASSES.__getitem__, tokens), "i4", len(tokens))
-    out[-1] = CLASSES
-    return out
+    return np.array([*map(word_class, words(text)), CLASSES], "i4")
 
 
 class Model:
@@ -78,15 +75,60 @@ class Model:
         step = np.full((states, states), 0.1 / states) + np.eye(states) * 0.9
         return cls(step / step.sum(1, keepdims=True), np.full(states, 1 / states), emit / emit.sum(0))
 
-    @classmethod
-    def initial(cls, documents: list[np.ndarray], states: int) -> Model:
-        return cls.of_frequencies(class_counts(documents), states)
+    def towards(self, after: Model, step: float) -> Model:
+        """``step`` times as far as ``after``, in logarithms."""
+
+        def go(here: np.ndarray, there: np.ndarray, axis: int) -> np.ndarray:
+            out = there * (there / here) ** (step - 1)
+            return out / out.sum(axis, keepdims=True)
+
+        return Model(go(self.step, after.step, 1), go(self.start, after.start, 0), go(self.emit, after.emit, 0))
+
+    def expected_of_long(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """As ``expected``, of one document, in blocks: memory for a block and a state per block."""
+        k, size = len(self.start), LEVEL * LEVEL
+        steps, emits, logs = np.zeros((k, k)), np.zeros((CLASSES + 1, k)), 0.0
+
+        def forward(a: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
+            """States of a block, from the state before it."""
+            part = tokens[begin : begin + size]
+            alpha, scale = np.empty((len(part), k)), np.empty(len(part))
+            for t, e in enumerate(self.emit[part]):
+                a = (a @ self.step if begin + t else self.start) * e
+                scale[t] = a.sum()
+                alpha[t] = a = a / scale[t]
+            return alpha, scale
+
+        befores, a = [], self.start
+        for begin in range(0, len(tokens), size):
+            befores.append(a)
+            alpha, scale = forward(a, begin)
+            a, logs = alpha[-1], logs + np.log(scale).sum()
+        b, w = np.ones(k), None  # w: what the token behind gives its state
+        for begin in range((len(tokens) - 1) // size * size, -1, -size):
+            alpha, scale = forward(befores[begin // size], begin)
+            part = tokens[begin : begin + size]
+            emit = self.emit[part] / scale[:, None]
+            for t in range(len(part) - 1, -1, -1):
+                if w is not None:
+                    steps += np.outer(alpha[t], w) * self.step
+                    b = self.step @ w
+                    b /= alpha[t] @ b
+                w = b * emit[t]
+                alpha[t] *= b
+            for s in range(k):
+                emits[:, s] += np.bincount(part, alpha[:, s], CLASSES + 1)
+        return steps, alpha[0], emits, logs
 
     def expected(self, documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
         """Expected counts of steps, starts and emissions, and the log-likelihood, of whole documents."""
         k = len(self.start)
         steps, starts, emits = np.zeros((k, k)), np.zeros(k), np.zeros((CLASSES + 1, k))
         documents = sorted((d for d in documents if len(d)), key=len, reverse=True)
+        long = sum(len(d) > LONG for d in documents)
+        if long:
+            each = [self.expected_of_long(d) for d in documents[:long]] + [self.expected(documents[long:])]
+            return tuple(sum(x[1:], x[0]) for x in zip(*each))
         if not documents:
             return steps, starts, emits, 0.0
         size = np.array([len(d) for d in documents], "i8")
@@ -149,10 +191,6 @@ class Model:
         return out
 
 
-def _texts(batch: pd.DataFrame) -> list:
-    return [t if isinstance(t, str) else None for t in batch["text"]]
-
-
 def class_counts(documents: list[np.ndarray]) -> np.ndarray:
     total = np.zeros(CLASSES + 1)
     for d in documents:
@@ -160,18 +198,56 @@ def class_counts(documents: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def training_classes(rows: DataFrame) -> DataFrame:
-    """The classes of each training row's tokens, two bytes each."""
-
-    def classify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = _texts(batch)
-            for begin, end in slices(texts, 2 << 20):
-                yield pd.DataFrame({"classes": [class_ids(t).astype("<u2").tobytes() for t in texts[begin:end]]})
-
-    path = run_dir(rows.sparkSession, "classes")
-    rows.where("NOT held_out").select("text").mapInPandas(classify, "classes binary").write.option("compression", "zstd").parquet(path)
-    return rows.sparkSession.read.schema("classes binary").parquet(path)
+def _planes(numbers: np.ndarray, width: int) -> bytes:
+    """The low bytes of all numbers, then the next ones, which pack well."""
+    return np.ascontiguousarray(numbers.astype("<u4").view("u1").reshape(-1, 4)[:, :width].T).tobytes()
+
+
+def _numbers(planes: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(planes) // width, 4), "u1")
+    out[:, :width] = np.frombuffer(planes, "u1").reshape(width, -1).T
+    return out.view("<u4")[:, 0]
+
+
+def read_chunks(rows: DataFrame, buckets: int) -> DataFrame:
+    """Two kinds of rows per chunk: documents (doc_id, held_out, ids of the chunk's words, and for training the classes, the end included), and words by bucket of
+    their class (bucket, words, counts in training documents). Ids number the words by bucket, then by word."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def read(table: pa.Table) -> pa.Table:
+        table = table.take(pc.sort_indices(pc.negate(pc.fill_null(pc.binary_length(table["text"]), 0))))
+        held = table["held_out"].to_pylist()
+        number = _Numbers()
+        texts = []
+        for text in table["text"].cast(pa.binary()):
+            tokens = (text.as_py() or b"").lower().split()
+            texts.append(np.fromiter(map(number.__getitem__, tokens), "i4", len(tokens)))
+        vocabulary = list(number)
+        classes = np.fromiter(map(word_class, vocabulary), "i4", len(vocabulary))
+        order = np.array(sorted(range(len(vocabulary)), key=lambda i: (classes[i] % buckets, vocabulary[i])), "i8")
+        rank = np.empty(len(order), "i8")
+        rank[order] = np.arange(len(order))
+        counts = np.zeros(len(order), "i8")
+        for t, out in zip(texts, held):
+            if not out:
+                np.add.at(counts, t, 1) if len(t) < len(counts) // 8 else np.add(counts, np.bincount(t, minlength=len(counts)), out=counts)
+        cuts = np.searchsorted(classes[order] % buckets, np.arange(buckets + 1))
+        some = [(b, order[i:j]) for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
+        n, m = len(texts), len(some)
+        columns = {
+            "doc_id": pa.chunked_array([*table["doc_id"].chunks, pa.nulls(m, table["doc_id"].type)]),
+            "held_out": pa.array(held + [None] * m, pa.bool_()),
+            "chunk": pa.array([table["chunk"][0].as_py() if n else 0] * (n + m), pa.int32()),
+            "ids": pa.array([_planes(rank[t], 3) for t in texts] + [None] * m, pa.binary()),
+            "classes": pa.array([None if out else np.append(classes[t], CLASSES).astype("<u2").tobytes() for t, out in zip(texts, held)] + [None] * m, pa.binary()),
+            "bucket": pa.array([None] * n + [b for b, _ in some], pa.int32()),
+            "words": pa.array([None] * n + [b" ".join(vocabulary[i] for i in at) for _, at in some], pa.binary()),
+            "counts": pa.array([None] * n + [counts[at].astype("<i8").tobytes() for _, at in some], pa.binary()),
+        }
+        return pa.table(columns)
+
+    schema = f"doc_id {kind}, held_out boolean, chunk int, ids binary, classes binary, bucket int, words binary, counts binary"
+    return stored(rows.groupBy("chunk").applyInArrow(read, schema), "chunks", "zstd")
 
 
 def _summed(classes: DataFrame, width: int, count) -> np.ndarray:
@@ -190,70 +266,49 @@ def _summed(classes: DataFrame, width: int, count) -> np.ndarray:
             total = total + count(held)
         if isinstance(total, np.ndarray):
             some = np.flatnonzero(total.any(1))
-            out = pd.DataFrame(total[some], columns=[f"s{i}" for i in range(width)])
+            out = pd.DataFrame(total[some].astype("f4"), columns=[f"s{i}" for i in range(width)])
             out.insert(0, "row", some)
             yield out
 
-    schema = "row int, " + ", ".join(f"s{i} double" for i in range(width))
+    schema = "row int, " + ", ".join(f"s{i} float" for i in range(width))
     sums = classes.mapInPandas(run, schema).groupBy("row").agg(*[F.sum(f"s{i}") for i in range(width)]).collect()  # states + 1 + CLASSES + 1 rows at most
-    every = np.zeros((width + 1 + CLASSES + 1, width))
+    every = np.zeros((width + CLASSES + 3, width))
     for r in sums:
         every[r[0]] = r[1:]
     return every
 
 
-def baum_welch_pass(classes: DataFrame, model: Model) -> Model:
-    """The next model, from the expected counts of all training rows."""
+def baum_welch_pass(classes: DataFrame, model: Model) -> tuple[Model, float]:
+    """The next model, from the expected counts of all training rows, and the log10 likelihood of the present one."""
     k = len(model.start)
 
     def count(documents: list[np.ndarray]) -> np.ndarray:
-        steps, starts, emits, _ = model.expected(documents)
-        return np.concatenate([steps, starts[None, :], emits])
+        steps, starts, emits, logs = model.expected(documents)
+        return np.concatenate([steps, starts[None, :], emits, np.full((1, k), logs / np.log(10))])
 
     every = _summed(classes, k, count)
-    return Model.of_counts(every[:k], every[k], every[k + 1 :])
+    return Model.of_counts(every[:k], every[k], every[k + 1 : -1]), every[-1, 0]
 
 
-def train(rows: DataFrame, states: int, passes: int) -> Model:
-    classes = training_classes(rows)
+def train(classes: DataFrame, states: int, passes: int) -> Model:
     counts = _summed(classes, 1, lambda documents: class_counts(documents)[:, None])[: CLASSES + 1, 0]
-    model = Model.of_frequencies(counts, states)
-    for _ in range(INIT_ROUNDS + passes):
-        model = baum_welch_pass(classes, model)
+    model, likelihood = Model.of_frequencies(counts, states), -np.inf
+    for _ in range(passes):
+        after, here = baum_welch_pass(classes, model)
+        gain = (here - likelihood) / max(1, counts.sum())
+        if 0 <= gain < GAIN:
+            return after
+        model, likelihood = after if gain < 0 else model.towards(after, RELAXED), here
     return model
 
 
-ANSWER = "chunk int, bucket int, counts binary, weights binary, total bigint, distinct bigint"
-
-
-def _by_bucket(known, buckets: int) -> list[tuple[int, list[bytes]]]:
-    """Words by bucket of their class, sorted in each: the order in which a chunk sends them and reads the answers."""
-    parts: dict[int, list[bytes]] = {}
-    for w in known:
-        parts.setdefault(word_class(w) % buckets, []).append(w)
-    return [(b, sorted(parts[b])) for b in sorted(parts)]
+ANSWER = "chunk int, bucket int, counts binary, classes binary, weights binary, total bigint, distinct bigint"
 
 
-def word_counts(rows: DataFrame, buckets: int) -> DataFrame:
+def word_counts(sent: DataFrame, buckets: int) -> DataFrame:
     """Per chunk and bucket of classes: the counts of the chunk's words over all training rows, and the weight of each of the bucket's classes (N + 0.1 (V + 1)).
     ``total`` and ``distinct`` are the bucket's training tokens and words, on its first row."""
 
-    def count(docs: pd.DataFrame) -> pd.DataFrame:
-        seen: Counter = Counter()
-        known: dict[bytes, None] = {}
-        for text, held in zip(_texts(docs), docs["held_out"]):
-            tokens = words(text)
-            if held:
-                known.update(dict.fromkeys(tokens))
-            else:
-                seen.update(tokens)
-        for w in known:
-            seen.setdefault(w, 0)
-        out = [(b, b" ".join(ws), np.array([seen[w] for w in ws], "<i8").tobytes()) for b, ws in _by_bucket(seen, buckets)]
-        made = pd.DataFrame(out, columns=["bucket", "words", "counts"])
-        made.insert(0, "chunk", docs["chunk"].iloc[0] if len(docs) else 0)
-        return made
-
     def total(part: pd.DataFrame) -> pd.DataFrame:
         number: dict[bytes, int] = {}
         ids, sums = [], []
@@ -262,54 +317,63 @@ def word_counts(rows: DataFrame, buckets: int) -> DataFrame:
             sums.append(np.frombuffer(counts, "<i8"))
         c = np.zeros(len(number), "i8")
         np.add.at(c, np.concatenate(ids), np.concatenate(sums))
-        place, size = np.fromiter(map(word_class, number), "i8", len(number)) // buckets, -(-CLASSES // buckets)
+        classes = np.fromiter(map(word_class, number), "i8", len(number))
+        place, size = classes // buckets, -(-CLASSES // buckets)
         weights = np.bincount(place, c, size) + 0.1 * (np.bincount(place, c > 0, size) + 1)
         out = part[["chunk", "bucket"]].copy()
         out["counts"] = [c[i].astype("<i8").tobytes() for i in ids]
+        out["classes"] = [classes[i].astype("<u2").tobytes() for i in ids]
         out["weights"] = weights.astype("<f8").tobytes()
         out["total"], out["distinct"] = 0, 0
-        out.iloc[0, 4], out.iloc[0, 5] = int(c.sum()), int((c > 0).sum())
+        out.loc[out.index[0], ["total", "distinct"]] = int(c.sum()), int((c > 0).sum())
         return out
 
-    sent = rows.select("chunk", "text", "held_out").groupBy("chunk").applyInPandas(count, "chunk int, bucket int, words binary, counts binary")
     return sent.groupBy("bucket").applyInPandas(total, ANSWER)
 
 
 SCORED = "held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
-def score_documents(docs: DataFrame, states: int = 8, passes: int = 2) -> DataFrame:
+def score_documents(docs: DataFrame, states: int = 8, passes: int = 14) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score (unigram) and score (log10 of the model's probability) of every document."""
-    n = chunks_for(text_bytes(docs), CHUNK_BYTES)
+    size = text_bytes(docs)
+    n, buckets = chunks_for(size, CHUNK_BYTES), chunks_for(size, BUCKET_BYTES)
     rows = docs.select("doc_id", "text", held_out(10).alias("held_out"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("chunk"))
-    model = train(rows, states, passes)
-    answers = settle(word_counts(rows, n))
+    read = read_chunks(rows, buckets)
+    model = train(read.where("classes IS NOT NULL").select("classes"), states, passes)
+    sent = read.where("bucket IS NOT NULL").select("chunk", "bucket", "words", "counts")
+    answers = stored(word_counts(sent, buckets), "answers", "zstd")
     ends = rows.where("NOT held_out").count()
     sums = answers.agg(F.sum("total"), F.sum("distinct")).first()
     n_all, v_all = (sums[0] or 0) + ends, (sums[1] or 0) + (ends > 0)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def score(part: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
-        answer = answer.sort_values("bucket")
-        known = _by_bucket(set().union(*map(words, _texts(part))), n)
-        number = {w: k for k, w in enumerate(w for _, ws in known for w in ws)}
-        classes = np.append(np.fromiter(map(word_class, number), "i4", len(number)), CLASSES)
-        counts = np.concatenate([np.empty(0, "i8"), *[np.frombuffer(x, "<i8") for x in answer["counts"]], [ends]])  # the end's place is the last
+    def score(part: pa.Table, answer: pa.Table) -> pa.Table:
+        answer = answer.sort_by("bucket").to_pydict()
+        # The end's place is the last. Words come in the order of their numbers.
+        counts = np.concatenate([np.empty(0, "i8"), *[np.frombuffer(x, "<i8") for x in answer["counts"]], [ends]]).astype("i8")
+        classes = np.concatenate([np.empty(0, "u2"), *[np.frombuffer(x, "<u2") for x in answer["classes"]], [CLASSES]]).astype("i4")
         weights = np.ones(CLASSES + 1)
         for b, x in zip(answer["bucket"], answer["weights"]):
-            of_bucket = np.arange(b, CLASSES, n)
+            of_bucket = np.arange(b, CLASSES, buckets)
             weights[of_bucket] = np.frombuffer(x, "<f8")[: len(of_bucket)]
         base = np.log10((counts + 0.1) / (n_all + 0.1 * (v_all + 1)))
         factors = np.log10((counts + 0.1) / weights[classes])
         factors[-1] = 0.0  # the end is the only word of its class
-        tokens = [[number[w] for w in words(t)] + [len(number)] for t in _texts(part)]
-        ids = [np.array(t, "i4") for t in tokens]
-        out = part[["doc_id", "held_out"]].copy()
-        out["n_tokens"] = [len(i) for i in ids]
-        out["n_known"] = [int((counts[i] > 0).sum()) for i in ids]
-        out["train_tokens"] = n_all
-        out["base_score"] = [float(base[i].sum()) for i in ids]
-        out["score"] = model.log_likelihood([classes[i] for i in ids]) + [float(factors[i].sum()) for i in ids]
-        return out
-
-    return rows.groupBy("chunk").cogroup(answers.select("chunk", "bucket", "counts", "weights").groupBy("chunk")).applyInPandas(score, f"doc_id {kind}, {SCORED}")
+        end = len(counts) - 1
+        ids = [np.append(_numbers(x.as_py(), 3), end).astype("i4") for x in part["ids"]]
+        likelihood = model.log_likelihood([classes[i] for i in ids])
+        return pa.table(
+            {
+                "doc_id": part["doc_id"],
+                "held_out": part["held_out"],
+                "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
+                "n_known": pa.array([int((counts[i] > 0).sum()) for i in ids], pa.int64()),
+                "train_tokens": pa.array([n_all] * len(ids), pa.int64()),
+                "base_score": pa.array([float(base[i].sum()) for i in ids], pa.float64()),
+                "score": pa.array([float(x) + float(factors[i].sum()) for x, i in zip(likelihood, ids)], pa.float64()),
+            }
+        )
+
+    texts = read.where("ids IS NOT NULL").select("doc_id", "held_out", "ids", "chunk")
+    return texts.groupBy("chunk").cogroup(answers.select("chunk", "bucket", "counts", "weights", "classes").groupBy("chunk")).applyInArrow(score, f"doc_id {kind}, {SCORED}")

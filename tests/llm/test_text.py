@@ -41,6 +41,15 @@ def test_letters_that_become_marks_before_punctuation():
             assert list(encoder.encode([text], 2)[0]) == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [2], text
 
 
+def test_marks_that_close_words():
+    encoder = token_output.WordEncoder(tokenizer_path())
+    rng = random.Random(8)
+    parts = ["a", "Word", "don't", "3a", "it's", "x<y", "<|endoftext|>", "<|EndOfText|>", "é", "e\u0301", "E\u0301", "ﬁ", "a\u0303", ".", ",", "..", ".,", "!", "\n", " ", " ", " ", "\u00a0", "\u2028", "-", "_", "1"]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 9)))
+        assert list(encoder.encode([text], 2)[0]) == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [2], text
+
+
 def test_token_files_round_trip(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_output, "FILE_TEXT_BYTES", 100_000)
     texts = sample_texts(60) + ODD
@@ -368,7 +377,7 @@ def test_forward_and_counts_equal_enumeration():
 
 def test_baum_welch_raises_the_likelihood():
     docs = [hmm_scoring.class_ids(t) for t in sample_texts(80)]
-    model, last = hmm_scoring.Model.initial(docs, 4), -math.inf
+    model, last = hmm_scoring.Model.of_frequencies(hmm_scoring.class_counts(docs), 4), -math.inf
     for _ in range(6):
         *counts, value = model.expected(docs)
         assert value >= last - 1e-3 * abs(value)
@@ -401,11 +410,22 @@ def test_counts_of_whole_documents():
     assert np.allclose(emits.sum(1), np.bincount(np.concatenate(docs), minlength=hmm_scoring.CLASSES + 1), atol=1e-3)
 
 
+def test_a_long_document_is_counted_in_blocks(monkeypatch):
+    model, rng = small_model(), np.random.default_rng(4)
+    docs = [rng.integers(0, hmm_scoring.CLASSES, n).astype("i4") for n in (1500, 3, 700, 512, 513)]
+    whole = model.expected(docs)
+    monkeypatch.setattr(hmm_scoring, "LONG", 500)
+    monkeypatch.setattr(hmm_scoring, "LEVEL", 16)
+    for got, expected in zip(model.expected(docs), whole):
+        assert np.allclose(got, expected, atol=2e-3)
+
+
 def test_scores(spark, monkeypatch):
     monkeypatch.setattr(hmm_scoring, "CHUNK_BYTES", 200_000)
+    monkeypatch.setattr(hmm_scoring, "BUCKET_BYTES", 150_000)
     texts = sample_texts(300)
     rows = [*enumerate(texts), (None, "no id here"), (500, None), (501, ""), (502, " \n "), (3, texts[3])]
-    got = hmm_scoring.score_documents(documents(spark, rows), states=4, passes=1).collect()
+    got = hmm_scoring.score_documents(documents(spark, rows), states=4, passes=8).collect()
     held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 10 == 0
     counts = {}
     for i, t in rows:
@@ -426,10 +446,11 @@ def test_scores(spark, monkeypatch):
 
 def test_words_of_a_state_sum_to_one(spark):
     """Shares within the classes, unknown ones included, times the classes' shares."""
-    docs = documents(spark, [(k, t) for k, t in enumerate(sample_texts(40))], clash=False).selectExpr("text", "false AS held_out", "0 AS chunk")
+    docs = documents(spark, [(k, t) for k, t in enumerate(sample_texts(40))], clash=False).selectExpr("doc_id", "text", "false AS held_out", "0 AS chunk")
     sums, known = {}, {}
-    sent = dict(hmm_scoring._by_bucket({w for r in docs.collect() for w in words(r.text)}, 3))
-    for r in hmm_scoring.word_counts(docs, 3).collect():
+    read = hmm_scoring.read_chunks(docs, 3).where("bucket IS NOT NULL").select("chunk", "bucket", "words", "counts")
+    sent = {r.bucket: bytes(r.words).split(b" ") for r in read.collect()}
+    for r in hmm_scoring.word_counts(read, 3).collect():
         weights, count = np.frombuffer(r["weights"], "<f8"), np.frombuffer(r["counts"], "<i8")
         for w, c in zip(sent[r["bucket"]], count, strict=True):
             k = hmm_scoring.word_class(w)
