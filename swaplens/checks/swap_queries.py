@@ -102,6 +102,24 @@ def swap_page_after(spark, d):
     return swaps.page_after(A.swap_rows(spark, d).select(*PAGE_ORDER), PAGE_ORDER, 100, (NOW, "5", "", ""))
 
 
+@query(
+    "swap_page_after_nulls",
+    """WITH rows AS (SELECT CASE WHEN l_linenumber % 2 = 0 THEN l_partkey END AS a, CASE WHEN l_linenumber % 3 = 0 THEN l_suppkey END AS b,
+        l_orderkey AS k, l_linenumber AS line FROM lineitem)
+    SELECT a, b, k, line FROM rows WHERE a IS NOT NULL OR b IS NOT NULL OR (k, line) > (50, 1)
+    ORDER BY a NULLS FIRST, b NULLS FIRST, k, line LIMIT 20000""",
+)
+def swap_page_after_nulls(spark, d):
+    """The page after a row whose first order values are NULL; it reaches from NULLs into values."""
+    rows = A.table(spark, d, "lineitem").select(
+        F.when(F.col("l_linenumber") % 2 == 0, F.col("l_partkey")).alias("a"),
+        F.when(F.col("l_linenumber") % 3 == 0, F.col("l_suppkey")).alias("b"),
+        F.col("l_orderkey").alias("k"),
+        F.col("l_linenumber").alias("line"),
+    )
+    return swaps.page_after(rows, ["a", "b", "k", "line"], 20000, (None, None, 50, 1))
+
+
 @query("capped_swaps", "SELECT least(count(*), 1234) AS rows FROM lineitem")
 def capped_swaps(spark, d):
     return swaps.cap(A.swap_rows(spark, d), 1234).agg(F.count("*").alias("rows"))

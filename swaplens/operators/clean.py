@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from swaplens.functions.numbers import no_nan, to_number, to_whole
+from swaplens.plans.names import fresh
 from swaplens.plans.once import with_once
 from swaplens.plans.ordered import orderable
 
@@ -69,4 +70,5 @@ def dedupe(df: DataFrame, key: str = "id", order: Sequence[str] = ()) -> DataFra
         return df
     by = list(order) or orderable(df)
     first = Window.partitionBy(key).orderBy(*by)
-    return df.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") == 1).drop("_rank")
+    (rank,) = fresh(df, "_rank")
+    return df.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank)

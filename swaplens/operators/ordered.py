@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swaplens.operators.aggregate import mean_std
+from swaplens.plans.names import fresh
 from swaplens.plans.ordered import previous_row, trailing_sums
 from swaplens.plans.scale import settle, small_side
 
@@ -43,11 +44,10 @@ def rolling_volume(
 
     Rows at the same instant see the same sum. It is NULL where the span holds no value.
     """
-    at = df.withColumn("_micros", F.unix_micros(ts))
-    done = trailing_sums(
-        at, keys, "_micros", hours * HOUR, {"rolling_volume_usd": F.col(value)}, _cells(hours * HOUR)
-    )
-    return done.drop("_micros")
+    (micros,) = fresh(df, "_micros")
+    at = df.withColumn(micros, F.unix_micros(ts))
+    done = trailing_sums(at, keys, micros, hours * HOUR, {"rolling_volume_usd": F.col(value)}, _cells(hours * HOUR))
+    return done.drop(micros)
 
 
 def sliding_rate(
@@ -58,14 +58,15 @@ def sliding_rate(
     The window is closed on both sides: an entry expires only when it is older than the window.
     """
     keys = [key] if key else []
-    at = events.withColumn("_micros", F.unix_micros(ts))
+    (micros,) = fresh(events, "_micros")
+    at = events.withColumn(micros, F.unix_micros(ts))
     counted = trailing_sums(
-        at, keys, "_micros", seconds * SECOND, {"requests_in_window": F.lit(1)}, _cells(seconds * SECOND), True
+        at, keys, micros, seconds * SECOND, {"requests_in_window": F.lit(1)}, _cells(seconds * SECOND), True
     )
     used = F.col("requests_in_window")
     return counted.withColumns(
         {"remaining": F.greatest(F.lit(limit) - used, F.lit(0)), "over_limit": used > limit}
-    ).drop("_micros")
+    ).drop(micros)
 
 
 def flag_outliers(df: DataFrame, column: str = "amountInUSD", threshold: float = 3.0) -> DataFrame:
@@ -76,12 +77,13 @@ def flag_outliers(df: DataFrame, column: str = "amountInUSD", threshold: float =
     if column not in df.columns:
         return df
     stats = mean_std(df, column).select(F.struct("mean", "std")).scalar()
-    z = F.when(F.col("_stats.std") > 0, (F.col(column) - F.col("_stats.mean")) / F.col("_stats.std"))
+    (held,) = fresh(df, "_stats")
+    z = F.when(F.col(held)["std"] > 0, (F.col(column) - F.col(held)["mean"]) / F.col(held)["std"])
     return (
-        df.withColumn("_stats", stats)
+        df.withColumn(held, stats)
         .withColumn("z_score", z)
         .withColumn("is_outlier", F.coalesce(F.abs("z_score") > threshold, F.lit(False)))
-        .drop("_stats")
+        .drop(held)
     )
 
 
@@ -91,8 +93,9 @@ def direction(price: Column, previous: Column) -> Column:
 
 def tick_direction(ticks: DataFrame, order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
     """Add priceDirection: up, down or neutral against the symbol's previous tick."""
-    with_previous = previous_row(ticks, ["symbol"], order, F.col("price"), "_previous")
-    return with_previous.withColumn("priceDirection", direction(F.col("price"), F.col("_previous"))).drop("_previous")
+    (previous,) = fresh(ticks, "_previous")
+    with_previous = previous_row(ticks, ["symbol"], order, F.col("price"), previous)
+    return with_previous.withColumn("priceDirection", direction(F.col("price"), F.col(previous))).drop(previous)
 
 
 def _given(df: DataFrame, name: str) -> Column:
@@ -110,18 +113,16 @@ def estimated_quotes(
     if mode not in ("per_tick", "sticky"):
         raise ValueError(f"Unsupported mode: {mode}")
     base: Column = F.col("price")
+    symbol, since, given = fresh(ticks, "_symbol", "_since", "_first")
     if mode == "sticky":
         # One row per symbol, combined map-side.
         first = (
             ticks.where(F.col("price") != 0)
-            .groupBy(F.col("symbol").alias("_symbol"))
-            .agg(
-                F.min(F.struct(*order)).alias("_since"),
-                F.min_by("price", F.struct(*order)).alias("_first"),
-            )
+            .groupBy(F.col("symbol").alias(symbol))
+            .agg(F.min(F.struct(*order)).alias(since), F.min_by("price", F.struct(*order)).alias(given))
         )
-        ticks = ticks.join(small_side(first, derived=True), F.col("symbol") == F.col("_symbol"), "left")
-        base = F.when(F.struct(*order) >= F.col("_since"), F.col("_first")).otherwise(base)
+        ticks = ticks.join(small_side(first, derived=True), F.col("symbol") == F.col(symbol), "left")
+        base = F.when(F.struct(*order) >= F.col(since), F.col(given)).otherwise(base)
     quoted = ticks.withColumns(
         {
             "bid": F.coalesce(_given(ticks, "bid"), base * BID_FACTOR),
@@ -130,7 +131,7 @@ def estimated_quotes(
             "change24h": F.coalesce(_given(ticks, "change24h"), F.lit(0.0)),
         }
     )
-    return quoted.drop("_symbol", "_since", "_first")
+    return quoted.drop(symbol, since, given)
 
 
 def pnl_sign_flips(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,8 @@ def run_batch(
     Each run writes its own folders, named by its last block: ``swaps/run=B`` and ``summary/run=B``. State moves
     after the outputs, so a run that dies is repeated and overwrites the same folders. ``swaps`` and ``prices`` are read for the counts
     and again for the rows, so give tables that are written, not a parse; the summary reads the written rows. ``rejects`` (reason, raw) are
-    counted and written to ``rejects/run=B``. There is no window unless ``window_minutes`` is given.
+    counted and written to a folder of their own, ``rejects/run=B-<id>``: a run may hold nothing but rejects, or end at a block that an earlier one ended at, and
+    must not replace the other's. There is no window unless ``window_minutes`` is given.
     """
     began = time.monotonic()
     last = load_state(spark, state_path)["last_processed_block"]
@@ -47,7 +49,7 @@ def run_batch(
     stats["swaps_rejected"] = 0 if rejects is None else rejects.count()
     stats["seconds"] = round(time.monotonic() - began, 3)
     if stats["swaps_rejected"]:
-        stats["output_rejects"] = write(rejects, f"{out_dir}/rejects/run={stats['latest_block']}", "json")
+        stats["output_rejects"] = write(rejects, f"{out_dir}/rejects/run={stats['latest_block']}-{uuid.uuid4().hex}", "json")
     if stats["swaps_new"] == 0:
         return stats
     enriched = enrich_swaps(after_block(swaps, last), prices, decimals, stables, missing)

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from swaplens.plans.names import fresh
+
 
 def orderable(df: DataFrame) -> list[str]:
     """The columns rows can be sorted by: all but maps and variants."""
@@ -29,21 +31,20 @@ def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     or a hot moment into as many chunks as it needs. Only the first and last row of each chunk meet again in
     the second window: two rows per chunk and key. The plan is one chain, so chunk numbers are taken once.
     """
-    chunked = df.repartitionByRange(*keys, *order).withColumn("_chunk", F.spark_partition_id())
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    marked = chunked.withColumn("_value", value).withColumns(
+    chunk, held, before, first, last, across = fresh(df, "_chunk", "_value", "_before", "_first", "_last", "_across")
+    chunked = df.repartitionByRange(*keys, *order).withColumn(chunk, F.spark_partition_id())
+    inside = Window.partitionBy(*keys, chunk).orderBy(*order)
+    marked = chunked.withColumn(held, value).withColumns(
         {
-            "_before": F.lag("_value").over(inside),
-            "_first": F.row_number().over(inside) == 1,
-            "_last": F.lead(F.lit(False), 1, True).over(inside),
+            before: F.lag(held).over(inside),
+            first: F.row_number().over(inside) == 1,
+            last: F.lead(F.lit(False), 1, True).over(inside),
         }
     )
-    on_seam = F.col("_first") | F.col("_last")
-    seams = Window.partitionBy(*keys, F.when(on_seam, F.lit(-1)).otherwise(F.col("_chunk"))).orderBy(*order)
-    closed = marked.withColumn("_across", F.lag("_value").over(seams))
-    return closed.withColumn(
-        name, F.when(F.col("_first"), F.col("_across")).otherwise(F.col("_before"))
-    ).drop("_chunk", "_value", "_before", "_first", "_last", "_across")
+    on_seam = F.col(first) | F.col(last)
+    seams = Window.partitionBy(*keys, F.when(on_seam, F.lit(-1)).otherwise(F.col(chunk))).orderBy(*order)
+    closed = marked.withColumn(across, F.lag(held).over(seams))
+    return closed.withColumn(name, F.when(F.col(first), F.col(across)).otherwise(F.col(before))).drop(chunk, held, before, first, last, across)
 
 
 def trailing_sums(

@@ -91,14 +91,20 @@ def page(df: DataFrame, order: Sequence[str], first: int, skip: int = 0) -> Data
 
 
 def page_after(df: DataFrame, order: Sequence[str], first: int, last: Sequence | None = None) -> DataFrame:
-    """The page that follows the row with order values ``last``: a pushed-down filter and a top-n."""
+    """The page that follows the row with order values ``last``: a pushed-down filter and a top-n. NULLs come first, as in ``page``.
+
+    Rows with equal order values are one place: give an order that is total, or those after the last one of a page are passed over.
+    """
     if last is not None:
         beyond = F.lit(False)
         equal = F.lit(True)
         for name, value in zip(order, last, strict=True):
-            beyond = beyond | (equal & (F.col(name) > F.lit(value)))
-            equal = equal & (F.col(name) == F.lit(value))
-        df = df.where((F.col(order[0]) >= F.lit(last[0])) & beyond)
+            col = F.col(name)
+            beyond = beyond | (equal & (col.isNotNull() if value is None else F.coalesce(col > F.lit(value), F.lit(False))))
+            equal = equal & (col.isNull() if value is None else col.eqNullSafe(F.lit(value)))
+        if last[0] is not None:
+            df = df.where(F.col(order[0]) >= F.lit(last[0]))
+        df = df.where(beyond)
     return df.orderBy(*order).limit(first)
 
 
