@@ -6,7 +6,8 @@ first n - ceil(t n) + 1. Classes with equal size and prefix form a group; groups
 size and position, and only then expanded to members, whose whole sets are compared.
 
 Components need a spanning set of links, not all of them, so groups of copies are not expanded into pairs: two rounds compare each class with one
-leader of the groups it meets, and the exact round that follows compares all remaining candidates whose components still differ.
+leader of the groups it meets, and the exact round that follows compares all remaining candidates whose components still differ. There components meet first, once per
+token, so what is one component already is never paired, however common its shingles.
 
 Shingle counts travel packed: a chunk of documents sends one sorted block per hash range and gets one byte per shingle back. Sets
 stay where their documents are until a candidate needs them. A hot group sends one entry per class and shingle, whatever its copies.
@@ -28,9 +29,9 @@ from pyspark.sql import functions as F
 
 from swaplens.llm.common import as_they_are, chunks_for, fresh, text_bytes, words
 from swaplens.llm.components import components
-from swaplens.plans.scale import run_dir, settle
+from swaplens.plans.scale import stored
 
-CHUNK_BYTES = 8 * 2**20
+CHUNK_BYTES, BUCKET_BYTES = 8 * 2**20, 32 * 2**20  # of text, whose shingles a task sends and a task counts
 LEADER_ROUNDS = 2
 
 
@@ -157,21 +158,22 @@ def candidates(rows: DataFrame, side: DataFrame, q: int, percent: int, buckets:
 
 
 def verify(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of class keys whose whole sets reach the threshold."""
+    """The components (a, b) of the pairs (x, y) of class keys whose whole sets reach the threshold."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch["x"], batch["y"]):
+            for x, y in zip(batch["x_set"], batch["y_set"]):
                 s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(s, t, assume_unique=True))
                 keep.append(100 * both >= percent * (len(s) + len(t) - both))
             yield batch.loc[keep, ["a", "b"]]
 
     sets = members.select("key", "shingles")
-    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInPandas(check, "a string, b string")
+    left = sets.select(F.col("key").alias("x"), F.col("shingles").alias("x_set"))
+    right = sets.select(F.col("key").alias("y"), F.col("shingles").alias("y_set"))
+    found = pairs.join(right, "y").join(left, "x").select("a", "b", "x_set", "y_set").mapInPandas(check, "a string, b string")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _close(percent: int):
@@ -179,58 +181,73 @@ def _close(percent: int):
     return (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
 
 
+def led_pairs(placed: DataFrame, entries: DataFrame, percent: int, salt: int) -> DataFrame:
+    """Each class with one leader of the groups that its own meets, and with the stand-in of its group: (x, y) of keys, (a, b) of their components."""
+    by_group = placed.groupBy("gkey").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    here = entries.join(by_group, "gkey")
+    order = F.struct(F.xxhash64(F.lit(salt), "gkey"), "n", "gkey", "stand", "low") if salt else F.struct("alone", "n", "gkey", "stand", "low")
+    open_tokens = (
+        here.groupBy("token").agg(F.min("low").alias("least"), F.max("high").alias("most"), F.min(order).alias("lead")).where("least <> most")
+    )
+    led = here.join(open_tokens.select("token", "lead"), "token").select(
+        "gkey", "n", F.col("lead.gkey").alias("lead_gkey"), F.col("lead.n").alias("m"), F.col("lead.stand").alias("lead"), F.col("lead.low").alias("lead_low")
+    )
+    votes = led.where((F.col("gkey") != F.col("lead_gkey")) & _close(percent)).groupBy("gkey", "lead", "lead_low").count()
+    chosen = votes.groupBy("gkey").agg(F.max(F.struct("count", "lead", "lead_low")).alias("best")).select("gkey", "best.lead", "best.lead_low")
+    across = placed.join(chosen, "gkey").select(F.col("key").alias("x"), F.col("lead").alias("y"), F.col("component").alias("a"), F.col("lead_low").alias("b"))
+    # A group's stand-in is its least key; its component comes with it.
+    first = placed.groupBy("gkey").agg(F.min(F.struct("key", "component")).alias("stand"))
+    inside = placed.join(first, "gkey").select(F.col("key").alias("x"), F.col("stand.key").alias("y"), F.col("component").alias("a"), F.col("stand.component").alias("b"))
+    return across.union(inside).where("a <> b")
+
+
+def open_pairs(placed: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
+    """All candidates (x, y) whose components (a, b) still differ: components meet by token or group first, and only those that differ are expanded to groups and members."""
+    spread = placed.select("gkey", "component").distinct()
+    here = entries.join(spread, "gkey").select("token", "component", "gkey", "n", "at")
+    # What a component can reach at best by a token: its sizes, and how many shingles follow.
+    of_token = here.groupBy("token", "component").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("at")).alias("room"), F.count("*").alias("many")
+    )
+    a = of_token.withColumnRenamed("component", "a")
+    b = of_token.select("token", *[F.col(c).alias(f"{c}_b") for c in ("lo", "hi", "room", "many")], F.col("component").alias("b"))
+    near = (F.col("hi") * 100 >= F.col("lo_b") * percent) & (F.col("hi_b") * 100 >= F.col("lo") * percent)
+    enough = F.least("room", "room_b") >= F.ceil((F.col("lo") + F.col("lo_b")) * F.lit(percent) / F.lit(100 + percent))
+    met = a.alias("l").join(b.alias("r"), (F.col("l.token") == F.col("r.token")) & (F.col("a") < F.col("b")) & near & enough)
+    # The component with fewer groups is expanded first, the other under the filters.
+    few = F.col("many") <= F.col("many_b")
+    met = met.select("l.token", F.when(few, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(few, F.col("b")).otherwise(F.col("a")).alias("b"))
+    mine = here.select("token", F.col("component").alias("a"), "gkey", "n", "at")
+    other = here.select(F.col("token").alias("t"), F.col("component").alias("c"), F.col("gkey").alias("hkey"), F.col("n").alias("m"), F.col("at").alias("bt"))
+    need = F.ceil((F.col("n") + F.col("m")) * F.lit(percent) / F.lit(100 + percent))
+    reach = 1 + F.least(F.col("n") - F.col("at") - 1, F.col("m") - F.col("bt") - 1)
+    fits = (F.col("gkey") != F.col("hkey")) & _close(percent) & (reach >= need)
+    groups = met.join(mine, ["token", "a"]).join(other, (F.col("token") == F.col("t")) & (F.col("b") == F.col("c")) & fits).select("gkey", "a", "hkey", "b")
+    g, h = spread.select("gkey", F.col("component").alias("a")), spread.select(F.col("gkey").alias("hkey"), F.col("component").alias("b"))
+    same = g.join(h, F.col("gkey") == F.col("hkey")).where("a < b")
+    x = placed.select("gkey", F.col("component").alias("a"), F.col("key").alias("x"))
+    y = placed.select(F.col("gkey").alias("hkey"), F.col("component").alias("b"), F.col("key").alias("y"))
+    return groups.union(same.select("gkey", "a", "hkey", "b")).distinct().join(x, ["gkey", "a"]).join(y, ["hkey", "b"]).select("x", "y", "a", "b")
+
+
 def connect(members: DataFrame, percent: int) -> DataFrame:
     """node (a class key) and component of every member, as all links connect them."""
-    plain = members.select("key", "n", "alone", "gkey")
     groups = members.groupBy("gkey").agg(
         F.first("n").alias("n"), F.min("alone").alias("alone"), F.min("key").alias("stand"), F.first("tokens").alias("tokens")
     )
-    entries = settle(groups.select("gkey", "n", "alone", "stand", F.posexplode("tokens").alias("at", "token")).withColumn("at", F.col("at") + F.col("alone")))
-    comp = plain.select(F.col("key").alias("node"), F.col("key").alias("component"))
-    if members.isEmpty():
-        return comp
-    for last in [False] * LEADER_ROUNDS + [True]:
-        placed = settle(plain.join(comp, F.col("key") == F.col("node")).select("key", "n", "gkey", "component"))
-        by_group = placed.groupBy("gkey").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        here = entries.join(by_group, "gkey")
-        open_tokens = here.groupBy("token").agg(
-            F.min("low").alias("least"), F.max("high").alias("most"), F.min(F.struct("alone", "n", "gkey", "stand", "low")).alias("lead")
-        ).where("least <> most")
-        if not last:
-            led = here.join(open_tokens.select("token", "lead"), "token").select(
-                "gkey", "n", F.col("lead.gkey").alias("lead_gkey"), F.col("lead.n").alias("m"), F.col("lead.stand").alias("lead"), F.col("lead.low").alias("lead_low")
-            )
-            votes = led.where((F.col("gkey") != F.col("lead_gkey")) & _close(percent)).groupBy("gkey", "lead", "lead_low").count()
-            chosen = votes.groupBy("gkey").agg(F.max(F.struct("count", "lead", "lead_low")).alias("best")).select("gkey", "best.lead", "best.lead_low")
-            across = placed.join(chosen, "gkey").where("component <> lead_low").select(F.col("key").alias("a"), F.col("lead").alias("b"))
-            inside = placed.join(groups.select("gkey", "stand"), "gkey").where("key <> stand").select(F.col("key").alias("a"), F.col("stand").alias("b"))
-            pairs = across.union(inside).distinct()
-        else:
-            open_entries = here.join(open_tokens.select("token"), "token").select("token", "gkey", "n", "at", "low", "high")
-            other = open_entries.select("token", *[F.col(c).alias(d) for c, d in (("gkey", "hkey"), ("n", "m"), ("at", "bt"), ("low", "h_low"), ("high", "h_high"))])
-            need = F.ceil((F.col("n") + F.col("m")) * F.lit(percent) / F.lit(100 + percent))
-            reach = 1 + F.least(F.col("n") - F.col("at") - 1, F.col("m") - F.col("bt") - 1)
-            one = (F.col("low") == F.col("high")) & (F.col("h_low") == F.col("h_high")) & (F.col("low") == F.col("h_low"))
-            group_pairs = (
-                open_entries.join(other, "token")
-                .where((F.col("gkey") < F.col("hkey")) & ~one & _close(percent) & (reach >= need))
-                .select("gkey", "hkey")
-                .distinct()
-            )
-            a = placed.select("gkey", F.col("key").alias("a"), F.col("component").alias("ca"))
-            b = placed.select(F.col("gkey").alias("hkey"), F.col("key").alias("b"), F.col("component").alias("cb"))
-            across = group_pairs.join(a, "gkey").join(b, "hkey")
-            inside = a.join(b, (F.col("gkey") == F.col("hkey")) & (F.col("a") < F.col("b")))
-            pairs = across.where("ca <> cb").select("a", "b").union(inside.where("ca <> cb").select("a", "b"))
-        new = settle(verify(pairs, members, percent))
+    entries = stored(
+        groups.select("gkey", "n", "alone", "stand", F.posexplode("tokens").alias("at", "token")).withColumn("at", F.col("at") + F.col("alone")), "entries"
+    )
+    placed = members.select("key", "gkey", F.col("key").alias("component"))
+    for salt in [*range(LEADER_ROUNDS), None]:
+        pairs = open_pairs(placed, entries, percent) if salt is None else led_pairs(placed, entries, percent, salt)
+        new = stored(verify(pairs, members, percent).distinct(), "links")
         if new.isEmpty():
             continue
-        of_a = comp.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-        of_b = comp.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-        edges = new.join(of_a, "a").join(of_b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        joined = components(edges).select(F.col("node").alias("old"), F.col("component").alias("joined"))
-        comp = settle(comp.join(joined, F.col("component") == F.col("old"), "left").select("node", F.coalesce("joined", "component").alias("component")))
-    return comp
+        joined = components(new).select(F.col("node").alias("old"), F.col("component").alias("joined"))
+        placed = placed.join(joined, F.col("component") == F.col("old"), "left")
+        placed = stored(placed.select("key", "gkey", F.coalesce("joined", "component").alias("component")), "placed")
+    return placed.select(F.col("key").alias("node"), "component")
 
 
 def near_duplicates(docs: DataFrame, q: int = 4, percent: int = 85) -> DataFrame:
@@ -238,20 +255,19 @@ def near_duplicates(docs: DataFrame, q: int = 4, percent: int = 85) -> DataFrame
 
     Documents link when 100 * intersection >= ``percent`` * union of their sets of ``q``-word shingles.
     """
-    spark = docs.sparkSession
-    n = chunks_for(text_bytes(docs), CHUNK_BYTES)
+    size = text_bytes(docs)
+    n, buckets = chunks_for(size, CHUNK_BYTES), chunks_for(size, BUCKET_BYTES)
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rowkey")).withColumn("chunk", F.pmod("rowkey", F.lit(n)).cast("int"))
-    signed = settle(signatures(rows, q))
+    signed = stored(signatures(rows, q), "signatures")
     first = signed.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "rowkey", "chunk")).alias("row")).select("row.*")
-    stand_ins = settle(
+    stand_ins = stored(
         first.groupBy("chunk").agg(F.collect_list("rowkey").alias("rows")).select(
             "chunk", F.lit(-1).alias("bucket"), F.lit(None).cast("binary").alias("block"), "rows"
-        )
+        ),
+        "stand-ins",
     )
-    answers = shared_shingles(rows, stand_ins, q, n).withColumn("rows", F.lit(None).cast("array<bigint>"))
-    path = run_dir(spark, "members")
-    candidates(rows, answers.union(stand_ins), q, percent, n).write.parquet(path)
-    members = spark.read.schema(MEMBER).parquet(path)
+    answers = shared_shingles(rows, stand_ins, q, buckets).withColumn("rows", F.lit(None).cast("array<bigint>"))
+    members = stored(candidates(rows, answers.union(stand_ins), q, percent, buckets), "members")
     found = connect(members, percent)
     least = (
         found.join(signed.groupBy("key").agg(F.min("doc_id").alias("id")), F.col("node") == F.col("key"))
@@ -270,18 +286,19 @@ def near_duplicates(docs: DataFrame, q: int = 4, percent: int = 85) -> DataFrame
 
 def keep_one(docs: DataFrame, q: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of linked ones, that of the least id, all columns as they are; documents without words all stay."""
-    (rowkey,) = fresh(docs, "rowkey")
-    found = settle(near_duplicates(docs, q, percent))
+    rowkey, own_id, s_id, s_key, count = fresh(docs, "rowkey", "own_id", "s_id", "s_key", "count")
+    found = stored(near_duplicates(docs, q, percent), "near")
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "rowkey")
     grouped = found.where("group IS NOT NULL")
-    stay = grouped.groupBy("group").agg(F.min(order).alias("row")).select(F.col("row.doc_id").alias("s_id"), F.col("row.rowkey").alias("s_key"))
+    stay = grouped.groupBy("group").agg(F.min(order).alias("row")).select(F.col("row.doc_id").alias(s_id), F.col("row.rowkey").alias(s_key))
     stay = stay.union(found.where("group IS NULL").select("doc_id", "rowkey").distinct())
-    repeated = settle(grouped.groupBy(F.col("doc_id").alias("r_id"), F.col("rowkey").alias("r_key")).count().where("count > 1").drop("count"))
-    keyed = docs.withColumn(rowkey, F.xxhash64("doc_id", "text"))
-    kept = keyed.join(stay, (F.col(rowkey) == F.col("s_key")) & F.col("doc_id").eqNullSafe(F.col("s_id")), "left_semi")
+    repeated = grouped.groupBy(F.col("doc_id").alias(s_id), F.col("rowkey").alias(s_key)).agg(F.count("*").alias(count)).where(F.col(count) > 1)
+    repeated = stored(repeated.drop(count), "repeated")
+    keyed = docs.withColumn(rowkey, F.xxhash64("doc_id", "text")).withColumn(own_id, F.col("doc_id"))
+    same = (F.col(rowkey) == F.col(s_key)) & F.col(own_id).eqNullSafe(F.col(s_id))
+    kept = keyed.join(stay, same, "left_semi")
     if not repeated.isEmpty():
-        again = (F.col(rowkey) == F.col("r_key")) & F.col("doc_id").eqNullSafe(F.col("r_id"))
-        kept = kept.join(repeated, again, "left_anti").union(kept.join(repeated, again, "left_semi").dropDuplicates(["doc_id", rowkey]))
+        kept = kept.join(repeated, same, "left_anti").union(kept.join(repeated, same, "left_semi").dropDuplicates([own_id, rowkey]))
     return kept.select(*as_they_are(docs))
 
 

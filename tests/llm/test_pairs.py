@@ -36,11 +36,12 @@ def classes_of(nodes, linked):
     return {n: top(n) for n in nodes}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("last_edges", [0, 40, 10**6])
+def test_components(spark, last_edges):
     rng = random.Random(3)
     edges = [(f"{rng.randrange(300):03}", f"{rng.randrange(300):03}") for _ in range(220)]
     edges += [(f"c{k:03}", f"c{k + 1:03}") for k in range(60)] + [("hub", f"h{k}") for k in range(100)] + [("z", "z")]
-    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a string, b string")).collect()}
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a string, b string"), last_edges).collect()}
     assert got == classes_of({n for e in edges for n in e}, edges)
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
 
@@ -98,6 +99,39 @@ def test_ngram_join(spark, monkeypatch, q, percent):
     assert len(texts) == len(full) and kept.count() == len(full) + sum(not s for s in sets)
 
 
+def test_keep_one_with_columns_named_like_its_own(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    names = ["rowkey", "own_id", "s_id", "s_key", "r_id", "r_key", "count", "group", "key", "chunk", "unknown", "_rowkey"]
+    rows = [(k, text if k < 4 else f"{text} {k}", *["x"] * len(names)) for k in (3, 1, 1, 2, 9)] + [(None, None, *["y"] * len(names))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"`{n}` string" for n in names))
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.s_key) for r in kept.collect()), key=str) == [(1, "x"), (None, "y")]
+
+
+def test_ngram_join_takes_few_tasks(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    sc, tracker, keep = spark.sparkContext, spark.sparkContext.statusTracker(), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    sc.setJobGroup("few", "few")
+    try:
+        assert ngram_join.near_duplicates(docs).count() == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", keep)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    jobs = tracker.getJobIdsForGroup("few")
+    stages = {s for j in jobs for s in tracker.getJobInfo(j).stageIds}
+    assert len(jobs) < 80 and sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i) < 200
+
+
+def test_a_common_shingle_does_not_pair_what_is_one_component(spark):
+    """A thousand near copies and one stranger that shares their rarest shingles: pairs stay far below all pairs."""
+    placed = spark.createDataFrame([(f"k{k}", f"g{k}", "c0" if k else "c1") for k in range(1000)], "key string, gkey string, component string")
+    entries = spark.createDataFrame([(f"g{k}", 20, 0, f"k{k}", 0, 7) for k in range(1000)], "gkey string, n int, alone int, stand string, at int, token bigint")
+    pairs = ngram_join.open_pairs(placed, entries, 80)
+    assert pairs.count() == 999
+
+
 def test_ngram_join_of_nothing(spark):
     empty = documents(spark, [])
     assert ngram_join.near_duplicates(empty).count() == 0 and ngram_join.keep_one(empty).count() == 0
