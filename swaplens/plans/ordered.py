@@ -31,7 +31,7 @@ def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     or a hot moment into as many chunks as it needs. Only the first and last row of each chunk meet again in
     the second window: two rows per chunk and key. The plan is one chain, so chunk numbers are taken once.
     """
-    chunk, held, before, first, last, across = fresh(df, "_chunk", "_value", "_before", "_first", "_last", "_across")
+    chunk, held, before, first, last, across = fresh(df, "_chunk", "_value", "_before", "_first", "_last", "_across", also=[name])
     chunked = df.repartitionByRange(*keys, *order).withColumn(chunk, F.spark_partition_id())
     inside = Window.partitionBy(*keys, chunk).orderBy(*order)
     marked = chunked.withColumn(held, value).withColumns(

@@ -172,6 +172,23 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def market_ticks(events: DataFrame) -> DataFrame:
+    """events as ticks of some 250 markets."""
+    symbol = F.concat_ws("-", "event_type", (F.col("user_id") % 50).cast("string"))
+    return events.select("event_id", symbol.alias("symbol"), F.col("value").alias("price"), F.col("ts").cast("timestamp").alias("ts"))
+
+
+def market_tick_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
+    return market_ticks(_event_stream(spark, folder, files_per_trigger))
+
+
+def market_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as positions in those markets; half cents of size, so that small gains round to 0."""
+    return positions(spark, sf_dir).select(
+        "id", F.concat_ws("-", "symbol", (F.floor(F.col("id") / 5) % 50).cast("string")).alias("symbol"), (F.col("size") / 200).alias("size"), "entryPrice", "leverage", "side"
+    )
+
+
 def position_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as observations of one position per user: half sizes, so that exact cents ties occur."""
     return table(spark, sf_dir, "events").select(*_position_columns())

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from swaplens.operators.aggregate import summarize_windows
 from swaplens.operators.enrich import enrich_swaps
+from swaplens.streaming.seen import SeenIds
 
 
 def write_available(
@@ -30,16 +31,24 @@ def ingest_swaps(
     decimals: DataFrame | None = None,
     stables: DataFrame | None = None,
     missing: str = "skip",
+    seen_dir: str | None = None,
+    key: str = "id",
 ) -> StreamingQuery:
     """Enrich newly arrived swaps; files seen before are not read again.
 
     Prices are looked up afresh for every micro-batch. A batch writes its own folder ``batch=N`` and a
-    repeated batch overwrites it.
+    repeated batch overwrites it. With ``seen_dir``, a set of written ids that batches and runs share, a swap (by ``key``) is written once, however often it is
+    delivered; one that was skipped for want of a price gets its chance when it is delivered again.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        enriched = enrich_swaps(batch, prices, decimals, stables, missing)
-        enriched.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+        spark, place = batch.sparkSession, f"{out_dir}/batch={batch_id}"
+        seen = None if seen_dir is None else SeenIds(spark, seen_dir, checkpoint, key)
+        new = batch if seen is None else seen.new_only(batch, batch_id)
+        enriched = enrich_swaps(new, prices, decimals, stables, missing)
+        enriched.write.mode("overwrite").parquet(place)
+        if seen is not None:
+            seen.add(spark.read.schema(enriched.schema).parquet(place), batch_id)
 
     return (
         swaps.writeStream.foreachBatch(write_batch)

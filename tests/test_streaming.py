@@ -1,6 +1,5 @@
 from datetime import datetime, timedelta, timezone
 from functools import reduce
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +7,9 @@ from pyspark.sql import functions as F
 from swaplens.operators.aggregate import summarize
 from swaplens.operators.ordered import pnl_sign_flips, tick_direction
 from swaplens.schemas import SWAP_SCHEMA, TICK_SCHEMA
-from swaplens.streaming.market import live_sign_flips, live_ticks, newest_state, stream_feed_sessions
+from swaplens.operators.positions import position_flips
+from swaplens.streaming.market import live_position_flips, live_sign_flips, live_ticks, newest_state, stream_feed_sessions
+from swaplens.streaming.seen import SeenIds
 from swaplens.streaming.swaps import dedupe_stream, ingest_swaps, windowed_summary, write_available
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -43,6 +44,44 @@ def test_ingest_reads_only_new_files(spark, swaps, prices, places):
     assert got.select("batch").distinct().count() == 2
 
 
+def test_a_swap_is_written_once(spark, swaps, prices, places, tmp_path):
+    """Delivered twice in a batch, again in a later batch, again to a run of its own; a swap without a price waits for one."""
+    swaps = swaps.withColumn("id", F.col("txHash"))
+    stray = swaps.limit(1).withColumns({"id": F.lit("0x09"), "token0": F.lit("0xnone"), "blockNumber": F.lit(250_000).cast(swaps.schema["blockNumber"].dataType)})
+    seen = str(tmp_path / "seen")
+
+    def run(checkpoint, quotes):
+        stream = spark.readStream.schema(swaps.schema).option("maxFilesPerTrigger", 1).parquet(places["in"])
+        ingest_swaps(stream, quotes, f"{places['out']}/run={checkpoint}", str(tmp_path / checkpoint), seen_dir=seen).awaitTermination()
+        return sorted(r.id for r in spark.read.parquet(places["out"]).collect())
+
+    _add(swaps.where("blockNumber < 1002").unionByName(swaps.where("blockNumber < 1002")), places["in"])
+    _add(swaps.unionByName(stray), places["in"])
+    assert run("one", prices) == ["0x01", "0x02", "0x03"]
+    more = prices.unionByName(spark.createDataFrame([("0xnone", 3.0)], prices.schema))
+    assert run("two", more) == ["0x01", "0x02", "0x03", "0x09"]
+    assert run("three", more) == ["0x01", "0x02", "0x03", "0x09"]
+
+
+def test_a_repeated_batch_writes_what_it_wrote(spark, swaps, tmp_path):
+    swaps = swaps.withColumn("id", F.col("txHash"))
+    seen = SeenIds(spark, str(tmp_path / "seen"), "run")
+    assert seen.new_only(swaps, 0).count() == 3
+    seen.add(swaps, 0)
+    assert seen.new_only(swaps, 0).count() == 3 and seen.new_only(swaps, 1).count() == 0
+    assert SeenIds(spark, str(tmp_path / "seen"), "other").new_only(swaps, 0).count() == 0
+
+
+def test_ids_are_looked_up_in_their_own_folders(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("concat('0x', id) AS id", "id * 1000 AS blockNumber")
+    seen = SeenIds(spark, str(tmp_path / "seen"), "run")
+    seen.add(rows, 0)
+    batch = rows.where("blockNumber IN (5000, 2105000)").unionByName(rows.limit(1).selectExpr("CAST(NULL AS STRING) AS id", "blockNumber"))
+    files = seen.known(batch, 1).inputFiles()
+    assert 1 <= len(files) <= 4 and all("/range=0/" in f or "/range=21/" in f for f in files)
+    assert [r.id for r in seen.new_only(batch, 1).collect()] == [None]
+
+
 def _tick_stream(spark, places):
     return spark.readStream.schema(TICK_SCHEMA).option("maxFilesPerTrigger", 1).parquet(places["in"])
 
@@ -121,8 +160,8 @@ def test_untouched_state_is_not_rewritten(spark, places):
     run([(k, k, START, 1.0) for k in range(200)])
     for n in range(1, 5):
         run([(7, 1000 + n, START + timedelta(seconds=n), (-1.0) ** n), (7, -n, START - timedelta(seconds=n), 9.0)])
-    folders = {p.name: [b.name for b in p.iterdir() if b.is_dir()] for p in Path(places["state"], "rows").iterdir()}
-    assert [len(folders[f"batch={n}"]) for n in range(1, 5)] == [0, 0, 1, 1] and len(folders["batch=0"]) > 1
+    written = {r["batch"]: r["count"] for r in spark.read.parquet(f"{places['state']}/own").groupBy("batch").count().collect()}
+    assert written == {0: 200, 1: 1, 2: 1, 3: 1, 4: 1}
     assert newest_state(spark, places["state"], "id").count() == 200
     assert sorted(r.event_id for r in spark.read.parquet(places["out"]).collect()) == [1001, 1002, 1003, 1004]
     assert sorted(r.event_id for r in spark.read.parquet(places["out"] + "-late").collect()) == [-4, -3, -2, -1]
@@ -164,3 +203,65 @@ def test_tick_files_span_months(spark, tmp_path):
     folder = write_tick_files(spark, str(tmp_path))
     slices = [sorted(r.event_id for r in spark.read.parquet(f"{folder}/slice={n}").collect()) for n in range(6)]
     assert [i for part in slices for i in part] == list(range(9))
+
+
+def _market(spark, seed=3):
+    import random
+
+    rng = random.Random(seed)
+    ticks = [(k, rng.choice("AB"), rng.choice([0.0, 9.99, 10.0, 10.004, 11.0, 12.5, 50.0, -1.0, float("nan")]), k // 2) for k in range(150)]
+    held = [(k, rng.choice(["A", "A", "B", "C", None]), rng.choice([10.0, 10.0, 10.002, 12.0, 40.0, None, float("nan")]), rng.choice([0.0, 0.5, -2.0, 100.0]), rng.choice([0.0, 1.0, 5.0]), rng.choice(["long", "short", None])) for k in range(300)]
+    return _ticks(spark, ticks), spark.createDataFrame(held, "id long, symbol string, entryPrice double, size double, leverage double, side string")
+
+
+def _every_pair(ticks, positions):
+    """Flips by valuing every position at every tick of its symbol."""
+    from swaplens.operators.market import with_pnl
+
+    pairs = ticks.join(positions, "symbol")
+    valued = with_pnl(pairs).withColumn("pair", F.concat_ws("-", "id", "symbol")).withColumn("gain", F.col("pnl.absolute"))
+    return sorted((r.id, r.event_id, r.previousSign, r.sign) for r in pnl_sign_flips(valued, "gain", "pair").collect())
+
+
+@pytest.mark.parametrize("buckets", [2, 256])
+def test_steps_flip_the_positions_they_cross(spark, monkeypatch, buckets):
+    from swaplens.operators import positions as operator
+
+    monkeypatch.setattr(operator, "BUCKETS", buckets)
+    ticks, positions = _market(spark)
+    got = position_flips(ticks, positions)
+    expected = _every_pair(ticks, positions)
+    assert sorted((r.id, r.event_id, r.previousSign, r.sign) for r in got.collect()) == expected and len(expected) > 100
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("files", [1, 4, 20])
+def test_live_positions_however_the_stream_is_cut(spark, places, files):
+    ticks, positions = _market(spark)
+    for n in range(files):
+        _add(ticks.where((F.col("event_id") >= 150 * n // files) & (F.col("event_id") < 150 * (n + 1) // files)), places["in"])
+    # Half of it, then the rest after a restart with another number of files per trigger.
+    for each in (1, 3):
+        stream = spark.readStream.schema(TICK_SCHEMA).option("maxFilesPerTrigger", each).parquet(places["in"])
+        live_position_flips(stream, positions, places["out"], places["state"], places["checkpoint"]).awaitTermination()
+    got = sorted((r.id, r.event_id, r.previousSign, r.sign) for r in spark.read.parquet(places["out"]).collect())
+    assert got == _every_pair(ticks, positions)
+    assert sorted(r.symbol for r in newest_state(spark, places["state"]).collect()) == ["A", "B"]
+
+
+def test_state_is_whole_again_every_so_often(spark, tmp_path, monkeypatch):
+    from pyspark.sql import types as T
+
+    from swaplens.streaming import state
+
+    monkeypatch.setattr(state, "EVERY", 3)
+    log = state.StateLog(spark, str(tmp_path), "k", T._parse_datatype_string("k string, v long, _batch string"))
+    expected = {}
+    for n in range(8):
+        assert {r.k: r.v for r in log.before(n).collect()} == expected
+        own = {None if n == 4 else f"k{n % 3}": n, "hot": 10 * n}
+        log.put(spark.createDataFrame([(k, v, "x") for k, v in own.items()], "k string, v long, _batch string"), n)
+        expected |= own
+    assert sorted(p.name for p in (tmp_path / "whole").iterdir()) == ["batch=2", "batch=5"]
+    assert {r.k: r.v for r in state.newest_rows(spark, str(tmp_path), "k").collect()} == expected
