@@ -11,6 +11,7 @@ each with its own place. Other columns are not read. An empty table gives no fil
 from __future__ import annotations
 
 import os
+import re
 import struct
 import unicodedata
 import uuid
@@ -44,6 +45,17 @@ def _stays_letters(stem: str) -> bool:
     return stem.isalpha() and unicodedata.normalize("NFC", stem).lower().isalpha()
 
 
+_CLOSING = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
+
+
+def _parted(text: str | None) -> list[bytes]:
+    """The words of a text, in lower case unless an added token may stand in it, a full stop or comma that closes ASCII letters apart."""
+    if not text:
+        return []
+    raw = text.encode("utf-8", "replace")
+    return _CLOSING.sub(rb" \1", raw.lower() if b"<" not in raw else raw).split()
+
+
 class WordEncoder:
     """Ids of texts from the ids of their words.
 
@@ -112,7 +124,7 @@ class WordEncoder:
         """The ids of each text, the end id last."""
         if len(self.words) > CACHED_WORDS:
             self.words, self.older = {}, self.words
-        split = [t.encode("utf-8", "replace").split() if t else [] for t in texts]
+        split = [_parted(t) for t in texts]
         words, end = self.words, np.array([end_id], "<u4").tobytes()
         self._remember(set().union(*split).difference(words))
         return [np.frombuffer(b"".join([*map(words.__getitem__, ws), end]), "<u4") for ws in split]
@@ -221,6 +233,13 @@ def read_documents(path: str, doc_ids: Iterable[int]) -> dict[int, np.ndarray]:
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
+def encoder_of(path: str) -> WordEncoder:
+    """The worker's encoder of a tokenizer; it stays from task to task. (A function that travels by value takes copies of the globals it names; this one travels by name.)"""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
+
+
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2, frame_bytes: int = FRAME_BYTES) -> DataFrame:
     """Encode doc_id and text to one file per range of ids; returns the files: part, file, n_docs, n_ids.
 
@@ -238,7 +257,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, inner = pafs.FileSystem.from_uri(folder)
         system.create_dir(inner, recursive=True)
-        encoder = _ENCODERS.get(tokenizer_path) or _ENCODERS.setdefault(tokenizer_path, WordEncoder(tokenizer_path))
+        encoder = encoder_of(tokenizer_path)
         writer, part, n_ids = None, 0, 0
         temporary = f"{inner}/.{uuid.uuid4().hex}"
         for batch in batches:
