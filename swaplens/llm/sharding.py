@@ -8,7 +8,7 @@ random, and sizes are exact. Ranks are taken within blocks and within cells of a
 Documents are numbered and written once, and cross the network once: blocks are ranked on the keys alone, and the keys at the
 cuts tell every document its shard where it lies. It goes there with all its columns, is ranked, and is written to its shard's folder.
 
-Main path: DataFrame functions only. The matrix is drawn on the driver; it has a row per ``block_rows`` documents.
+Main path: DataFrame functions only. The matrix is drawn on the driver; it has a row per ``block_rows`` documents, and ``MOST_BLOCKS`` rows at most.
 
 Null texts stay null and have the keys, size and checksum of empty ones. Null ids and repeated rows are rows like others: the row's number within the
 read is part of its keys. An empty table gives no rows. Other columns go along as they are.
@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from swaplens.llm.common import as_they_are, chunks_for, fresh, text_or_empty
-from swaplens.plans.scale import run_dir, settle
+from swaplens.plans.scale import run_dir, small_side, stored
 
-BLOCK_ROWS = 8192
+BLOCK_ROWS, MOST_BLOCKS = 8192, 4096  # from 33 million rows on, blocks get longer, not more
 
 
 def communication_matrix(block_counts: list[int], shard_sizes: list[int], seed: int) -> list[list[int]]:
@@ -62,13 +62,15 @@ def write_shards(docs: DataFrame, folder: str, shards: int = 24, seed: int = 7,
     Slots are gapless from 0 in each shard; shards differ by one row at most. Where the documents have a column shard or slot, the new one
     gets underscores before its name.
     """
-    shard, slot, row, k0, k1, k2, block, cell, rank, cut, edges = fresh(docs, "shard", "slot", "row", "k0", "k1", "k2", "block", "cell", "rank", "cut", "edges")
+    shard, slot, row, k0, k1, k2, block, cell, rank, cut, edges, c_block, c_rank, o_shard, o_cell, o_before = fresh(
+        docs, "shard", "slot", "row", "k0", "k1", "k2", "block", "cell", "rank", "cut", "edges", "c_block", "c_rank", "o_shard", "o_cell", "o_before"
+    )
     columns, (_, crc) = as_they_are(docs), _digests()
     held = _stored(docs.withColumn(row, F.monotonically_increasing_id()), run_dir(docs.sparkSession, "rows"))
     keyed = held.withColumns({k: F.xxhash64(F.lit(f"{name}-{seed}"), "doc_id", crc, row) for name, k in (("k0", k0), ("k1", k1), ("k2", k2))})
-    base = settle(keyed.select(k0, k1, k2, row))
+    base = stored(keyed.select(k0, k1, k2, row), "keys")
     n = base.count()
-    blocks, cells = chunks_for(n, block_rows), chunks_for(n, block_rows * shards)
+    blocks, cells = min(chunks_for(n, block_rows), MOST_BLOCKS), chunks_for(n, block_rows * shards)
     placed = {block: _cell(F.col(k0), blocks), cell: _cell(F.col(k2), cells)}
     base = base.withColumns(placed)
     counts = dict(base.groupBy(block).count().collect())
@@ -77,28 +79,25 @@ def write_shards(docs: DataFrame, folder: str, shards: int = 24, seed: int = 7,
     cuts = docs.sparkSession.sql(
         "SELECT c_block, explode(cuts) AS c_rank FROM (SELECT posexplode(from_json(:m, 'array<array<bigint>>')) AS (c_block, cuts))",
         args={"m": json.dumps(np.cumsum(matrix, axis=1).tolist())},
-    )
+    ).toDF(c_block, c_rank)
     # The last keys that go to each shard, per block; shards before the first row have none.
     local = base.withColumn(rank, F.row_number().over(Window.partitionBy(block).orderBy(k1, row)))
-    last = cuts.join(local, (F.col("c_block") == F.col(block)) & (F.col("c_rank") == F.col(rank)), "left")
-    at = settle(last.groupBy("c_block").agg(F.collect_list(F.when(F.col(row).isNotNull(), F.struct(k1, row))).alias(edges), F.count(F.when(F.col("c_rank") == 0, 1)).alias(cut)))
+    last = cuts.join(local, (F.col(c_block) == F.col(block)) & (F.col(c_rank) == F.col(rank)), "left")
+    edge = F.when(F.col(row).isNotNull(), F.struct(k1, row))
+    at = stored(last.groupBy(c_block).agg(F.collect_list(edge).alias(edges), F.count(F.when(F.col(c_rank) == 0, 1)).alias(cut)), "cuts")
 
     def dealt(df: DataFrame) -> DataFrame:
         before = F.filter(edges, lambda e: e < F.struct(k1, row))
-        return df.join(F.broadcast(at), F.col(block) == F.col("c_block")).withColumn(shard, (F.col(cut) + F.size(before)).cast("int"))
+        # A row per block, with an edge per shard.
+        return df.join(F.broadcast(at), F.col(block) == F.col(c_block)).withColumn(shard, (F.col(cut) + F.size(before)).cast("int"))
 
     in_cell = dealt(base).groupBy(shard, cell).count()
-    offsets = settle(
-        in_cell.select(
-            F.col(shard).alias("o_shard"),
-            F.col(cell).alias("o_cell"),
-            (F.sum("count").over(Window.partitionBy(shard).orderBy(cell)) - F.col("count")).alias("o_before"),
-        )
-    )
+    before = F.sum("count").over(Window.partitionBy(shard).orderBy(cell)) - F.col("count")
+    offsets = small_side(stored(in_cell.select(F.col(shard).alias(o_shard), F.col(cell).alias(o_cell), before.alias(o_before)), "offsets"))
     sent = dealt(keyed.withColumns(placed)).select(*columns, row, k2, shard, cell)
     ranked = sent.withColumn(rank, F.row_number().over(Window.partitionBy(shard, cell).orderBy(k2, row)))
-    slotted = ranked.join(F.broadcast(offsets), (F.col(shard) == F.col("o_shard")) & (F.col(cell) == F.col("o_cell")))
-    out = slotted.select(*columns, F.col(shard), (F.col("o_before") + F.col(rank) - 1).cast("int").alias(slot))
+    slotted = ranked.join(offsets, (F.col(shard) == F.col(o_shard)) & (F.col(cell) == F.col(o_cell)))
+    out = slotted.select(*columns, F.col(shard), (F.col(o_before) + F.col(rank) - 1).cast("bigint").alias(slot))
     return _stored(out, folder, shard)
 
 

@@ -119,6 +119,39 @@ def test_shards_hold_the_documents(spark, tmp_path):
     assert sorted(map(tuple, digests), key=repr) == sorted(expected, key=repr)
 
 
+def test_shards_beside_columns_named_like_its_own(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "MOST_BLOCKS", 3)
+    names = ["row", "k0", "k1", "k2", "block", "cell", "rank", "cut", "edges", "c_block", "c_rank", "o_shard", "o_cell", "o_before", "count", "slot", "_slot"]
+    df = documents(spark, [(k, f"t{k}") for k in range(500)], clash=False).withColumns({c: F.lit(c) for c in names})
+    got = sharding.write_shards(df, str(tmp_path / "out"), shards=5, block_rows=16)
+    assert got.columns == [*df.columns, "shard", "__slot"] and got.schema["__slot"].dataType.simpleString() == "bigint"
+    assert sorted((r.shard, r["__slot"]) for r in got.collect()) == [(s, k) for s in range(5) for k in range(100)]
+    assert got.where(" OR ".join(f"`{c}` <> '{c}'" for c in names)).count() == 0 and got.select("doc_id", "text").distinct().count() == 500
+
+
+CONTRACT = {
+    "op1": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
+    "op2": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    "op3": "doc_id bigint, n_shingles bigint, component_id bigint",
+    "op4": "page_id bigint, url string, text string, n_chars bigint",
+    "op5": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
+    "op7": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op8": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+    "op9": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
+    "op10": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op11": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint",
+    "op12": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op13": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+}
+
+
+@pytest.mark.parametrize("op", list(CONTRACT))
+def test_contract_columns(spark, op):
+    (name,) = [q for q in QUERIES if q.startswith(f"{op}_")]
+    got = {f.name: f.dataType.simpleString() for f in QUERIES[name](spark, SF).schema}
+    assert {c.split()[0]: c.split()[1] for c in CONTRACT[op].split(", ")}.items() <= got.items()
+
+
 def test_shards_are_uniform(spark):
     got = sharding.shard_rows(documents(spark, [(k, str(k)) for k in range(4800)]), shards=4, block_rows=256).collect()
     for part in range(4):  # a quarter of the ids is spread over all shards and slots
