@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from swaplens.operators.aggregate import mean_std
 from swaplens.plans.names import fresh
 from swaplens.plans.ordered import previous_row, trailing_sums
-from swaplens.plans.scale import settle, small_side
+from swaplens.plans.scale import small_side, stored
 
 SECOND = 1_000_000
 MINUTE = 60 * SECOND
@@ -174,24 +174,18 @@ def feed_sessions(ticks: DataFrame, seconds: int = 60, ts: str = "ts") -> DataFr
     """Spans in which ticks follow each other within less than ``seconds``: symbol, start, end, ticks.
 
     The session ends ``seconds`` after its last tick, as ``session_window`` has it. A cell belongs to the last one before it, or itself, that
-    opens a session: within a chunk of cells by a window, before the chunk by a list of one entry per chunk.
+    opens a session: within a chunk of cells by a window, before the chunk by the running maximum over the chunks, one row each.
     """
-    cells = previous_row(_feed_cells(ticks, seconds, ts), ["symbol"], ["_cell"], F.col("_to"), "_earlier")
+    cells = previous_row(_feed_cells(ticks, seconds, ts), ["symbol"], ["_cell"], F.col("_to"), "_earlier", "_part")
     opens = F.coalesce(F.unix_micros("_from") - F.unix_micros("_earlier") >= seconds * SECOND, F.lit(True))
-    chunked = settle(
-        cells.withColumn("_opened", F.when(opens, F.col("_cell")))
-        .repartitionByRange("symbol", "_cell")
-        .withColumn("_chunk", F.spark_partition_id())
-    )
-    upto = Window.partitionBy("symbol", "_chunk").orderBy("_cell")
-    last = chunked.groupBy("symbol", "_chunk").agg(F.max("_opened").alias("_last"))
-    lists = last.groupBy(F.col("symbol").alias("_symbol")).agg(F.collect_list(F.struct("_chunk", "_last")).alias("_lasts"))
-    earlier = F.array_max(F.transform(F.filter("_lasts", lambda x: x["_chunk"] < F.col("_chunk")), lambda x: x["_last"]))
-    numbered = (
-        chunked.withColumn("_mine", F.max("_opened").over(upto))
-        .join(small_side(lists, derived=True), F.col("symbol").eqNullSafe(F.col("_symbol")))
-        .withColumn("_session", F.coalesce("_mine", earlier))
-    )
+    # Written once, so that both uses see the same chunks.
+    chunked = stored(cells.withColumn("_opened", F.when(opens, F.col("_cell"))), "sessions")
+    upto = Window.partitionBy("symbol", "_part").orderBy("_cell")
+    earlier = Window.partitionBy("symbol").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    last = chunked.groupBy("symbol", "_part").agg(F.max("_opened").alias("_last"))
+    carried = last.select(F.col("symbol").alias("_symbol"), F.col("_part").alias("_of"), F.max("_last").over(earlier).alias("_carried"))
+    same = F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("_part") == F.col("_of"))
+    numbered = chunked.withColumn("_mine", F.max("_opened").over(upto)).join(carried, same).withColumn("_session", F.coalesce("_mine", "_carried"))
     return (
         numbered.groupBy("symbol", "_session")
         .agg(

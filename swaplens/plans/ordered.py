@@ -24,8 +24,8 @@ def orderable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if not isinstance(f.dataType, kinds)]
 
 
-def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
-    """Add ``name``: ``value`` of the preceding row of the same key, NULL on the first.
+def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, chunk_name: str | None = None) -> DataFrame:
+    """Add ``name``: ``value`` of the preceding row of the same key, NULL on the first; and ``chunk_name``, the row's chunk, if asked for.
 
     ``order`` must be total within a key. Range partitioning on (keys, order) samples the data and cuts a hot key
     or a hot moment into as many chunks as it needs. Only the first and last row of each chunk meet again in
@@ -44,7 +44,9 @@ def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     on_seam = F.col(first) | F.col(last)
     seams = Window.partitionBy(*keys, F.when(on_seam, F.lit(-1)).otherwise(F.col(chunk))).orderBy(*order)
     closed = marked.withColumn(across, F.lag(held).over(seams))
-    return closed.withColumn(name, F.when(F.col(first), F.col(across)).otherwise(F.col(before))).drop(chunk, held, before, first, last, across)
+    return closed.withColumn(name, F.when(F.col(first), F.col(across)).otherwise(F.col(before))).drop(
+        held, before, first, last, across, *([] if chunk_name else [chunk])
+    ).withColumnsRenamed({chunk: chunk_name} if chunk_name else {})
 
 
 def trailing_sums(
