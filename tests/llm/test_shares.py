@@ -168,7 +168,7 @@ def test_equals_oracle(spark, name):
 
 def test_registered():
     numbers = {int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == set(range(1, 14)) and "pipeline" in QUERIES
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
@@ -184,3 +184,60 @@ def test_pipeline(spark):
             assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() == expected.count()
         expected = out
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_pipeline_rows_are_those_of_brute_force(spark):
+    """Every stage on what its predecessor kept: all pairs for the join, SQL for the leaks, resharing for the mix, the library for the ids."""
+    import duckdb
+    import numpy as np
+    from test_pairs import classes_of, shingles
+
+    from swaplens.llm import decontamination, token_output, toxicity
+    from swaplens.llm.common import tokenizer_path
+
+    sf = "/root/testdata/sf0.01"
+    docs = table(spark, sf, "documents")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def kept(stage, before):
+        out = stages[stage](spark, before, sf)
+        out.write.parquet(path := corpus_pipeline.run_dir(spark, f"test-{stage}"))
+        out = spark.read.parquet(path)
+        return out, sorted(map(tuple, out.collect()), key=str)
+
+    toxic = {r.doc_id for r in toxicity.tag_documents(docs, toxicity.learn(docs, table(spark, sf, "labels"))).collect() if r.score >= 0.5}
+    clean, rows = kept("toxicity", docs)
+    assert toxic and rows == sorted((tuple(r) for r in docs.collect() if r.doc_id not in toxic), key=str)
+
+    sets = {r[0]: shingles(r[1], 5) for r in rows}
+    linked = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    comp = classes_of(sets, linked)
+    expected = [r for r in rows if comp[r[0]] == r[0]]
+    single, rows = kept("ngram_join", clean)
+    assert linked and rows == expected
+
+    con = duckdb.connect()
+    con.register("documents", single.toArrow())
+    con.sql(f"CREATE VIEW benchmark AS SELECT * FROM '{sf}/benchmark.parquet'")
+    leaks = {r[0] for r in con.sql(f"SELECT DISTINCT doc_id FROM ({decontamination.ORACLE})").fetchall()}
+    expected = [r for r in rows if r[0] not in leaks]
+    apart, rows = kept("decontamination", single)
+    assert leaks and rows == expected
+
+    sizes = {}
+    for r in rows:
+        sizes[r[3]] = sizes.get(r[3], 0) + len(words(r[1]))
+    target, longest = reshared(sizes), {s: max(len(words(r[1])) for r in rows if r[3] == s) for s in sizes}
+    before, (mixed, rows) = {r[0]: r for r in rows}, kept("mixing", apart)
+    copies = {i: [r for r in rows if r[0] == i] for i in before}
+    assert all(len(same) <= 2 and all(r == before[i] for r in same) for i, same in copies.items()) and sum(map(len, copies.values())) == len(rows)
+    for source in sizes:
+        assert abs(sum(len(words(r[1])) for r in rows if r[3] == source) - target[source]) <= longest[source] / 2 + 1e-6
+
+    library = token_output.WordEncoder(tokenizer_path()).tokenizer
+    at, expected = 0, []
+    for r in sorted(rows, key=lambda r: r[0]):
+        ids = library.encode(r[1] or "", add_special_tokens=False).ids + [2]
+        expected.append((r[0], at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert kept("token_output", mixed)[1] == sorted(expected, key=str)
