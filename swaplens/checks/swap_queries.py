@@ -12,7 +12,7 @@ from swaplens.functions.rounding import round_scaled
 from swaplens.operators import aggregate, clean, enrich
 from swaplens.plans.scale import run_dir
 from swaplens.sources import adapters as A
-from swaplens.sources import files, prices, state, swaps
+from swaplens.sources import files, layout, prices, state, swaps
 
 SWAP_COLUMNS = ["txHash", "blockNumber", "timestamp", "token0", "token1", "amount0", "amount1", "sqrtPriceX96"]
 YEAR = 365 * 24 * 60
@@ -213,6 +213,31 @@ def block_range(spark, d):
     return swaps.block_range(A.swap_rows(spark, d).select(*BLOCK_COLUMNS), 100, 900)
 
 
+@query(
+    "blocks_from_ranges",
+    f"WITH {S.SWAP_ROWS} SELECT id, blockNumber, timestamp FROM swap_rows WHERE blockNumber BETWEEN 100 AND 900",
+)
+def blocks_from_ranges(spark, d):
+    """The same from a table laid out by ranges of 250 blocks, after a second run wrote some of them again."""
+    rows, path = A.swap_rows(spark, d).select(*BLOCK_COLUMNS), run_dir(spark, "blocks")
+    layout.write_by_block(rows, path, 250)
+    layout.write_by_block(rows.where("blockNumber BETWEEN 500 AND 999"), path, 250)
+    return layout.read_by_block(spark, path, rows.schema, 100, 900, 250)
+
+
+@query(
+    "deep_page",
+    """SELECT l_orderkey AS k, l_linenumber AS line, l_partkey AS part, l_suppkey AS supplier, l_extendedprice AS price FROM lineitem
+    ORDER BY ALL LIMIT 200 OFFSET (SELECT CAST(0.8 * count(*) AS BIGINT) FROM lineitem)""",
+)
+def deep_page(spark, d):
+    """A page after four fifths of the rows, from the ranges that it lies in."""
+    order, path = ["k", "line", "part", "supplier", "price"], run_dir(spark, "ranked")
+    rows = A.table(spark, d, "lineitem").selectExpr("l_orderkey AS k", "l_linenumber AS line", "l_partkey AS part", "l_suppkey AS supplier", "l_extendedprice AS price")
+    layout.write_ranked(rows, order, path)
+    return layout.page_ranked(spark, path, rows.schema, order, 200, int(0.8 * rows.count()))
+
+
 @query("latest_block", "SELECT coalesce(max(l_orderkey), 0) AS latest_block FROM lineitem")
 def latest_block(spark, d):
     return state.latest_block(A.swap_rows(spark, d))
@@ -601,3 +626,17 @@ def top_traders(spark, d):
 def mean_std(spark, d):
     stats = aggregate.mean_std(A.table(spark, d, "lineitem"), "l_extendedprice")
     return stats.select(round_scaled(F.col("mean"), 4).alias("mean"), round_scaled(F.col("std"), 4).alias("std"))
+
+
+@query(
+    "merged_mean_std",
+    f"""SELECT {S.scaled('avg(l_extendedprice)', 4)} AS mean, {S.scaled('stddev_samp(l_extendedprice)', 4)} AS std
+    FROM lineitem""",
+)
+def merged_mean_std(spark, d):
+    """The same from what seven runs kept, one per line number."""
+    rows, path = A.table(spark, d, "lineitem"), run_dir(spark, "moments")
+    for line in range(1, 8):
+        aggregate.moments(rows.where(F.col("l_linenumber") == line), "l_extendedprice").write.mode("append").parquet(path)
+    stats = aggregate.merged_mean_std(spark.read.parquet(path))
+    return stats.select(round_scaled(F.col("mean"), 4).alias("mean"), round_scaled(F.col("std"), 4).alias("std"))

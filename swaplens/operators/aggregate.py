@@ -91,3 +91,22 @@ def top_traders(enriched: DataFrame, n: int, trader: str = "trader") -> DataFram
 def mean_std(df: DataFrame, column: str) -> DataFrame:
     """One row: mean and sample standard deviation."""
     return df.agg(F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"))
+
+
+def moments(df: DataFrame, column: str) -> DataFrame:
+    """One row that can be kept and merged: n, mean, and m2, the sum of squared deviations. A run keeps that of its own rows."""
+    return df.agg(
+        F.count(column).alias("n"), F.avg(column).alias("mean"), (F.var_pop(column) * F.count(column)).alias("m2")
+    ).select("n", F.coalesce("mean", F.lit(0.0)).cast("double").alias("mean"), F.coalesce("m2", F.lit(0.0)).alias("m2"))
+
+
+def merged_mean_std(kept: DataFrame) -> DataFrame:
+    """``mean_std`` over the rows of all runs, from their ``moments`` alone.
+
+    The squared deviations of a run around the common mean are its own and n times the square of the distance of the means, so nothing large is subtracted.
+    """
+    total = kept.agg(F.struct(F.sum("n").alias("n"), F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("mean")).alias("t"))
+    common = total.select("t").scalar()
+    spread = F.sum(F.col("m2") + F.col("n") * (F.col("mean") - F.col("t.mean")) ** 2)
+    merged = kept.withColumn("t", common).agg(F.first("t").alias("t"), spread.alias("m2"))
+    return merged.select(F.col("t.mean").alias("mean"), F.when(F.col("t.n") > 1, F.sqrt(F.col("m2") / (F.col("t.n") - 1))).alias("std"))
