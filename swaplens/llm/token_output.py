@@ -99,10 +99,14 @@ class WordEncoder:
     def _remember(self, new: set[bytes]) -> None:
         words, older = self.words, self.older
         parts: dict[bytes, tuple[bytes, bytes]] = {}
+        stems: set[bytes] = set()
         for word in new:
             if (known := older.get(word)) is not None:
                 words[word] = known
                 continue
+            if word.isalpha() or (not word.isascii() and _stays_letters(word.decode("utf-8", "replace"))):
+                stems.add(word)
+                continue
             stem = word.rstrip(b".,")
             if stem.isalpha():
                 parts[word] = (stem.lower(), word[len(stem) :])
@@ -110,8 +114,9 @@ class WordEncoder:
                 parts[word] = (stem, word[len(stem) :])
             else:
                 parts[word] = (b"", word)
-        for kind, encode in ((0, self._together), (1, self._one_by_one)):
-            unknown = list({pair[kind] for pair in parts.values()}.difference(words, older, (b"",)))
+        stems.update(stem for stem, _ in parts.values())
+        for some_parts, encode in ((stems, self._together), ({tail for _, tail in parts.values()}, self._one_by_one)):
+            unknown = [x for x in some_parts if x and x not in words and x not in older]
             for k in range(0, len(unknown), 16384):
                 some = unknown[k : k + 16384]
                 words.update(zip(some, encode(some)))
