@@ -376,8 +376,8 @@ def as_volumes(ticks: DataFrame) -> DataFrame:
     return ticks.select("event_id", "ts", F.col("symbol").alias("pair"), F.col("price").cast("decimal(18,2)").alias("usdVolume"))
 
 
-def write_tick_files(spark, d, slices: int = 6) -> str:
-    """events as files in time order, each an equal part of the time they span, for streams that take one file per batch.
+def write_tick_files(spark, d, slices: int = 6, backwards: bool = False) -> str:
+    """events as files in time order, or the latest first, each an equal part of the time they span, for streams that take one file per batch.
 
     One pass deals the events out by slice; each slice is then written in its turn, as streams take files by age.
     """
@@ -389,6 +389,6 @@ def write_tick_files(spark, d, slices: int = 6) -> str:
     dealt = f"{folder}-dealt"
     events.withColumn("slice", F.floor((at - F.lit(first or 0)) / F.lit(width)).cast("int")).repartition("slice").write.partitionBy("slice").parquet(dealt)
     parts = spark.read.schema(f"{events.schema.toDDL()}, slice INT").parquet(dealt)
-    for n in range(slices):
+    for n in range(slices)[:: -1 if backwards else 1]:
         files.write(parts.where(F.col("slice") == n).drop("slice").repartition(1), f"{folder}/slice={n}", "parquet")
     return folder

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,16 +41,34 @@ def summarize_windows(enriched: DataFrame, ts: str = "ts", size: str = "60 minut
     )
 
 
+def window_sums(enriched: DataFrame, ts: str = "ts", size: str = "60 minutes") -> DataFrame:
+    """What ``summarize_windows`` is made from: per tumbling window and pair the count and, in the type of a sum of ``usdVolume``, the total; rows of several tables can be merged."""
+    sums = enriched.groupBy(F.window(ts, size).alias("window"), "pair").agg(F.count("usdVolume").alias("count"), F.sum("usdVolume").alias("total"))
+    return sums.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "pair", "count", "total")
+
+
+def merged_window_sums(sums: DataFrame, *kept: Column) -> DataFrame:
+    """The windows of ``summarize_windows`` over all rows that went into the ``window_sums``, and aggregates to keep beside them."""
+    by = ["window_start", "window_end", "pair"]
+    merged = sums.groupBy(*by).agg(F.sum("count").alias("count"), F.coalesce(F.sum("total").cast("double"), F.lit(0.0)).alias("_total"), *kept)
+    return _rounded(merged, *by, kept=merged.columns[5:])
+
+
 def _pair_totals(enriched: DataFrame, *by: str) -> DataFrame:
     sums = enriched.groupBy(*by).agg(
         F.count("usdVolume").alias("count"),
         F.coalesce(F.sum("usdVolume").cast("double"), F.lit(0.0)).alias("_total"),
     )
+    return _rounded(sums, *by)
+
+
+def _rounded(sums: DataFrame, *by: str, kept: Sequence[str] = ()) -> DataFrame:
     return sums.select(
         *by,
         "count",
         round_scaled(F.col("_total"), 2).alias("totalUSD"),
         round_scaled(F.try_divide(F.col("_total"), F.col("count")), 2).alias("avgUSD"),
+        *kept,
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from swaplens.operators.aggregate import mean_std
 from swaplens.plans.names import fresh
-from swaplens.plans.ordered import previous_row, trailing_sums
+from swaplens.plans.ordered import previous_row, running_max, trailing_sums
 from swaplens.plans.scale import small_side, stored
 
 SECOND = 1_000_000
@@ -195,3 +195,23 @@ def feed_sessions(ticks: DataFrame, seconds: int = 60, ts: str = "ts") -> DataFr
         )
         .drop("_session")
     )
+
+
+def merged_sessions(parts: DataFrame) -> DataFrame:
+    """The ``feed_sessions`` of all ticks from those of any tables the ticks were dealt into: sessions that overlap are one.
+
+    A session ends ``seconds`` after its last tick, so one that starts before another's end has a tick within ``seconds`` of it. It belongs to the last start
+    that no earlier session reaches. Starts are range-cut, so no task holds a symbol's history.
+    """
+    rows = parts.groupBy("symbol", "session_start").agg(F.max("session_end").alias("session_end"), F.sum("ticks").alias("ticks"))
+    # Written once, so that all uses see the same chunks.
+    chunked = stored(rows.repartitionByRange("symbol", "session_start").withColumn("_part", F.spark_partition_id()), "parts")
+    reached = running_max(chunked, ["symbol"], "_part", ["session_start"], F.col("session_end"), "_reach", before=True)
+    opens = F.coalesce(F.col("session_start") >= F.col("_reach"), F.lit(True))
+    opened = F.when(opens, F.col("session_start"))
+    numbered = running_max(reached, ["symbol"], "_part", ["session_start"], opened, "_session")
+    return (
+        numbered.groupBy("symbol", "_session")
+        .agg(F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"), F.sum("ticks").alias("ticks"))
+        .drop("_session")
+    )

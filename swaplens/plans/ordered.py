@@ -49,6 +49,25 @@ def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     ).withColumnsRenamed({chunk: chunk_name} if chunk_name else {})
 
 
+def running_max(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str], value: Column, name: str, before: bool = False) -> DataFrame:
+    """Add ``name``: the greatest ``value`` of the same key up to the row, or only of the rows ``before`` it, for a table that is written in chunks of (keys, order).
+
+    Within a chunk by a window, before the chunk by the running maximum over the chunks, one row per chunk and key.
+    """
+    held, upto, top, carried, of = fresh(df, "_value", "_upto", "_top", "_carried", "_of", also=[name])
+    own = [f"{of}{n}" for n in range(len(keys))]
+    valued = df.withColumn(held, value)
+    chunks = valued.groupBy(*keys, chunk).agg(F.max(held).alias(top))
+    earlier = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    sides = chunks.select(*[F.col(k).alias(o) for k, o in zip(keys, own)], F.col(chunk).alias(of), F.max(top).over(earlier).alias(carried))
+    inside = Window.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
+    same = F.col(chunk) == F.col(of)
+    for k, o in zip(keys, own):
+        same = same & F.col(k).eqNullSafe(F.col(o))
+    joined = valued.withColumn(upto, F.max(held).over(inside)).join(sides, same)
+    return joined.withColumn(name, F.greatest(upto, carried)).drop(held, upto, carried, of, *own)
+
+
 def trailing_sums(
     df: DataFrame,
     keys: Sequence[str],

@@ -1,0 +1,121 @@
+"""Windows and sessions with rows behind every watermark."""
+
+import random
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from swaplens.operators.aggregate import summarize_windows
+from swaplens.operators.ordered import feed_sessions, merged_sessions
+from swaplens.streaming.merged import live_feed_sessions, live_windowed_summary, newest_windows, sessions_so_far
+
+START = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+def _rows(spark, n=400, seed=3):
+    rng = random.Random(seed)
+    rows = []
+    for k in range(n):
+        at = None if rng.random() < 0.03 else START + timedelta(seconds=rng.randrange(4 * 86_400), microseconds=rng.randrange(10**6))
+        rows.append((k, rng.choice(["A", "A", "A", "B", None]), at, rng.choice([None, round(rng.random() * 90, 2)])))
+    return spark.createDataFrame(rows, "event_id long, symbol string, ts timestamp, price double").withColumn("pair", F.col("symbol")).withColumn(
+        "usdVolume", F.col("price").cast("decimal(18,2)")
+    )
+
+
+def _deal(rows, folder, files):
+    for n in range(files):
+        rows.where(F.col("event_id") % files == n).coalesce(1).write.mode("append").parquet(folder)
+
+
+def _text(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("each", [1, 2, 9])
+def test_windows_count_late_rows(spark, tmp_path, each):
+    rows, places = _rows(spark), {name: str(tmp_path / name) for name in ("in", "out", "state", "checkpoint")}
+    _deal(rows, places["in"], 5)
+    for more in (0, 1):  # a restart, with rows that come after it
+        if more:
+            _deal(_rows(spark, 60, 4), places["in"], 1)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", each).parquet(places["in"])
+        live_windowed_summary(stream, places["out"], places["state"], places["checkpoint"]).awaitTermination()
+    everything = spark.read.parquet(places["in"])
+    expected = summarize_windows(everything)
+    got = newest_windows(spark, places["out"])
+    assert got.columns == expected.columns and _text(got) == _text(expected)
+    untimed = spark.read.parquet(places["out"] + "-untimed").count()
+    counted = spark.read.parquet(places["state"]).agg(F.sum("count")).first()[0]
+    assert untimed == everything.where("ts IS NULL").count() > 0
+    assert counted + everything.where("ts IS NOT NULL AND usdVolume IS NULL").count() + untimed == everything.count()
+    written = spark.read.parquet(places["out"])
+    again = written.groupBy("window_start", "pair").agg(F.count_if(~F.col("corrected")).alias("first"), F.count("*").alias("all"))
+    assert again.where("first <> 1").count() == 0 and again.where("all > 1").count() > 0
+
+
+def test_a_repeated_batch_replaces_its_own_sums(spark, tmp_path, monkeypatch):
+    """The batch dies after its sums are written; the restart writes them again, not beside them."""
+    from swaplens.streaming import merged
+
+    rows, places = _rows(spark), {name: str(tmp_path / name) for name in ("in", "out", "state", "checkpoint")}
+    _deal(rows, places["in"], 3)
+
+    def run():
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(places["in"])
+        live_windowed_summary(stream, places["out"], places["state"], places["checkpoint"]).awaitTermination()
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(merged, "merged_window_sums", dies)
+        with pytest.raises(Exception, match="lost"):
+            run()
+    assert spark.read.parquet(places["state"]).count() > 0
+    run()
+    assert _text(newest_windows(spark, places["out"])) == _text(summarize_windows(rows))
+
+
+def test_a_batch_reads_the_spans_of_its_windows(spark, tmp_path, monkeypatch):
+    from swaplens.streaming import merged
+
+    rows, places = _rows(spark).where("ts IS NOT NULL"), {name: str(tmp_path / name) for name in ("in", "out", "state", "checkpoint")}
+    read, whole = [], merged.merged_window_sums
+
+    def seen(parts, *kept):
+        read.append(parts.inputFiles())
+        return whole(parts, *kept)
+
+    monkeypatch.setattr(merged, "merged_window_sums", seen)
+    rows.coalesce(1).write.mode("append").parquet(places["in"])
+    rows.where(F.to_date("ts") == "2024-01-02").coalesce(1).write.mode("append").parquet(places["in"])
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(places["in"])
+    live_windowed_summary(stream, places["out"], places["state"], places["checkpoint"]).awaitTermination()
+    assert {f.split("span=")[1].split("/")[0] for f in read[0]} == {str(19723 + n) for n in range(4)}
+    assert {f.split("span=")[1].split("/")[0] for f in read[1]} == {"19724"}
+
+
+@pytest.mark.parametrize("each", [1, 5])
+def test_sessions_count_late_ticks(spark, tmp_path, each):
+    rows, places = _rows(spark), {name: str(tmp_path / name) for name in ("in", "state", "checkpoint")}
+    _deal(rows, places["in"], 5)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", each).parquet(places["in"])
+    live_feed_sessions(stream, places["state"], places["checkpoint"], 1200).awaitTermination()
+    expected = feed_sessions(rows.where("ts IS NOT NULL"), 1200)
+    got = sessions_so_far(spark, places["state"])
+    assert got.columns == expected.columns and _text(got) == _text(expected)
+    total = got.agg(F.sum("ticks")).first()[0]
+    assert total + spark.read.parquet(places["state"] + "-untimed").count() == rows.count()
+
+
+def test_sessions_within_sessions(spark):
+    """One long session over several chunks that holds many short ones; touching ends stay apart."""
+    rows = [("A", 0, 1000, 50), *[("A", 10 * k, 10 * k + 5, 2) for k in range(1, 60)], ("A", 1000, 1010, 3), ("A", 1005, 1020, 4), (None, 1, 2, 1)]
+    parts = spark.createDataFrame(rows, "symbol string, a long, b long, ticks long").select(
+        "symbol", F.timestamp_seconds("a").alias("session_start"), F.timestamp_seconds("b").alias("session_end"), "ticks"
+    )
+    got = merged_sessions(parts).select("symbol", F.unix_seconds("session_start"), F.unix_seconds("session_end"), "ticks")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("A", 0, 1000, 50 + 118), ("A", 1000, 1020, 7), (None, 1, 2, 1)], key=str)
+    assert merged_sessions(parts.limit(0)).collect() == []
