@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from swaplens.functions.rounding import round_scaled
 from swaplens.operators import aggregate, clean, enrich
 from swaplens.plans.scale import run_dir
 from swaplens.sources import adapters as A
-from swaplens.sources import files, layout, prices, state, swaps
+from swaplens.sources import files, layout, parts, prices, search, state, swaps
 
 SWAP_COLUMNS = ["txHash", "blockNumber", "timestamp", "token0", "token1", "amount0", "amount1", "sqrtPriceX96"]
 YEAR = 365 * 24 * 60
@@ -178,6 +180,34 @@ def write_if_changed(spark, d):
     )
 
 
+@query(
+    "changed_parts",
+    """WITH years AS (SELECT year(o_orderdate) AS y, count(*) AS n FROM orders GROUP BY 1)
+       SELECT CAST(count(*) AS BIGINT) AS first_written, CAST(0 AS BIGINT) AS same_written, CAST(1 AS BIGINT) AS changed_written, count(*) - 1 AS changed_kept,
+              CAST(sum(n) AS BIGINT) AS rows, (SELECT count(*) FROM orders WHERE year(o_orderdate) = 1996) AS rows_of_year,
+              (SELECT sum(o_custkey + CASE WHEN year(o_orderdate) = 1996 THEN 1 ELSE 0 END)::BIGINT FROM orders) AS key_sum FROM years""",
+)
+def changed_parts(spark, d):
+    """Orders by year, written, written again in another order, and again with one year changed."""
+    orders = A.table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
+    path = run_dir(spark, "parts")
+    first = parts.write_changed_parts(orders, path, "year")
+    same = parts.write_changed_parts(orders.repartition(4), path, "year")
+    changed = parts.write_changed_parts(
+        orders.withColumn("o_custkey", F.col("o_custkey") + F.when(F.col("year") == 1996, 1).otherwise(0).cast(orders.schema["o_custkey"].dataType)), path, "year"
+    )
+    stands = parts.read_parts(spark, path, orders.schema, "year")
+    return stands.agg(
+        F.lit(first["written"]).cast("bigint").alias("first_written"),
+        F.lit(same["written"]).cast("bigint").alias("same_written"),
+        F.lit(changed["written"]).cast("bigint").alias("changed_written"),
+        F.lit(changed["kept"]).cast("bigint").alias("changed_kept"),
+        F.count("*").alias("rows"),
+        F.lit(parts.read_parts(spark, path, orders.schema, "year", [1996]).count()).cast("bigint").alias("rows_of_year"),
+        F.sum("o_custkey").cast("bigint").alias("key_sum"),
+    )
+
+
 @query(
     "state_log",
     """SELECT max(l_orderkey) AS last_processed_block, count(*) AS rows_after,
@@ -298,6 +328,26 @@ def search_tokens(spark, d):
     return prices.search_tokens(tokens, " RING ")
 
 
+SEARCHES = (" RING ", "b", "#1", "d#2", "no such token", "")
+
+
+@query(
+    "search_index",
+    " UNION ALL ".join(
+        f"""SELECT '{text}' AS query, p_partkey, p_name AS name, p_brand AS symbol FROM part
+       WHERE contains(lower(p_name), '{text.strip().lower()}') OR contains(lower(p_brand), '{text.strip().lower()}')"""
+        for text in SEARCHES
+    ),
+)
+def search_index(spark, d):
+    """Several searches by the letter index, texts under three letters among them."""
+    tokens = A.table(spark, d, "part").select("p_partkey", F.col("p_name").alias("name"), F.col("p_brand").alias("symbol"))
+    path = run_dir(spark, "letters")
+    search.write_token_index(tokens, path)
+    found = [search.search_index(spark, path, tokens.schema, text).select(F.lit(text).alias("query"), "*") for text in SEARCHES]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(
     "token_info",
     """SELECT l_orderkey, l_partkey AS token_id, p_name AS name, p_brand AS symbol, p_size AS size
