@@ -4,7 +4,7 @@ A byte goes if a string of ``LENGTH`` bytes that covers it starts earlier as wel
 
 * Anchors: of the grams of ``GRAM`` bytes in a window of ``LENGTH`` bytes, those with the least hash. Equal windows have equal anchors at equal places, so
   suffixes are only compared where they start at the same anchor, and the suffix array holds one suffix in about 35.
-* An anchor's context is all of its document that a window around it can reach. Chunks send the hashes of their distinct contexts, packed by anchor; where the same context
+* An anchor's context is all of its document that a window around it can reach. Chunks send the 128-bit hashes of their distinct contexts, packed by anchor; where the same context
   occurs earlier, all of it goes. What is left are contexts that share their anchor with a different one: the borders of repeats.
 * Those meet by anchor. Suffixes at the anchors are sorted, and neighbours' common prefixes are scanned with a stack, which gives the interval tree: each interval is
   a right extension with all its occurrences. In each, occurrences are sorted by what stands to their left, and the same scan tells the groups whose
@@ -89,6 +89,11 @@ def anchors(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
+def _new(sorted_keys: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before."""
+    return np.concatenate([np.ones(min(1, len(sorted_keys)), bool), (sorted_keys[1:] != sorted_keys[:-1]).any(1)])
+
+
 class Chunk:
     """The documents of a chunk in order, with their anchors and the first of each distinct context."""
 
@@ -103,11 +108,12 @@ class Chunk:
         self.gram = np.concatenate([np.empty(0, "u8"), *[h for _, h in found]])
         length = np.array([len(t) for t in self.texts], "i8")[self.doc]
         self.low, self.high = np.maximum(0, self.at - REACH), np.minimum(length, self.at + LENGTH)
-        digest, texts = xxhash.xxh3_64_intdigest, self.texts
-        self.context = np.fromiter(
-            (digest(texts[d][i:j], p - i) for d, p, i, j in zip(self.doc.tolist(), self.at.tolist(), self.low.tolist(), self.high.tolist())), "u8", len(self.at)
-        )
-        _, first = np.unique(self.context, return_index=True)
+        digest, texts = xxhash.xxh3_128_digest, self.texts
+        self.context = np.frombuffer(
+            b"".join([digest(texts[d][i:j], p - i) for d, p, i, j in zip(self.doc.tolist(), self.at.tolist(), self.low.tolist(), self.high.tolist())]), "<u8"
+        ).reshape(-1, 2)
+        by = np.lexsort((self.context[:, 1], self.context[:, 0]))
+        first = by[_new(self.context[by])]
         self.bucket = (self.gram >> np.uint64(32)) % np.uint64(buckets)
         first.sort()
         self.first = first[np.argsort(self.bucket[first], kind="stable")]  # by bucket, then in order
@@ -137,14 +143,13 @@ def repeated_contexts(rows: DataFrame, buckets: int, hot: int = HOT) -> DataFram
 
     def judge(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("chunk")
-        context = np.concatenate([np.frombuffer(x, "u8") for x in part["contexts"]])
+        context = np.concatenate([np.frombuffer(x, "<u8").reshape(-1, 2) for x in part["contexts"]])
         gram = np.concatenate([np.frombuffer(x, "u4") for x in part["grams"]])
         orders = [np.cumsum(np.frombuffer(x, "i8")) for x in part["orders"]]
         sizes = [len(x) for x in orders]
-        rank = np.lexsort((np.repeat(part["chunk"].to_numpy(), sizes), np.concatenate(orders)))
-        _, first = np.unique(context[rank], return_index=True)
+        rank = np.lexsort((np.repeat(part["chunk"].to_numpy(), sizes), np.concatenate(orders), context[:, 1], context[:, 0]))
         flag = np.ones(len(context), "u1")
-        flag[rank[first]] = 0
+        flag[rank[_new(context[rank])]] = 0
         leaders = np.flatnonzero(flag == 0)
         _, place, count = np.unique(gram[leaders], return_inverse=True, return_counts=True)
         flag[leaders[count[place] > 1]] = 2
