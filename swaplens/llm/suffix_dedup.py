@@ -4,7 +4,7 @@ A byte goes if a string of ``LENGTH`` bytes that covers it starts earlier as wel
 
 * Anchors: of the grams of ``GRAM`` bytes in a window of ``LENGTH`` bytes, those with the least hash. Equal windows have equal anchors at equal places, so
   suffixes are only compared where they start at the same anchor, and the suffix array holds one suffix in about 35.
-* An anchor's context is all of its document that a window around it can reach. Chunks send the 128-bit hashes of their distinct contexts, packed by anchor; where the same context
+* An anchor's context is all of its document that a window around it can reach. Chunks send keys of their distinct contexts, 32 bits of the anchor's hash and 96 of the context's, packed by anchor; where the same context
   occurs earlier, all of it goes. What is left are contexts that share their anchor with a different one: the borders of repeats.
 * Those meet by anchor. Suffixes at the anchors are sorted, and neighbours' common prefixes are scanned with a stack, which gives the interval tree: each interval is
   a right extension with all its occurrences. In each, occurrences are sorted by what stands to their left, and the same scan tells the groups whose
@@ -39,6 +39,7 @@ CHUNK_BYTES, SLICE_BYTES = 8 * 2**20, 2**20
 HOT = 4096  # distinct contexts from which an anchor's windows are dealt by their hash
 WIDE = 16  # members from which an interval is cut by arrays
 UNKNOWN = np.iinfo("i8").max
+LOW = np.uint64(0xFFFFFFFF)
 
 
 def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -111,7 +112,8 @@ class Chunk:
         digest, texts = xxhash.xxh3_128_digest, self.texts
         self.context = np.frombuffer(
             b"".join([digest(texts[d][i:j], p - i) for d, p, i, j in zip(self.doc.tolist(), self.at.tolist(), self.low.tolist(), self.high.tolist())]), "<u8"
-        ).reshape(-1, 2)
+        ).reshape(-1, 2).copy()
+        self.context[:, 1] = self.context[:, 1] & ~LOW | self.gram & LOW  # equal contexts have equal anchors, so the key can hold the anchor's bits as well
         by = np.lexsort((self.context[:, 1], self.context[:, 0]))
         first = by[_new(self.context[by])]
         self.bucket = (self.gram >> np.uint64(32)) % np.uint64(buckets)
@@ -125,7 +127,7 @@ class Chunk:
                 yield b, self.first[i:j]
 
 
-SENT = "chunk int, bucket int, contexts binary, grams binary, orders binary"
+SENT = "chunk int, bucket int, contexts binary, orders binary"
 
 
 def repeated_contexts(rows: DataFrame, buckets: int, hot: int = HOT) -> DataFrame:
@@ -134,17 +136,17 @@ def repeated_contexts(rows: DataFrame, buckets: int, hot: int = HOT) -> DataFram
     def send(docs: pd.DataFrame) -> pd.DataFrame:
         chunk = Chunk(docs, buckets)
         out = [
-            (b, chunk.context[i].tobytes(), chunk.gram[i].astype("u4").tobytes(), np.diff(chunk.order[chunk.doc[i]], prepend=0).tobytes())
+            (b, chunk.context[i].tobytes(), np.diff(chunk.order[chunk.doc[i]], prepend=0).tobytes())
             for b, i in chunk.blocks(buckets)
         ]
-        made = pd.DataFrame(out, columns=["bucket", "contexts", "grams", "orders"])
+        made = pd.DataFrame(out, columns=["bucket", "contexts", "orders"])
         made.insert(0, "chunk", docs["chunk"].iloc[0] if len(docs) else 0)
         return made
 
     def judge(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("chunk")
         context = np.concatenate([np.frombuffer(x, "<u8").reshape(-1, 2) for x in part["contexts"]])
-        gram = np.concatenate([np.frombuffer(x, "u4") for x in part["grams"]])
+        gram = context[:, 1] & LOW
         orders = [np.cumsum(np.frombuffer(x, "i8")) for x in part["orders"]]
         sizes = [len(x) for x in orders]
         rank = np.lexsort((np.repeat(part["chunk"].to_numpy(), sizes), np.concatenate(orders), context[:, 1], context[:, 0]))
