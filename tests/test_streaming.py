@@ -236,6 +236,42 @@ def test_steps_flip_the_positions_they_cross(spark, monkeypatch, buckets):
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize("block, cell", [(1, 1), (2, 8), (4096, 50)])
+def test_steps_flip_the_same_positions_however_ranges_are_cut(spark, monkeypatch, block, cell):
+    from swaplens.operators import positions as operator
+
+    monkeypatch.setattr(operator, "BLOCK", block)
+    monkeypatch.setattr(operator, "CELL", cell)
+    monkeypatch.setattr(operator, "PAIRS", 1000)
+    ticks, positions = _market(spark, 5)
+    positions = positions.unionByName(positions.limit(40)).unionByName(positions.limit(40).withColumn("id", F.lit(None).cast("long")))
+    got = position_flips(ticks, positions).collect()
+    # A window over ids would mix copies, so each row is valued on its own and copies are told apart by a number.
+    numbered = positions.withColumn("copy", F.monotonically_increasing_id()).localCheckpoint()
+    by_copy = {r.copy: r.id for r in numbered.collect()}
+    expected = sorted((str(by_copy[i]), e, a, b) for i, e, a, b in _every_pair(ticks, numbered.withColumn("id", F.col("copy"))))
+    assert sorted((str(r.id), r.event_id, r.previousSign, r.sign) for r in got) == expected and len(expected) > 100
+
+
+def test_a_hot_price_is_dealt_to_many_tasks(spark):
+    ticks = spark.range(2500).select(F.col("id").alias("event_id"), F.concat(F.lit("A"), F.col("id") % 1).alias("symbol"), (9.0 + F.col("id") % 2 * 2).alias("price"), F.timestamp_seconds("id").alias("ts"))
+    positions = spark.range(5000).selectExpr("id", "concat('A', id % 1) AS symbol", "10D + id % 1 AS entryPrice", "1D AS size", "1D AS leverage", "'long' AS side")
+    tasks = position_flips(ticks, positions).groupBy(F.spark_partition_id()).count().collect()
+    # 12.5 million flips, of one price.
+    assert sum(r["count"] for r in tasks) == 2499 * 5000 and max(r["count"] for r in tasks) < 2499 * 5000 * 0.8
+
+
+def test_amounts_next_to_half_a_cent(spark):
+    from swaplens.operators.market import with_pnl
+
+    sizes = [0.005, 0.00499999999999999, 0.0050000000000000010408, 0.00500000000000000001, 0.0049999999999999992, float("inf"), float("nan"), 1e308, 5e-324]
+    positions = spark.createDataFrame([(k, "A", 10.0, s, lever, side) for k, (s, lever, side) in enumerate((s, lever, side) for s in sizes for lever in (1.0, 1e300, float("inf"), float("nan")) for side in ("long", None))], "id long, symbol string, entryPrice double, size double, leverage double, side string")
+    ticks = spark.createDataFrame([(0, "A", 9.0, 0), (1, "A", 11.0, 1), (2, "A", 9.0, 2)], "event_id long, symbol string, price double, ts long").withColumn("ts", F.timestamp_seconds("ts"))
+    valued = {(r.id, r.price): r.gain for r in with_pnl(ticks.join(positions, "symbol")).select("id", "price", F.signum("pnl.absolute").cast("int").alias("gain")).collect()}
+    expected = sorted((i, e, valued[i, a], valued[i, b]) for i in range(positions.count()) for e, a, b in ((1, 9.0, 11.0), (2, 11.0, 9.0)) if valued[i, a] * valued[i, b] == -1)
+    assert sorted((r.id, r.event_id, r.previousSign, r.sign) for r in position_flips(ticks, positions).collect()) == expected and len(expected) > 10
+
+
 @pytest.mark.parametrize("files", [1, 4, 20])
 def test_live_positions_however_the_stream_is_cut(spark, places, files):
     ticks, positions = _market(spark)
