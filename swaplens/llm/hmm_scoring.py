@@ -36,7 +36,7 @@ SEED = 7
 RELAXED, GAIN = 1.5, 0.003  # GAIN in log10 a token
 LEVEL = 256  # steps after which rounding errors of the backward recursion are taken out
 CHUNK_BYTES, BUCKET_BYTES = 16 * 2**20, 64 * 2**20  # of text that a task reads, and whose words a task counts
-TOKENS = 2**20  # whose expected counts are taken at once, or one document's
+TOKENS = 2**21  # whose expected counts are taken at once, or one document's
 LONG = 2**20
 
 
@@ -142,10 +142,10 @@ class Model:
         emit = self.emit.astype("f4")[flat]
         alpha, scale = np.empty((len(flat), k), "f4"), np.empty(len(flat), "f4")
         begins, counts = at.tolist(), active.tolist()
-        a = None
+        a, ones = None, np.ones(k, "f4")
         for i, m in zip(begins, counts):
             a = np.multiply(a[:m] @ step if i else self.start.astype("f4"), emit[i : i + m], out=alpha[i : i + m])
-            scale[i : i + m] = c = a @ np.ones(k, "f4")
+            scale[i : i + m] = c = a @ ones
             a /= c[:, None]
         emit /= scale[:, None]
         b = np.ones((counts[-1], k), "f4")
@@ -224,13 +224,11 @@ def read_chunks(rows: DataFrame, buckets: int) -> DataFrame:
             texts.append(np.fromiter(map(number.__getitem__, tokens), "i4", len(tokens)))
         vocabulary = list(number)
         classes = np.fromiter(map(word_class, vocabulary), "i4", len(vocabulary))
-        order = np.array(sorted(range(len(vocabulary)), key=lambda i: (classes[i] % buckets, vocabulary[i])), "i8")
+        order = np.array(sorted(range(len(vocabulary)), key=vocabulary.__getitem__), "i8")
+        order = order[np.argsort(classes[order] % buckets, kind="stable")]
         rank = np.empty(len(order), "i8")
         rank[order] = np.arange(len(order))
-        counts = np.zeros(len(order), "i8")
-        for t, out in zip(texts, held):
-            if not out:
-                np.add.at(counts, t, 1) if len(t) < len(counts) // 8 else np.add(counts, np.bincount(t, minlength=len(counts)), out=counts)
+        counts = np.bincount(np.concatenate([np.empty(0, "i4"), *[t for t, out in zip(texts, held) if not out]]), minlength=len(order))
         cuts = np.searchsorted(classes[order] % buckets, np.arange(buckets + 1))
         some = [(b, order[i:j]) for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
         n, m = len(texts), len(some)
