@@ -464,3 +464,10 @@ def test_scores_of_nothing(spark):
     assert hmm_scoring.score_documents(documents(spark, [])).count() == 0
     only = hmm_scoring.score_documents(documents(spark, [(i, "a b") for i in range(400) if zlib.crc32(str(i).encode()) % 10 == 0]))
     assert {(r.n_known, r.train_tokens) for r in only.collect()} == {(0, 0)}
+
+
+def test_hmm_counts_two_million_tokens_at_once(spark):
+    rows = [(bytearray(np.zeros(300_000, "<u2").tobytes()),) for _ in range(6)]
+    classes = spark.createDataFrame(rows, "classes binary").coalesce(1)
+    # Each call of the counting function adds 1: long documents have a step a token, which those counted with them share.
+    assert hmm_scoring._summed(classes, 1, lambda documents: np.ones((1, 1)))[0, 0] == 1
