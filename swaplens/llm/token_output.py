@@ -37,7 +37,7 @@ CHECKSUM_FLAG = 0x80
 
 FRAME_BYTES = 256 * 1024
 FILE_TEXT_BYTES = 32 * 2**20
-CACHED_WORDS = 800_000  # in each of two generations; about 160 bytes a word
+CACHED_WORDS, CACHED_BYTES = 150_000, 16 * 2**20  # and the bytes of the words themselves, in each of two generations; about 160 bytes a short word
 
 
 def _stays_letters(stem: str) -> bool:
@@ -76,6 +76,7 @@ class WordEncoder:
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.size = 0  # bytes of the words that came in since the older ones
 
     def _one_by_one(self, parts: list[bytes]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in parts], add_special_tokens=False)
@@ -98,6 +99,7 @@ class WordEncoder:
 
     def _remember(self, new: set[bytes]) -> None:
         words, older = self.words, self.older
+        self.size += sum(map(len, new))
         parts: dict[bytes, tuple[bytes, bytes]] = {}
         stems: set[bytes] = set()
         for word in new:
@@ -127,8 +129,8 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
         """The ids of each text, the end id last."""
-        if len(self.words) > CACHED_WORDS:
-            self.words, self.older = {}, self.words
+        if len(self.words) > CACHED_WORDS or self.size > CACHED_BYTES:
+            self.words, self.older, self.size = {}, self.words, 0
         split = [_parted(t) for t in texts]
         words, end = self.words, np.array([end_id], "<u4").tobytes()
         self._remember(set().union(*split).difference(words))

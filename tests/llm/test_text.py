@@ -471,3 +471,16 @@ def test_hmm_counts_two_million_tokens_at_once(spark):
     classes = spark.createDataFrame(rows, "classes binary").coalesce(1)
     # Each call of the counting function adds 1: long documents have a step a token, which those counted with them share.
     assert hmm_scoring._summed(classes, 1, lambda documents: np.ones((1, 1)))[0, 0] == 1
+
+
+def test_encoder_holds_a_bounded_number_of_words(monkeypatch):
+    encoder, letters = token_output.WordEncoder(tokenizer_path()), "abcdefghijklmnop"
+    word = lambda k: "".join(letters[k >> 4 * i & 15] for i in range(5))
+    for k in range(0, 450_000, 10_000):
+        encoder.encode([" ".join(map(word, range(k, k + 10_000)))], 2)
+    assert len(encoder.words) + len(encoder.older) <= 2 * 160_000
+    monkeypatch.setattr(token_output, "CACHED_BYTES", 2**17)
+    for k in range(20):
+        text = " ".join(word(100 * k + j) * 100 for j in range(100))
+        assert list(encoder.encode([text], 2)[0]) == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [2]
+    assert sum(map(len, [*encoder.words, *encoder.older])) <= 2 * (2**17 + 51_000) + 320_000 * 8
