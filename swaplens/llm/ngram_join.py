@@ -35,23 +35,18 @@ CHUNK_BYTES, BUCKET_BYTES = 8 * 2**20, 32 * 2**20  # of text, whose shingles a t
 LEADER_ROUNDS = 2
 
 
-class _Hashes(dict):
-    """64-bit hashes of words, kept while they are few."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_HASHES = _Hashes()
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The sorted distinct values. A plain sort takes an eighth of np.unique's time for 64-bit numbers."""
+    out = np.sort(values)
+    first = np.ones(len(out), bool)
+    np.not_equal(out[1:], out[:-1], out=first[1:])
+    return out[first]
 
 
 def shingle_set(text: str | None, q: int) -> np.ndarray:
-    """The sorted distinct shingle hashes of a text."""
+    """The sorted distinct shingle hashes of a text. Words are hashed each time: in a table of a corpus' words a look-up takes longer, and every worker holds one."""
     tokens = words(text)
-    h = np.fromiter(map(_HASHES.__getitem__, tokens), np.uint64, len(tokens))
+    h = np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, len(tokens))
     width = min(q, len(h))
     if not width:
         return h
@@ -61,7 +56,7 @@ def shingle_set(text: str | None, q: int) -> np.ndarray:
     out ^= out >> np.uint64(32)
     out *= np.uint64(0xD6E8FEB86659FD93)
     out ^= out >> np.uint64(32)
-    return np.unique(out)
+    return distinct(out)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -122,7 +117,7 @@ def shared_shingles(rows: DataFrame, stand_ins: DataFrame, q: int, buckets: int)
         values, counts = np.unique(np.concatenate(blocks), return_counts=True)
         level = np.where(counts > 1, np.minimum(255, 1 + 8 * np.log2(counts)), 0).astype("u1")
         out = part[["chunk", "bucket"]].copy()
-        out["block"] = [level[np.searchsorted(values, np.unique(x))].tobytes() for x in blocks]
+        out["block"] = [level[np.searchsorted(values, distinct(x))].tobytes() for x in blocks]
         return out
 
     schema = "chunk int, bucket int, block binary"
@@ -149,7 +144,7 @@ def candidates(rows: DataFrame, side: DataFrame, q: int, percent: int, buckets:
             alone = int((lv == 0).sum())
             p = prefix_length(len(s), percent)
             if alone < p:
-                prefix = s[np.lexsort((s, lv))[:p]]
+                prefix = s[np.argsort(lv, kind="stable")[:p]]  # ties by hash: the set is sorted
                 group = xxhash.xxh3_128_hexdigest(np.append(prefix, np.uint64(len(s))).tobytes())
                 out.append((key, len(s), alone, group, prefix[alone:].astype("i8"), s.tobytes()))
         return pd.DataFrame(out, columns=["key", "n", "alone", "gkey", "tokens", "shingles"])

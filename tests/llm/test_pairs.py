@@ -292,3 +292,18 @@ def test_losses_alike_by_scan_and_by_levels(monkeypatch):
         monkeypatch.setattr(suffix_dedup, "WIDE", wide)
         found.append([x.tolist() for x in suffix_dedup.losses(lefts, rights, order)])
     assert found[0] == found[1] and len(found[0][0]) > 50
+
+
+def test_shingles_hold_no_words_back():
+    import tracemalloc
+
+    text = " ".join(f"w{k}" for k in range(100_000))
+    tracemalloc.start()
+    try:
+        n = len(ngram_join.shingle_set(text, 4))
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert n == 99_997 and held < 2**20
+    for values in ([], [5], [2, 2, 2], [2**64 - 1, 0, 7, 0, 2**64 - 1]):
+        assert ngram_join.distinct(np.array(values, np.uint64)).tolist() == sorted(set(values))
