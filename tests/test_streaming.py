@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta, timezone
 from functools import reduce
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -286,6 +287,20 @@ def test_live_positions_however_the_stream_is_cut(spark, places, files):
     assert sorted(r.symbol for r in newest_state(spark, places["state"]).collect()) == ["A", "B"]
 
 
+def test_live_positions_are_written_packed(spark, places):
+    import pyarrow.parquet as pq
+
+    ticks, positions = _market(spark)
+    before = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    _add(ticks, places["in"])
+    live_position_flips(spark.readStream.schema(TICK_SCHEMA).parquet(places["in"]), positions, places["out"], places["state"], places["checkpoint"]).awaitTermination()
+    files = [pq.ParquetFile(p) for p in Path(places["out"]).rglob("*.parquet")]
+    columns = [f.metadata.row_group(0).column(k) for f in files if f.metadata.num_rows for k in range(f.metadata.num_columns)]
+    assert {c.compression for c in columns} == {"LZ4"} and "INT96" not in {c.physical_type for c in columns}
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == before
+    assert sorted(spark.read.parquet(places["out"]).select("event_id", "ts").distinct().join(ticks, ["event_id", "ts"], "left_anti").collect()) == []
+
+
 def test_state_is_whole_again_every_so_often(spark, tmp_path, monkeypatch):
     from pyspark.sql import types as T
 
