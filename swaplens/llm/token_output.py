@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import unicodedata
 import uuid
@@ -20,6 +21,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyarrow import fs as pafs
@@ -37,6 +39,7 @@ CHECKSUM_FLAG = 0x80
 
 FRAME_BYTES = 256 * 1024
 FILE_TEXT_BYTES = 32 * 2**20
+SLICE_BYTES = 2 * 2**20  # of texts whose words are told apart at once
 CACHED_WORDS, CACHED_BYTES = 150_000, 16 * 2**20  # and the bytes of the words themselves, in each of two generations; about 160 bytes a short word
 
 
@@ -45,22 +48,45 @@ def _stays_letters(stem: str) -> bool:
     return stem.isalpha() and unicodedata.normalize("NFC", stem).lower().isalpha()
 
 
-_CLOSING = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
+_GAP = re.compile(rb"[\t-\r ]")
+_WHITE = np.isin(np.arange(256), [*range(9, 14), 32])
+_MARK = np.isin(np.arange(256), [*b".,"])
+_SMALL = np.isin(np.arange(256), [*b"abcdefghijklmnopqrstuvwxyz"])
+_PUNCTUATION = string.punctuation.encode()
 
 
-def _parted(text: str | None) -> list[bytes]:
-    """The words of a text, in lower case unless an added token may stand in it, a full stop or comma that closes ASCII letters apart."""
-    if not text:
-        return []
-    raw = text.encode("utf-8", "replace")
-    return _CLOSING.sub(rb" \1", raw.lower() if b"<" not in raw else raw).split()
+def _pieces(text: str | None) -> Iterator[bytes]:
+    """The bytes of a text, in lower case unless an added token may stand in it; long ones in pieces, cut at white space."""
+    raw = (text or "").encode("utf-8", "replace")
+    if b"<" not in raw:
+        raw = raw.lower()
+    begin = 0
+    while len(raw) - begin > SLICE_BYTES and (gap := _GAP.search(raw, begin + SLICE_BYTES)):
+        yield raw[begin : gap.start()]
+        begin = gap.end()
+    yield raw[begin:]
+
+
+def _parted(pieces: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all pieces as one array, a full stop or comma that closes ASCII letters apart, and the number of words up to each piece's end."""
+    data = np.frombuffer(b"".join([x + b" " for x in pieces]), "u1")
+    white, black = _WHITE[data], ~_WHITE[data]
+    begins = black.copy()
+    begins[1:] &= white[:-1]
+    begins[1:-1] |= _MARK[data[1:-1]] & white[2:] & _SMALL[data[:-2]]
+    starts = np.flatnonzero(begins)
+    letters = data[black]
+    offsets = np.append(np.cumsum(black, dtype="i4")[starts] - 1, len(letters)).astype("i4")
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    return words, np.searchsorted(starts, np.cumsum([len(x) + 1 for x in pieces]))
 
 
 class WordEncoder:
     """Ids of texts from the ids of their words.
 
     The tokenizer drops white space and splits at it, so a text's ids are those of its words in order, and the library sees each
-    distinct word once while it is remembered. A word of letters followed by full stops and commas is two pre-tokens; ASCII letters
+    distinct word once while it is remembered. Words are told apart and their ids put in place by arrays; only the distinct words of about
+    ``SLICE_BYTES`` of texts are looked at one by one. A word of letters followed by ASCII punctuation is two pre-tokens; ASCII letters
     are lower-cased by the tokenizer anyway. Both make fewer distinct words; all others go to the library as they are, also words whose letters become
     a letter and a mark when normalised or lower-cased, since marks join the punctuation behind them. Stems of letters are encoded
     many at a time, and cut after the tokens that end a word; where the cuts are not as many as the stems, one at a time.
@@ -97,7 +123,7 @@ class WordEncoder:
                 out += self._one_by_one(group)
         return out
 
-    def _remember(self, new: set[bytes]) -> None:
+    def _remember(self, new: list[bytes]) -> None:
         words, older = self.words, self.older
         self.size += sum(map(len, new))
         parts: dict[bytes, tuple[bytes, bytes]] = {}
@@ -109,7 +135,7 @@ class WordEncoder:
             if word.isalpha() or (not word.isascii() and _stays_letters(word.decode("utf-8", "replace"))):
                 stems.add(word)
                 continue
-            stem = word.rstrip(b".,")
+            stem = word.rstrip(_PUNCTUATION)
             if stem.isalpha():
                 parts[word] = (stem.lower(), word[len(stem) :])
             elif not stem.isascii() and _stays_letters(stem.decode("utf-8", "replace")):
@@ -127,14 +153,41 @@ class WordEncoder:
                 both = [words[x] if x in words else older[x] for x in (stem, tail) if x]
                 words[word] = both[0] if len(both) == 1 else both[0] + both[1]
 
-    def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
-        """The ids of each text, the end id last."""
+    def _ids(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """The ids of each piece."""
         if len(self.words) > CACHED_WORDS or self.size > CACHED_BYTES:
             self.words, self.older, self.size = {}, self.words, 0
-        split = [_parted(t) for t in texts]
-        words, end = self.words, np.array([end_id], "<u4").tobytes()
-        self._remember(set().union(*split).difference(words))
-        return [np.frombuffer(b"".join([*map(words.__getitem__, ws), end]), "<u4") for ws in split]
+        parted, ends = _parted(pieces)
+        coded = parted.dictionary_encode()
+        which, distinct, words = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.words
+        self._remember([w for w in distinct if w not in words])
+        found = [words[w] for w in distinct]
+        sizes = np.array([len(x) for x in found], "i8") // 4
+        place, count = (np.cumsum(sizes) - sizes)[which], sizes[which]
+        done = np.concatenate([[0], np.cumsum(count)])
+        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(place - done[:-1], count) + np.arange(done[-1])]
+        return np.split(ids, done[ends[:-1]])
+
+    def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
+        """The ids of each text, the end id last."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        owners: list[int] = []
+        held: list[bytes] = []
+        size = 0
+        for k, text in enumerate(texts):
+            for piece in _pieces(text):
+                owners.append(k)
+                held.append(piece)
+                size += len(piece)
+                if size >= SLICE_BYTES:
+                    for owner, ids in zip(owners, self._ids(held)):
+                        out[owner].append(ids)
+                    owners, held, size = [], [], 0
+        if held:
+            for owner, ids in zip(owners, self._ids(held)):
+                out[owner].append(ids)
+        end = np.array([end_id], "<u4")
+        return [np.concatenate([*ids, end]) for ids in out]
 
 
 def seek_table(frames: list[tuple[int, int, int]]) -> bytes:
@@ -277,7 +330,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
             texts = [t if isinstance(t, str) else None for t in batch["text"]]
             known = batch["doc_id"].notna().to_numpy()
             doc_ids = batch["doc_id"].fillna(0).astype("int64").to_numpy()
-            for begin, end in slices(texts):
+            for begin, end in slices(texts, SLICE_BYTES):
                 for k, ids in enumerate(encoder.encode(texts[begin:end], end_id), begin):
                     writer.add(int(doc_ids[k]) if known[k] else None, ids)
                     n_ids += len(ids)

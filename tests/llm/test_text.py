@@ -484,3 +484,25 @@ def test_encoder_holds_a_bounded_number_of_words(monkeypatch):
         text = " ".join(word(100 * k + j) * 100 for j in range(100))
         assert list(encoder.encode([text], 2)[0]) == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [2]
     assert sum(map(len, [*encoder.words, *encoder.older])) <= 2 * (2**17 + 51_000) + 320_000 * 8
+
+
+def test_words_that_end_in_punctuation_go_to_the_library_by_their_letters(monkeypatch):
+    encoder, alone = token_output.WordEncoder(tokenizer_path()), []
+    one_by_one = encoder._one_by_one
+    monkeypatch.setattr(encoder, "_one_by_one", lambda parts: alone.extend(parts) or one_by_one(parts))
+    text = "Alpha### beta&&& gamma!! ünï$$$ delta.) é...*** ≠## x≠# don't** 3%%"
+    assert list(encoder.encode([text], 2)[0]) == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [2]
+    assert {b"###", b"&&&", b"!!", b"$$$", b".)", b"...***"} <= set(alone)
+    assert not [x for x in alone if x[:1].isalpha() and x != b"don't**" and x[:1] != b"x"]
+
+
+def test_encoder_looks_at_distinct_words_only(monkeypatch):
+    encoder, asked = token_output.WordEncoder(tokenizer_path()), []
+    remember = encoder._remember
+    monkeypatch.setattr(encoder, "_remember", lambda new: asked.append(list(new)) or remember(new))
+    monkeypatch.setattr(token_output, "SLICE_BYTES", 40)
+    texts = ["one two, three\x0b\x0c four.\n" * 9, None, "", "  ", "five" * 30, "six. seven.\tone"]
+    for text, ids in zip(texts, encoder.encode(texts, 2)):
+        assert list(ids) == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+    every = [w for new in asked for w in new]
+    assert len(asked) > 5 and sorted(every) == sorted({b"one", b"two", b",", b"three", b"four", b".", b"five" * 30, b"six", b"seven"})
