@@ -15,6 +15,9 @@ have in a window, a chunk sends the first of its equal windows, dealt by the has
 
 Copies send a context once per chunk, so a hot passage counts by chunks, not by documents, in all but the contexts that cross its borders.
 
+Texts that wait for their border contexts are packed by zstandard, some megabytes together, and the first pass's shuffles go once its output is written, so that the disk
+holds either the texts and keys or the borders and packed texts, not both.
+
 Texts are UTF-8 bytes; null is empty. Documents under ``LENGTH`` bytes stay whole. Null ids come last. Rows with one id are ordered by a hash of id and text, and
 repeated rows follow each other, so all but the first are removed if long enough. Other columns are not read; an empty table gives no rows.
 """
@@ -27,11 +30,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swaplens.llm.common import chunks_for, text_bytes
-from swaplens.plans.scale import run_dir
+from swaplens.plans.scale import run_dir, shuffles_removed
 
 LENGTH, GRAM = 100, 32
 REACH = LENGTH - GRAM  # how far an anchor can stand from its window's start
@@ -186,6 +190,22 @@ def _result(text: bytes, spans: np.ndarray) -> tuple[int, int, int, str]:
 DONE = "kind string, chunk int, number int, doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 WINDOW = np.dtype([("k0", "<u8"), ("k1", "<u8"), ("order", "<i8"), ("doc", "<i4"), ("start", "<i4")])
 MADE = f"{DONE}, text binary, bucket int, places binary, contexts binary"
+WAITS = np.dtype([("number", "<i8"), ("known", "<i8"), ("doc_id", "<i8"), ("size", "<i8"), ("spans", "<i8")])
+
+
+def _packed(waits: list[tuple[int, int | None, bytes, np.ndarray]]) -> tuple[bytes, bytes, bytes]:
+    """Documents (number, doc_id, text, spans) as text, places and contexts of one row."""
+    heads = np.array([(k, i is not None, i or 0, len(text), len(spans)) for k, i, text, spans in waits], WAITS)
+    texts = zstandard.ZstdCompressor(level=3).compress(b"".join([text for _, _, text, _ in waits]))
+    return texts, heads.tobytes(), b"".join([spans.astype("<i8").tobytes() for _, _, _, spans in waits])
+
+
+def _unpacked(packed: bytes, places: bytes, spans: bytes) -> Iterator[tuple[int, int | None, bytes, np.ndarray]]:
+    heads, spans = np.frombuffer(places, WAITS), np.frombuffer(spans, "<i8").reshape(-1, 2)
+    texts, at, span = zstandard.ZstdDecompressor().decompress(packed), 0, 0
+    for number, known, doc_id, size, n in heads.tolist():
+        yield number, doc_id if known else None, texts[at : at + size], spans[span : span + n]
+        at, span = at + size, span + n
 
 
 def _windows(chunk: Chunk, members: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, bytes]]]:
@@ -212,7 +232,7 @@ def _windows(chunk: Chunk, members: np.ndarray, buckets: int) -> tuple[np.ndarra
 
 
 def whole_repeats(rows: DataFrame, flags: DataFrame, buckets: int) -> DataFrame:
-    """Documents that are done; those that wait for their border contexts, with what has gone; the border contexts, packed by anchor; and hot anchors' windows."""
+    """Documents that are done; those that wait for their border contexts, with what has gone; the border contexts, packed by anchor; and hot anchors' windows. Waiting documents share rows (``_packed``)."""
 
     def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         chunk = Chunk(docs, buckets)
@@ -236,17 +256,24 @@ def whole_repeats(rows: DataFrame, flags: DataFrame, buckets: int) -> DataFrame:
         lost = lost[np.argsort(lost[:, 0], kind="stable")]
         lost_cuts = np.searchsorted(lost[:, 0], np.arange(len(chunk.texts) + 1))
         cuts = np.searchsorted(chunk.doc, np.arange(len(chunk.texts) + 1))
-        out = []
+        out, packed, held, size = [], [], [], 0
         for k, text in enumerate(chunk.texts):
             here = slice(cuts[k], cuts[k + 1])
             starts = lost[lost_cuts[k] : lost_cuts[k + 1], 1]
             whole = np.stack([chunk.low[here][gone[here]], chunk.high[here][gone[here]]], 1)
             spans = _merged(np.concatenate([whole, np.stack([starts, starts + LENGTH], 1)]))
             doc_id = None if pd.isna(chunk.doc_ids[k]) else int(chunk.doc_ids[k])
-            if waits[k]:
-                out.append(("waits", number, k, doc_id, None, None, None, None, text, None, spans.tobytes(), None))
-            else:
+            if not waits[k]:
                 out.append(("done", number, k, doc_id, *_result(text, spans), None, None, None, None))
+                continue
+            held.append((k, doc_id, text, spans))
+            size += len(text)
+            if size >= SLICE_BYTES:
+                packed.append(_packed(held))
+                held, size = [], 0
+        if held:
+            packed.append(_packed(held))
+        out += [("waits", number, None, None, None, None, None, None, text, None, places, spans) for text, places, spans in packed]
         out += [("border", number, None, None, None, None, None, None, None, *x) for x in border]
         out += [("windows", number, None, None, None, None, None, None, None, *x, None) for x in windows]
         made = pd.DataFrame(out, columns=[c.split()[0] for c in MADE.split(", ")])
@@ -404,16 +431,16 @@ def finish(waiting: DataFrame, borders: DataFrame) -> DataFrame:
         lost = np.concatenate([np.empty((0, 3), "i8"), *[np.frombuffer(x, "i8").reshape(-1, 3) for x in answers["spans"]]])
         lost = lost[np.argsort(lost[:, 0], kind="stable")]
         out = []
-        for number, doc_id, text, spans in zip(docs["number"], docs["doc_id"], docs["text"], docs["places"]):
-            i, j = np.searchsorted(lost[:, 0], [number, number + 1])
-            both = np.concatenate([np.frombuffer(spans, "i8").reshape(-1, 2), lost[i:j, 1:]])
-            out.append((doc_id, *_result(text, both)))
+        for row in zip(docs["text"], docs["places"], docs["contexts"]):
+            for number, doc_id, text, spans in _unpacked(*row):
+                i, j = np.searchsorted(lost[:, 0], [number, number + 1])
+                out.append((doc_id, *_result(text, np.concatenate([spans, lost[i:j, 1:]]))))
         made = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-        made["doc_id"] = pd.array([None if pd.isna(x) else int(x) for x in made["doc_id"]], "Int64")
+        made["doc_id"] = pd.array([x[0] for x in out], "Int64")
         return made
 
     return (
-        waiting.select("chunk", "number", "doc_id", "text", "places")
+        waiting.select("chunk", "text", "places", "contexts")
         .groupBy("chunk")
         .cogroup(borders.groupBy("chunk"))
         .applyInPandas(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
@@ -427,7 +454,8 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("rowkey"))
     rows = rows.withColumn("chunk", F.pmod("rowkey", F.lit(n)).cast("int"))
     path = run_dir(spark, "repeats")
-    whole_repeats(rows, repeated_contexts(rows, n, hot), n).write.partitionBy("kind").parquet(path)
+    with shuffles_removed(spark):
+        whole_repeats(rows, repeated_contexts(rows, n, hot), n).write.partitionBy("kind").option("compression", "zstd").parquet(path)
     made = spark.read.schema(MADE).parquet(path)
     done = made.where("kind = 'done'").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     return done.union(finish(made.where("kind = 'waits'"), border_repeats(made).union(hot_repeats(made))))

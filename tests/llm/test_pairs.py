@@ -3,6 +3,8 @@
 import hashlib
 import math
 import random
+import string
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -254,6 +256,41 @@ def test_suffix_dedup_of_odd_rows(spark):
     assert sorted((r.doc_id or 99, r.n_removed) for r in got) == [(7, 0), (7, 300), (8, 0), (99, 300)]
 
 
+def shuffle_bytes(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return sum(f.stat().st_size for folder in folders for f in Path(folder.getPath()).rglob("shuffle_*"))
+
+
+def test_suffix_dedup_leaves_no_shuffle_of_its_first_pass(spark):
+    rng = random.Random(21)
+    shared = "".join(rng.choices(string.ascii_letters, k=150))
+    rows = [(k, "".join(rng.choices(string.ascii_letters, k=20_000)) + shared * (k % 3)) for k in range(100)]
+    docs = documents(spark, rows).localCheckpoint()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, set_before = shuffle_bytes(spark), spark.conf.get(key)
+    made = suffix_dedup.remove_repeats(docs)
+    assert shuffle_bytes(spark) < before + 500_000 and spark.conf.get(key) == set_before
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in made.collect()}
+    assert got == dict(enumerate(removed([t for _, t in rows])))
+
+
+def test_waiting_texts_are_packed(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 20_000)
+    rng = random.Random(22)
+    passage, vocabulary = "".join(rng.choices("abcdé ", k=300)), ["".join(rng.choices("abcdefgh", k=7)) for _ in range(50)]
+    rows = [(k, " ".join(rng.choices(vocabulary, k=200)) + passage + " ".join(rng.choices(vocabulary, k=200))) for k in range(30)]
+    rows += [(None, rows[3][1] + "x"), (50, "")]
+    cut = documents(spark, rows).selectExpr("doc_id", "text", "xxhash64(doc_id, text) AS rowkey", "CAST(pmod(coalesce(doc_id, 0), 2) AS INT) AS chunk")
+    suffix_dedup.whole_repeats(cut, suffix_dedup.repeated_contexts(cut, 2), 2).write.parquet(str(tmp_path / "made"))
+    waits = spark.read.parquet(str(tmp_path / "made")).where("kind = 'waits'").collect()
+    texts = {doc_id: text.decode() for r in waits for _, doc_id, text, _ in suffix_dedup._unpacked(r.text, r.places, r.contexts)}
+    assert len(waits) > 2 and texts.items() <= dict(rows).items() and len(texts) > 20
+    assert 2 * sum(len(r.text) for r in waits) < sum(map(len, texts.values()))
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(documents(spark, rows)).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0]))
+    assert got == dict(zip([i for i, _ in order], removed([t for _, t in order])))
+
+
 def test_maximal_repeats():
     rng = random.Random(4)
     texts = ["".join(rng.choices("ab", k=60)).encode() for _ in range(40)]
