@@ -253,7 +253,8 @@ def near_duplicates(docs: DataFrame, q: int = 4, percent: int = 85) -> DataFrame
     size = text_bytes(docs)
     n, buckets = chunks_for(size, CHUNK_BYTES), chunks_for(size, BUCKET_BYTES)
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rowkey")).withColumn("chunk", F.pmod("rowkey", F.lit(n)).cast("int"))
-    signed = stored(signatures(rows, q), "signatures")
+    # Signatures are a small part of what was read: packed, they take few files, not one per task of the scan.
+    signed = stored(signatures(rows, q).hint("rebalance"), "signatures")
     first = signed.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "rowkey", "chunk")).alias("row")).select("row.*")
     stand_ins = stored(
         first.groupBy("chunk").agg(F.collect_list("rowkey").alias("rows")).select(

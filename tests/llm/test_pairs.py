@@ -126,6 +126,21 @@ def test_ngram_join_takes_few_tasks(spark):
     assert len(jobs) < 80 and sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i) < 200
 
 
+def test_signatures_of_many_parts_take_few_files(spark, monkeypatch):
+    """A file costs an executor processes of its own, and signatures are small: none per task of the scan."""
+    files, plain = [], ngram_join.stored
+
+    def noted(df, name):
+        files.append((name, len((out := plain(df, name)).inputFiles())))
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", noted)
+    rows = [(i, " ".join(f"w{i % 60}x{k}" for k in range(9))) for i in range(100)]
+    found = ngram_join.near_duplicates(documents(spark, rows).repartition(40))
+    assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(i, i % 60) for i in range(100)]
+    assert files[0][0] == "signatures" and max(n for _, n in files) < 10
+
+
 def test_a_common_shingle_does_not_pair_what_is_one_component(spark):
     """A thousand near copies and one stranger that shares their rarest shingles: pairs stay far below all pairs."""
     placed = spark.createDataFrame([(f"k{k}", f"g{k}", "c0" if k else "c1") for k in range(1000)], "key string, gkey string, component string")
