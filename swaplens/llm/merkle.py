@@ -114,7 +114,7 @@ def levels(nodes: DataFrame, fanout: int) -> tuple[list[DataFrame], list[DataFra
     all_nodes, all_runs = [nodes], []
     while most > 1:
         all_runs.append(stored(with_siblings(all_nodes[-1], fanout), "runs"))
-        all_nodes.append(stored(parents(all_runs[-1], fanout), "nodes"))
+        all_nodes.append(stored(parents(all_runs[-1], fanout).hint("rebalance"), "nodes"))
         most = -(-most // fanout)
     return all_nodes, all_runs
 
@@ -209,7 +209,8 @@ def build_manifest(rows: DataFrame, fields: Sequence[str] = FIELDS, source: str
     read = rows.select(
         tree_of(F.col(source)).alias("tree"), F.col(order), leaf_digest([F.col(c) for c in fields]).alias("digest"), *[c.alias(name) for name, c in claims.items()]
     )
-    return Manifest(stored(numbered(stored(read, "leaves"), [order, "digest"]), "leaves"), fanout)
+    # Digests are a small part of what was read: packed, they take few files, not one per task of the scan.
+    return Manifest(stored(numbered(stored(read.hint("rebalance"), "leaves"), [order, "digest"]), "leaves"), fanout)
 
 
 def lowered(text: Column) -> Column:

@@ -296,6 +296,20 @@ def test_small_trees(spark, n):
     assert tuples(merkle.verify_documents(documents(spark, rows))) == brute_verify(rows, 16)
 
 
+def test_digests_of_many_parts_take_few_files(spark, monkeypatch):
+    """A file costs an executor processes of its own, and digests are small: none per task of the scan."""
+    files, plain = [], merkle.stored
+
+    def noted(df, name):
+        files.append((name, len((out := plain(df, name)).inputFiles())))
+        return out
+
+    monkeypatch.setattr(merkle, "stored", noted)
+    rows = [(i, f"Text {i}", "en", "s") for i in range(100)]
+    assert tuples(merkle.verify_documents(documents(spark, rows).repartition(40))) == brute_verify(rows, 16)
+    assert files[0][0] == "leaves" and max(n for _, n in files) < 10
+
+
 def test_no_rows_no_root(spark):
     assert merkle.verify_documents(documents(spark, [])).collect() == []
     assert merkle.build_manifest(documents(spark, [])).root is None
