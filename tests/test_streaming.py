@@ -301,6 +301,22 @@ def test_live_positions_are_written_packed(spark, places):
     assert sorted(spark.read.parquet(places["out"]).select("event_id", "ts").distinct().join(ticks, ["event_id", "ts"], "left_anti").collect()) == []
 
 
+def test_row_groups_of_flips_are_cut_by_rows(spark, places, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from swaplens.streaming import market
+
+    monkeypatch.setattr(market, "GROUP_ROWS", 64)
+    ticks, positions = _market(spark)
+    _add(ticks, places["in"])
+    live_position_flips(spark.readStream.schema(TICK_SCHEMA).parquet(places["in"]), positions, places["out"], places["state"], places["checkpoint"]).awaitTermination()
+    found = [pq.ParquetFile(p).metadata for p in Path(places["out"]).rglob("*.parquet")]
+    groups = [m.row_group(k) for m in found for k in range(m.num_row_groups)]
+    assert max(g.num_rows for g in groups) == 64 and len(groups) > len(found)
+    assert not any("DICTIONARY" in e for g in groups for k in range(g.num_columns) if g.column(k).path_in_schema == "id" for e in g.column(k).encodings)
+    assert sum(g.num_rows for g in groups) == len(_every_pair(ticks, positions))
+
+
 def test_state_is_whole_again_every_so_often(spark, tmp_path, monkeypatch):
     from pyspark.sql import types as T
 
